@@ -37,7 +37,8 @@ from matchloom.operators.filters import filter_in, filter_range
 from matchloom.operators.joins import attach_team, attach_winner, join_inner
 from matchloom.schemas import TEAMS
 
-DIFF = F.col("Team0") - F.col("Team1")
+def _diff() -> Column:
+    return F.col("Team0") - F.col("Team1")
 
 
 def _won() -> Column:
@@ -91,7 +92,7 @@ def gold_diff_range(gold_diff: DataFrame) -> DataFrame:
 def leader_results(player: DataFrame, info: DataFrame) -> DataFrame:
     """Per match: final gold per team, who led, who won, and whether the leader won."""
     gold = team_wide(team_sum(player, ["match_id", "team"], "net_worth"), ["match_id"], "net_worth")
-    led = attach_winner(gold.withColumn("gold_diff", DIFF), info, "left")
+    led = attach_winner(gold.withColumn("gold_diff", _diff()), info, "left")
     leader = lead_team(F.col("gold_diff"))
     return led.select(
         "match_id",
@@ -168,7 +169,7 @@ def lead_rows(player_ts: DataFrame, player: DataFrame, info: DataFrame, metric:
         return (value.cast("bigint") if truncate else value).alias(team)
 
     wide = rows.groupBy(*keys).agg(*[mean(t) for t in TEAMS])
-    led = attach_winner(wide.withColumn("diff", DIFF), info, how)
+    led = attach_winner(wide.withColumn("diff", _diff()), info, how)
     return led.withColumn("lead_correct", same_team(lead_team(F.col("diff")), F.col("winning_team")))
 
 
@@ -223,7 +224,7 @@ def lead_end(player_ts: DataFrame, player: DataFrame, info: DataFrame, metric: s
         player_ts.select("match_id", "account_id", "timestamp_s", metric), ["match_id", "account_id"], "timestamp_s"
     )
     means = team_mean(attach_team(last, player), ["match_id", "team"], metric)
-    wide = team_wide(means, ["match_id"], metric).withColumn("diff", DIFF)
+    wide = team_wide(means, ["match_id"], metric).withColumn("diff", _diff())
     led = attach_winner(wide, info)
     return led.withColumn("advantage_won", same_team(lead_team(F.col("diff")), F.col("winning_team")))
 

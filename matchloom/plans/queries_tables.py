@@ -191,7 +191,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
          SELECT 'match_info_' || doc_id || '.parquet' AS name, 1700000000 + doc_id * 10 - n_chars % 120 AS local_s
          FROM documents WHERE lang = 'en')
        SELECT name, in_metadata, remote_s AS modified_s FROM remote LEFT JOIN mine USING (name)
-       WHERE (CASE WHEN in_metadata THEN doc_id BETWEEN 45 AND 100000 ELSE name IN ('web.parquet', 'forum.parquet') END)
+       WHERE (CASE WHEN in_metadata THEN doc_id BETWEEN 45 AND 100000 ELSE name IN ('src0.parquet', 'src7.parquet') END)
          AND (local_s IS NULL OR remote_s - local_s >= 60)""",
 )
 def select_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +207,7 @@ def select_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
     local = documents.where(F.col("lang") == "en").select(
         numbered.alias("name"), F.timestamp_seconds(at - F.col("n_chars") % 120).alias("modified")
     )
-    stale = listing.select_stale(remote, local, ["web.parquet", "forum.parquet"], range(45, 100001))
+    stale = listing.select_stale(remote, local, ["src0.parquet", "src7.parquet"], range(45, 100001))
     return stale.select("name", "in_metadata", F.unix_seconds("modified").alias("modified_s"))
 
 
