@@ -92,6 +92,9 @@ def validate(states: DataFrame, heroes: list[str]) -> DataFrame:
     def broken(rule: Column, reason: str) -> Column:
         return F.when(F.coalesce(rule, F.lit(True)), F.lit(reason))
 
+    def below_zero(field: str):
+        return lambda p: F.coalesce(p[field] < 0, F.lit(True))
+
     checks = [broken(F.col("timestamp") < 0, "timestamp")]
     for side in SIDES:
         players = F.col(f"{side}.players")
@@ -99,10 +102,7 @@ def validate(states: DataFrame, heroes: list[str]) -> DataFrame:
         checks.append(
             broken(F.exists(players, lambda p: ~F.coalesce(p["hero"].isin(list(heroes)), F.lit(False))), f"{side}: hero")
         )
-        for field in PLAYER_FIELDS[1:]:
-            checks.append(
-                broken(F.exists(players, lambda p, f=field: F.coalesce(p[f] < 0, F.lit(True))), f"{side}: {field}")
-            )
+        checks += [broken(F.exists(players, below_zero(f)), f"{side}: {f}") for f in PLAYER_FIELDS[1:]]
         named = F.coalesce(F.map_keys(f"{side}.lost_objectives"), F.array().cast("array<string>"))
         checks.append(broken(F.exists(named, lambda n: ~n.isin(list(OBJECTIVES))), f"{side}: objective"))
     return states.withColumn("reasons", F.array_sort(F.array_compact(F.array(*checks))))
@@ -117,23 +117,28 @@ def rejected(checked: DataFrame) -> DataFrame:
     return checked.where(F.size("reasons") > 0)
 
 
+def _changed_player(position: int, changes: dict):
+    def change(p: Column, i: Column) -> Column:
+        new = F.struct(*[(F.lit(changes[f]) if f in changes else p[f]).alias(f) for f in PLAYER_FIELDS])
+        return F.when(i == position, new).otherwise(p)
+
+    return change
+
+
+def _changed_objective(objective: str, destroyed: bool):
+    return lambda name, was: F.when(name == objective, F.lit(destroyed)).otherwise(was)
+
+
 def _edited_side(side: str, edits: list[tuple[Column, dict]]) -> Column:
     """The side after the edits whose condition holds."""
     players, lost = F.col(f"{side}.players"), F.col(f"{side}.lost_objectives")
     for applies, edit in edits:
         if "objective" in edit:
-            gone = F.lit(bool(edit["destroyed"]))
-            target = edit["objective"]
-            new = F.transform_values(lost, lambda k, v, t=target, g=gone: F.when(k == t, g).otherwise(v))
+            new = F.transform_values(lost, _changed_objective(edit["objective"], bool(edit["destroyed"])))
             lost = F.when(applies, new).otherwise(lost)
         else:
-            changes = edit["changes"]
-
-            def change(p, i, at=edit["player"], to=changes):
-                new = F.struct(*[(F.lit(to[f]) if f in to else p[f]).alias(f) for f in PLAYER_FIELDS])
-                return F.when(i == at, new).otherwise(p)
-
-            players = F.when(applies, F.transform(players, change)).otherwise(players)
+            new = F.transform(players, _changed_player(edit["player"], edit["changes"]))
+            players = F.when(applies, new).otherwise(players)
     return F.col(side).withField("players", players).withField("lost_objectives", lost)
 
 
