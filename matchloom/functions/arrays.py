@@ -8,7 +8,18 @@ from pyspark.sql import functions as F
 
 def quoted(name: str) -> Column:
     """A column by its literal name, dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(name_sql(name))
+
+
+def name_sql(name: str) -> str:
+    """A column name as SQL text. Long generated projections are written as text: one parse each
+    instead of many column calls."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_sql(value: str) -> str:
+    """A string literal as SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def without_last(values: Column) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchloom.functions.arrays import name_sql, text_sql
+
 
 def replace_column(df: DataFrame, column: str, value: Column) -> DataFrame:
     """The same columns in the same order, one of them recomputed."""
@@ -26,6 +28,14 @@ def known_category(column: str, categories: list[str]) -> Column:
     return F.when(known, F.col(column)).otherwise(F.raise_error(problem))
 
 
+def one_hot_sql(column: str, categories: list[str]) -> list[str]:
+    """SQL of one 0.0/1.0 column per category."""
+    return [
+        f"CASE WHEN {name_sql(column)} = {text_sql(c)} THEN 1D ELSE 0D END AS {name_sql(f'{column}_{c}')}"
+        for c in categories
+    ]
+
+
 def one_hot(df: DataFrame, column: str, categories: list[str], on_unknown: str = "error") -> DataFrame:
     """Replace ``column`` by one 0.0/1.0 column per category, in the order given.
 
@@ -33,13 +43,6 @@ def one_hot(df: DataFrame, column: str, categories: list[str], on_unknown: str =
     """
     if on_unknown not in ("error", "ignore"):
         raise ValueError(f"on_unknown must be error or ignore, not {on_unknown}")
-    rest = [F.col(f"`{c}`") for c in df.columns if c != column]
-    value = known_category(column, categories) if on_unknown == "error" else F.col(column)
-    checked = df.withColumn(column, value)
-    return checked.select(
-        *rest,
-        *[
-            F.when(F.col(column) == c, F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{column}_{c}")
-            for c in categories
-        ],
-    )
+    rest = [name_sql(c) for c in df.columns if c != column]
+    checked = df.withColumn(column, known_category(column, categories)) if on_unknown == "error" else df
+    return checked.selectExpr(*rest, *one_hot_sql(column, categories))

@@ -7,14 +7,16 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.operators.encode import known_category
-from matchloom.operators.normalize import INFO_FEATURES, PLAYER_FEATURES, Params, collect_params, zscore
+from matchloom.functions.arrays import name_sql, quoted
+from matchloom.operators.encode import known_category, one_hot_sql
+from matchloom.operators.normalize import PLAYER_FEATURES, Params, collect_params, zscore, zscore_sql
 from matchloom.operators.ordered import bucket_spans, with_range_bucket
 from matchloom.operators.series import explode_series, fallen_flags, lost_at_in_row
-from matchloom.schemas import FLAGS, TEAM_SIZE
+from matchloom.schemas import FLAGS, OBJECTIVE_LISTS, TEAM_SIZE
 
 SLOT_KEYS = ["match_id", "timestamp_s", "team"]
 ROW_KEYS = ["match_id", "timestamp"]
+PLACES = 2 * TEAM_SIZE
 
 
 def slot_numbers(df: DataFrame, slots: int | None = None) -> DataFrame:
@@ -38,14 +40,14 @@ def slot_numbers(df: DataFrame, slots: int | None = None) -> DataFrame:
     )
 
 
-def slot_wide(
+def slot_rows(
     numbered: DataFrame,
     value_columns: list[str],
     slots: int = TEAM_SIZE,
     teams: tuple = (0, 1),
     carry: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """One row per match and time with ``p{n}_{column}`` for all slots of all teams.
+    """One row per match and time with a struct ``p{n}`` of the value columns for all slots of all teams.
 
     A (match, time) that lacks a slot gives no row. One aggregation does the work of a join per slot;
     ``carry`` adds further aggregates of the group.
@@ -54,46 +56,53 @@ def slot_wide(
     cells = []
     for n, (team, num) in enumerate(places, start=1):
         here = (F.col("team") == team) & (F.col("player_num") == num)
-        cells.append(F.max(F.when(here, F.struct(*value_columns))).alias(f"p{n}"))
-    wide = (
+        cells.append(F.max(F.when(here, F.col("_slot"))).alias(f"p{n}"))
+    return (
         numbered.where((F.col("player_num") <= slots) & F.col("team").isin(list(teams)))
+        .withColumn("_slot", F.struct(*value_columns))
         .groupBy("match_id", F.col("timestamp_s").alias("timestamp"))
-        .agg(F.count(F.lit(1)).alias("_filled"), *cells, *[c.alias(n) for n, c in (carry or {}).items()])
+        .agg(F.count(F.lit(1)).alias("_filled"), *[c.alias(n) for n, c in (carry or {}).items()], *cells)
         .where(F.col("_filled") == len(places))
-    )
-    return wide.select(
-        *ROW_KEYS,
-        *(carry or {}),
-        *[F.col(f"p{n}.`{c}`").alias(f"p{n}_{c}") for n in range(1, len(places) + 1) for c in value_columns],
+        .drop("_filled")
     )
 
 
-def expand_heroes(wide: DataFrame, heroes: list[str], rest: list[str], places: int = 2 * TEAM_SIZE) -> DataFrame:
-    """Replace each ``p{n}_hero_name`` by its one-hot columns, followed by the slot's ``rest`` columns."""
-    columns: list[Column] = []
-    slot_columns = {f"p{n}_{c}" for n in range(1, places + 1) for c in ("hero_name", *rest)}
-    columns += [F.col(f"`{c}`") for c in wide.columns if c not in slot_columns]
-    checked = wide.withColumns(
-        {f"p{n}_hero_name": known_category(f"p{n}_hero_name", heroes) for n in range(1, places + 1)}
-    )
-    for n in range(1, places + 1):
-        hero = F.col(f"p{n}_hero_name")
-        columns += [
-            F.when(hero == h, F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"p{n}_hero_name_{h}") for h in heroes
-        ]
-        columns += [F.col(f"p{n}_{c}") for c in rest]
-    return checked.select(*columns)
+def slot_wide(numbered: DataFrame, value_columns: list[str], slots: int = TEAM_SIZE, teams: tuple = (0, 1)) -> DataFrame:
+    """``slot_rows`` with the structs spread to columns ``p{n}_{column}``."""
+    spread = [
+        f"p{n}.{name_sql(c)} AS {name_sql(f'p{n}_{c}')}"
+        for n in range(1, slots * len(teams) + 1)
+        for c in value_columns
+    ]
+    return slot_rows(numbered, value_columns, slots, teams).selectExpr(*ROW_KEYS, *spread)
 
 
-def feature_columns(heroes: list[str], places: int = 2 * TEAM_SIZE) -> list[str]:
+def feature_columns(heroes: list[str]) -> list[str]:
     """Names of the features in order: clock, gold, flags, then the slots."""
     names = ["timestamp", "total_gold", *FLAGS]
-    for n in range(1, places + 1):
+    for n in range(1, PLACES + 1):
         names += [f"p{n}_hero_name_{h}" for h in heroes]
         names += [f"p{n}_{c}" for c in PLAYER_FEATURES]
     return names
 
 
+def slot_columns(heroes: list[str], params: Params | None = None) -> list[str]:
+    """SQL of all slot features over the columns ``p{n}_{column}``, scaled where ``params`` are given."""
+    columns = []
+    for n in range(1, PLACES + 1):
+        columns += one_hot_sql(f"p{n}_hero_name", heroes)
+        columns += [
+            f"{zscore_sql(f'p{n}_{f}', f, params) if params else f'p{n}_{f}'} AS p{n}_{f}" for f in PLAYER_FEATURES
+        ]
+    return columns
+
+
+def known_heroes(wide: DataFrame, heroes: list[str]) -> DataFrame:
+    """Stop the job at a hero the list lacks."""
+    names = [f"p{n}_hero_name" for n in range(1, PLACES + 1)]
+    return wide.withColumns({name: known_category(name, heroes) for name in names})
+
+
 def assemble_features(
     info_ts: DataFrame,
     player_general: DataFrame,
@@ -109,12 +118,12 @@ def assemble_features(
         player_general.select("match_id", "account_id", "team", "hero_name"), ["match_id", "account_id"]
     )
     wide = slot_wide(slot_numbers(placed, TEAM_SIZE), ["hero_name", *PLAYER_FEATURES])
-    rows = expand_heroes(info_ts.join(wide, ROW_KEYS), heroes, list(PLAYER_FEATURES))
-    names = ["match_id", *feature_columns(heroes)]
+    rows = known_heroes(info_ts.join(wide, ROW_KEYS), heroes)
+    label = []
     if info_general is not None:
         rows = rows.join(info_general.select("match_id", "winning_team"), "match_id")
-        names.append("winning_team")
-    return rows.select(*[F.col(f"`{n}`") for n in names])
+        label = ["winning_team"]
+    return rows.selectExpr("match_id", "timestamp", "total_gold", *FLAGS, *slot_columns(heroes), *label)
 
 
 def co_locate(player: DataFrame) -> DataFrame:
@@ -145,28 +154,25 @@ def sample_rows(player: DataFrame) -> DataFrame:
     )
 
 
-def wide_rows(player: DataFrame, info: DataFrame) -> DataFrame:
-    """Unscaled wide rows of filtered, co-located players, with flags and label.
+def match_rows(player: DataFrame, info: DataFrame) -> DataFrame:
+    """Unscaled rows per (match, time) of filtered, co-located players: gold, flags, slots and label.
 
     The info table joins by match alone: its objectives are reduced within the row, and the gold of a
     time stamp comes out of the slot aggregate.
     """
-    slots = slot_wide(
+    slots = slot_rows(
         sample_rows(player),
         ["hero_name", *PLAYER_FEATURES],
         carry={"total_gold": F.max("total_gold").cast("bigint")},
     )
-    falls = lost_at_in_row(
-        info.select("match_id", "winning_team", *[F.col(f"`{c}`") for c in info.columns if c.startswith("objectives.")])
-    )
-    joined = slots.join(falls, "match_id")
-    rest = [c for c in slots.columns if c not in (*ROW_KEYS, "total_gold")]
-    return joined.select(
+    listed = [quoted(c) for c in OBJECTIVE_LISTS.values()]
+    falls = lost_at_in_row(info.select("match_id", "winning_team", *listed))
+    return slots.join(falls, "match_id").selectExpr(
         *ROW_KEYS,
         "total_gold",
-        *fallen_flags(F.col("timestamp")),
-        *rest,
-        (F.col("winning_team") == "Team1").cast("int").alias("winning_team"),
+        *fallen_flags("timestamp"),
+        *[f"p{n}" for n in range(1, PLACES + 1)],
+        "CAST(winning_team = 'Team1' AS INT) AS winning_team",
     )
 
 
@@ -181,7 +187,7 @@ def fit_wide(player: DataFrame, info: DataFrame) -> Params:
     rows = (
         sample_rows(player)
         .withColumn("_first", F.row_number().over(at_time.orderBy("team", "player_num")) == 1)
-        .withColumn("_full", F.count_if(placed).over(at_time) == 2 * TEAM_SIZE)
+        .withColumn("_full", F.count_if(placed).over(at_time) == PLACES)
         .join(info.select("match_id", F.lit(True).alias("_known")), "match_id", "left")
     )
     counted = {
@@ -209,27 +215,63 @@ def feature_matrix(player: DataFrame, info: DataFrame, heroes: list[str], params
     """
     placed = co_locate(player)
     params = params or fit_wide(placed, info)
-    wide = wide_rows(placed, info).withColumn("time_s", F.col("timestamp"))
-    scaled = {f: zscore(F.col(f), *params[f]) for f in ("timestamp", *INFO_FEATURES)}
-    scaled |= {
-        f"p{n}_{f}": zscore(F.col(f"p{n}_{f}"), *params[f])
-        for n in range(1, 2 * TEAM_SIZE + 1)
-        for f in PLAYER_FEATURES
-    }
-    rows = expand_heroes(wide.withColumns(scaled), heroes, list(PLAYER_FEATURES))
-    names = ["match_id", "time_s", *feature_columns(heroes), "winning_team"]
-    return rows.select(*[F.col(f"`{n}`") for n in names])
+    spread = [f"p{n}.{c} AS p{n}_{c}" for n in range(1, PLACES + 1) for c in ("hero_name", *PLAYER_FEATURES)]
+    wide = match_rows(placed, info).selectExpr(*ROW_KEYS, "total_gold", *FLAGS, *spread, "winning_team")
+    return known_heroes(wide, heroes).selectExpr(
+        "match_id",
+        "timestamp AS time_s",
+        f"{zscore_sql('timestamp', 'timestamp', params)} AS timestamp",
+        f"{zscore_sql('total_gold', 'total_gold', params)} AS total_gold",
+        *FLAGS,
+        *slot_columns(heroes, params),
+        "winning_team",
+    )
+
+
+def feature_vectors(player: DataFrame, info: DataFrame, heroes: list[str], params: Params) -> DataFrame:
+    """The training table as key, dense vector and label, without spelling out the single columns.
+
+    The vectors equal ``to_vector`` of ``feature_matrix``.
+    """
+    rows = match_rows(co_locate(player), info)
+    slots = F.array(*[F.col(f"p{n}") for n in range(1, PLACES + 1)])
+    vector = feature_vector(
+        F.col("timestamp"), F.col("total_gold"), [F.col(f) for f in FLAGS], slots, heroes, params, "hero_name"
+    )
+    return rows.select("match_id", F.col("timestamp").alias("time_s"), vector.alias("features"), "winning_team")
+
+
+def feature_vector(
+    clock: Column, gold: Column, flags: list[Column], slots: Column, heroes: list[str], params: Params, hero: str
+) -> Column:
+    """The feature values in order as a vector; ``slots`` is an array of structs with the hero in ``hero``.
+
+    An unknown hero, or a missing value, stops the job.
+    """
+    names = F.array(*[F.lit(h) for h in heroes])
+
+    def slot(p: Column) -> Column:
+        return F.concat(
+            F.transform(names, lambda h: F.when(h == p[hero], F.lit(1.0)).otherwise(F.lit(0.0))),
+            F.array(*[zscore(p[f], *params[f]) for f in PLAYER_FEATURES]),
+        )
+
+    head = F.array(zscore(clock, *params["timestamp"]), zscore(gold, *params["total_gold"]))
+    values = F.concat(head, F.array(*[f.cast("double") for f in flags]), F.flatten(F.transform(slots, slot)))
+    strange = F.exists(slots, lambda p: ~F.coalesce(p[hero].isin(list(heroes)), F.lit(False)))
+    missing = F.exists(values, lambda v: v.isNull())
+    return array_to_vector(
+        F.when(strange, F.raise_error(F.lit("unknown hero")))
+        .when(missing, F.raise_error(F.lit("a feature is missing")))
+        .otherwise(values)
+    )
 
 
 def to_vector(df: DataFrame, features: list[str], label: str = "winning_team", keep: list[str] | None = None) -> DataFrame:
     """Dense vector column ``features`` in the order given, label last; a missing value is an error."""
     plain = {f: f"f{i}" for i, f in enumerate(features)}
-    kept = [*(keep or []), *([label] if label in df.columns else [])]
-    flat = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{f}`").cast("double").alias(a) for f, a in plain.items()])
-    assembled = VectorAssembler(inputCols=list(plain.values()), outputCol="features", handleInvalid="error").transform(flat)
-    return assembled.select(*[F.col(f"`{c}`") for c in (keep or [])], "features", *([label] if label in df.columns else []))
-
-
-def vector_from_arrays(parts: list[Column]) -> Column:
-    """Vector from array columns laid end to end."""
-    return array_to_vector(F.concat(*parts))
+    ends = [label] if label in df.columns else []
+    kept = [*(keep or []), *ends]
+    flat = df.selectExpr(*map(name_sql, kept), *[f"CAST({name_sql(f)} AS DOUBLE) AS {a}" for f, a in plain.items()])
+    assembler = VectorAssembler(inputCols=list(plain.values()), outputCol="features", handleInvalid="error")
+    return assembler.transform(flat).select(*[quoted(c) for c in keep or []], "features", *ends)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.functions.arrays import name_sql
 from matchloom.operators.aggregates import mean_std
 from matchloom.operators.skew import spread_join
 
@@ -37,6 +38,12 @@ def zscore(value: Column, mean: float | None, std: float | None) -> Column:
     return F.try_divide(value.cast("double") - F.lit(mean).cast("double"), F.lit(std).cast("double"))
 
 
+def zscore_sql(column: str, feature: str, params: Params) -> str:
+    """``zscore`` of a column with a feature's parameters as SQL text."""
+    mean, std = ("CAST(NULL AS DOUBLE)" if v is None else f"{v!r}D" for v in params[feature])
+    return f"try_divide(CAST({name_sql(column)} AS DOUBLE) - {mean}, {std})"
+
+
 def transform(df: DataFrame, features: list[str], params: Params) -> DataFrame:
     return df.withColumns({f: zscore(F.col(f), *params[f]) for f in features})
 

@@ -9,12 +9,12 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.ml import Model
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.operators.features import feature_vector
 from matchloom.operators.models import with_probability
-from matchloom.operators.normalize import Params, zscore
+from matchloom.operators.normalize import Params
 from matchloom.schemas import OBJECTIVES, TEAM_SIZE, flag_name
 
 SIDES = ("team0", "team1")
@@ -179,28 +179,25 @@ def what_if(states: DataFrame, edits: dict[str, dict]) -> DataFrame:
 
 def state_vectors(states: DataFrame, params: Params, heroes: list[str]) -> DataFrame:
     """Add ``features``: the same values in the same order as a training row, built without a join."""
-    known = F.array(*[F.lit(h) for h in heroes])
-    strange = F.exists(_all_players(), lambda p: ~F.coalesce(p["hero"].isin(list(heroes)), F.lit(False)))
     wrong_size = F.lit(False)
     for side in SIDES:
-        wrong_size = wrong_size | (F.size(f"{side}.players") != TEAM_SIZE)
+        wrong_size = wrong_size | F.coalesce(F.size(f"{side}.players") != TEAM_SIZE, F.lit(True))
 
     def slot(p: Column) -> Column:
         ratio = F.try_divide(p["net_worth"].cast("double"), F.col("_gold").cast("double"))
-        return F.concat(
-            F.transform(known, lambda h: F.when(h == p["hero"], F.lit(1.0)).otherwise(F.lit(0.0))),
-            F.array(
-                zscore(p["ability_points"], *params["ability_points"]),
-                zscore(p["level"], *params["level"]),
-                zscore(ratio, *params["net_worth_ratio"]),
-            ),
-        )
+        return F.struct(p["hero"].alias("hero"), p["ability_points"].alias("ability_points"),
+                        p["level"].alias("level"), ratio.alias("net_worth_ratio"))
 
-    head = F.array(zscore(F.col("timestamp"), *params["timestamp"]), zscore(F.col("_gold"), *params["total_gold"]))
-    flags = F.array(*[f.cast("double") for f in _flags()])
-    values = F.concat(head, flags, F.flatten(F.transform(_all_players(), slot)))
-    checked = F.when(strange | wrong_size, F.raise_error(F.lit("unknown hero or wrong team size"))).otherwise(values)
-    return states.withColumn("_gold", _total_gold()).withColumn("features", array_to_vector(checked)).drop("_gold")
+    players = F.when(wrong_size, F.raise_error(F.lit("a team has six players"))).otherwise(_all_players())
+    vector = feature_vector(
+        F.col("timestamp"), F.col("_gold"), _flags(), F.col("_slots"), heroes, params, "hero"
+    )
+    return (
+        states.withColumn("_gold", _total_gold())
+        .withColumn("_slots", F.transform(players, slot))
+        .withColumn("features", vector)
+        .drop("_gold", "_slots")
+    )
 
 
 def score(model: Model, states: DataFrame, params: Params, heroes: list[str]) -> DataFrame:

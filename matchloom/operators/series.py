@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.functions.arrays import quoted, zip_rows
+from matchloom.functions.arrays import name_sql, quoted, text_sql, zip_rows
 from matchloom.functions.columns import team_number
 from matchloom.schemas import FLAGS, OBJECTIVE_LISTS, OBJECTIVES, PLAYER_SERIES, flag_name
 
@@ -58,9 +58,9 @@ def lost_at(objectives_long: DataFrame) -> DataFrame:
     falls = objectives_long.where(F.col("destroyed_time") != 0)
     return falls.groupBy("match_id").agg(
         *[
-            F.min(
-                F.when((F.col("obj_team") == team) & (F.col("obj_name") == name), F.col("destroyed_time"))
-            ).alias(flag_name(team, name))
+            F.expr(f"min(CASE WHEN obj_team = {team} AND obj_name = {text_sql(name)} THEN destroyed_time END)").alias(
+                flag_name(team, name)
+            )
             for team in (0, 1)
             for name in OBJECTIVES
         ]
@@ -74,24 +74,20 @@ def lost_at_in_row(info: DataFrame) -> DataFrame:
     """
     times, names, teams = (quoted(c) for c in OBJECTIVE_LISTS.values())
     zipped = F.arrays_zip(times.alias("t"), names.alias("n"), teams.alias("s"))
-    falls = info.withColumn("_falls", F.when(times.isNotNull() & names.isNotNull() & teams.isNotNull(), zipped))
-
-    def first_fall(team: int, name: str) -> Column:
-        hit = F.filter(
-            "_falls",
-            lambda o: (o["t"] != 0) & (o["n"] == name) & (o["s"] == f"Team{team}"),
-        )
-        return F.array_min(F.transform(hit, lambda o: o["t"])).alias(flag_name(team, name))
-
-    rest = [quoted(c) for c in info.columns if c not in OBJECTIVE_LISTS.values()]
-    return falls.select(*rest, *[first_fall(t, n) for t in (0, 1) for n in OBJECTIVES])
+    falls = info.withColumn("_falls", F.filter(zipped, lambda o: o["t"] != 0))
+    first_falls = [
+        f"array_min(transform(filter(_falls, o -> o.n = {text_sql(name)} AND o.s = 'Team{team}'), o -> o.t))"
+        f" AS {name_sql(flag_name(team, name))}"
+        for team in (0, 1)
+        for name in OBJECTIVES
+    ]
+    rest = [name_sql(c) for c in info.columns if c not in OBJECTIVE_LISTS.values()]
+    return falls.selectExpr(*rest, *first_falls)
 
 
-def fallen_flags(clock: Column) -> list[Column]:
-    """The 26 flags at time ``clock`` from the columns of ``lost_at``."""
-    return [
-        F.when(clock >= F.col(f"`{flag}`"), F.lit(1)).otherwise(F.lit(0)).alias(flag) for flag in FLAGS
-    ]
+def fallen_flags(clock: str) -> list[str]:
+    """SQL of the 26 flags at time ``clock`` over the columns of ``lost_at``."""
+    return [f"CASE WHEN {clock} >= {name_sql(f)} THEN 1 ELSE 0 END AS {name_sql(f)}" for f in FLAGS]
 
 
 def objective_flags(times: DataFrame, objectives_long: DataFrame) -> DataFrame:
@@ -101,7 +97,8 @@ def objective_flags(times: DataFrame, objectives_long: DataFrame) -> DataFrame:
     instead of times x objectives.
     """
     rest = [c for c in times.columns if c not in FLAGS]
-    return times.join(lost_at(objectives_long), "match_id", "left").select(*rest, *fallen_flags(F.col("timestamp")))
+    falls = lost_at(objectives_long)
+    return times.join(falls, "match_id", "left").selectExpr(*map(name_sql, rest), *fallen_flags("timestamp"))
 
 
 def general_columns(info: DataFrame) -> DataFrame:

@@ -200,17 +200,16 @@ FROM clock c JOIN slots s ON s.match_id = c.match_id AND s.timestamp_s = c.times
 JOIN kept_info i ON i.match_id = c.match_id"""
 
 
-def training_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], normalize.Params]:
-    """Feature matrix of the kept matches, the hero list and the fitted parameters."""
+def kept_and_params(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str], normalize.Params]:
+    """Kept info, kept players, hero list and the fitted parameters."""
     info, player = filtered(spark, sf_dir)
-    heroes = hero_list(spark, sf_dir)
-    params = features.fit_wide(features.co_locate(player), info)
-    return features.feature_matrix(player, info, heroes, params), heroes, params
+    return info, player, hero_list(spark, sf_dir), features.fit_wide(features.co_locate(player), info)
 
 
 @query("feature_matrix", _feature_sql())
 def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(training_table(spark, sf_dir)[0])
+    info, player, heroes, params = kept_and_params(spark, sf_dir)
+    return rounded(features.feature_matrix(player, info, heroes, params))
 
 
 @query("assemble_features", _feature_sql())
@@ -226,15 +225,17 @@ def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(normalize.transform(timed, ["timestamp"], params))
 
 
-def vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Key, feature vector and label of the training table."""
-    table, heroes, _ = training_table(spark, sf_dir)
-    return features.to_vector(table, features.feature_columns(heroes), keep=["match_id", "time_s"])
-
-
 @query("vectors")
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vector_table(spark, sf_dir)
+    info, player, heroes, params = kept_and_params(spark, sf_dir)
+    matrix = features.feature_matrix(player, info, heroes, params)
+    return features.to_vector(matrix, features.feature_columns(heroes), keep=["match_id", "time_s"])
+
+
+@query("feature_vectors")
+def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    info, player, heroes, params = kept_and_params(spark, sf_dir)
+    return features.feature_vectors(player, info, heroes, params)
 
 
 # game states

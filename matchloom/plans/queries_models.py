@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchloom.operators import aggregates, metrics, models, scoring, splits
-from matchloom.operators.features import feature_columns
-from matchloom.plans.queries_features import game_states, hero_list, training_table, vector_table
+from matchloom.operators.features import feature_columns, feature_vectors
+from matchloom.plans.queries_features import game_states, kept_and_params
 from matchloom.plans.registry import query, rounded
 from matchloom.session import scratch_path
+from matchloom.sources.tables import write_stage
 from matchloom.sources.testdata import read_table
 
 SEED = 42
@@ -214,11 +215,15 @@ def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 # trained models
 
 
+def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], dict]:
+    """The vector table, written once: training passes over it many times."""
+    info, player, heroes, params = kept_and_params(spark, sf_dir)
+    table = feature_vectors(player, info, heroes, params)
+    return write_stage(table, scratch_path(spark, "vectors")), heroes, params
+
+
 def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Vectors split by match, so that rows of one match do not fall on both sides."""
-    table = vector_table(spark, sf_dir).persist()
-    placed = splits.split_stratified(table, models.LABEL, 0.25, SEED, models.KEY)
-    return placed.where(F.col("part") == "train").drop("part"), placed.where(F.col("part") == "test").drop("part")
+    return models.stratified_parts(_vectors(spark, sf_dir)[0], 0.25, SEED)
 
 
 def _scored(model, test: DataFrame) -> DataFrame:
@@ -272,7 +277,7 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("model_comparison")
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = vector_table(spark, sf_dir).persist()
+    table, _, _ = _vectors(spark, sf_dir)
     fits = {
         "Logistic Regression": lambda train, seed: models.fit_logreg(train),
         "Random Forest": lambda train, seed: models.fit_forest(train, seed, trees=10, depth=5),
@@ -282,8 +287,9 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("model_roundtrip")
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _parts(spark, sf_dir)
-    names = feature_columns(hero_list(spark, sf_dir))
+    table, heroes, _ = _vectors(spark, sf_dir)
+    train, test = models.stratified_parts(table, 0.25, SEED)
+    names = feature_columns(heroes)
     path = scratch_path(spark, "model")
     models.save_model(models.fit_logreg(train), path, {"features": names})
     model, _ = models.load_model(spark, path, names)
@@ -293,7 +299,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("score_states")
 def score_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all valid states of all matches, by a model trained on the kept matches."""
-    _, heroes, params = training_table(spark, sf_dir)
-    model = models.fit_logreg(vector_table(spark, sf_dir).persist())
+    table, heroes, params = _vectors(spark, sf_dir)
+    model = models.fit_logreg(table)
     states = scoring.accepted(scoring.validate(game_states(spark, sf_dir), heroes))
     return scoring.score(model, states, params, heroes).select("match_id", "timestamp", "score")
