@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions.columns import interval_label, whole_div
-from matchloom.operators.ordered import exact_quantiles
+from matchloom.operators.ordered import value_weights, weighted_quantiles
 from matchloom.operators.skew import spread_join
 from matchloom.schemas import TEAMS
 
@@ -174,17 +174,17 @@ def fixed_histogram(df: DataFrame, column: str, width: int, drop_top_edge: bool
 
 def box_stats(df: DataFrame, column: str, by: str) -> DataFrame:
     """Quartiles and whiskers (outermost values within 1.5 interquartile ranges) per group."""
-    quartiles = exact_quantiles(df, [by], column, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    values = df.where(F.col(column).isNotNull()).dropna(subset=[by])
+    counts = value_weights(df, [by], column)
+    quartiles = weighted_quantiles(counts, [by], {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    near = F.col(column).between(F.col("q1") - reach, F.col("q3") + reach)
+    near = F.col("_value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        spread_join(values.select(by, column), quartiles, [by])
+        spread_join(counts, quartiles, [by])
         .groupBy(by, "q1", "median", "q3")
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.when(near, F.col(column))).cast("double").alias("whisker_low"),
-            F.max(F.when(near, F.col(column))).cast("double").alias("whisker_high"),
-            F.count_if(~near).alias("outliers"),
+            F.sum("_count").alias("n"),
+            F.min(F.when(near, F.col("_value"))).cast("double").alias("whisker_low"),
+            F.max(F.when(near, F.col("_value"))).cast("double").alias("whisker_high"),
+            F.sum(F.when(near, F.lit(0)).otherwise(F.col("_count"))).alias("outliers"),
         )
     )

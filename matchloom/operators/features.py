@@ -40,6 +40,10 @@ def slot_numbers(df: DataFrame, slots: int | None = None) -> DataFrame:
     )
 
 
+def _in_slot(slots: int, teams: tuple) -> Column:
+    return F.coalesce((F.col("player_num") <= slots) & F.col("team").isin(list(teams)), F.lit(False))
+
+
 def slot_rows(
     numbered: DataFrame,
     value_columns: list[str],
@@ -50,18 +54,22 @@ def slot_rows(
     """One row per match and time with a struct ``p{n}`` of the value columns for all slots of all teams.
 
     A (match, time) that lacks a slot gives no row. One aggregation does the work of a join per slot;
-    ``carry`` adds further aggregates of the group.
+    ``carry`` adds further aggregates over all rows of the group, those beyond the slots included.
     """
     places = [(team, num) for team in teams for num in range(1, slots + 1)]
     cells = []
     for n, (team, num) in enumerate(places, start=1):
         here = (F.col("team") == team) & (F.col("player_num") == num)
         cells.append(F.max(F.when(here, F.col("_slot"))).alias(f"p{n}"))
+    rows = numbered if carry else numbered.where(_in_slot(slots, teams))
     return (
-        numbered.where((F.col("player_num") <= slots) & F.col("team").isin(list(teams)))
-        .withColumn("_slot", F.struct(*value_columns))
+        rows.withColumn("_slot", F.struct(*value_columns))
         .groupBy("match_id", F.col("timestamp_s").alias("timestamp"))
-        .agg(F.count(F.lit(1)).alias("_filled"), *[c.alias(n) for n, c in (carry or {}).items()], *cells)
+        .agg(
+            F.count_if(_in_slot(slots, teams)).alias("_filled"),
+            *[c.alias(n) for n, c in (carry or {}).items()],
+            *cells,
+        )
         .where(F.col("_filled") == len(places))
         .drop("_filled")
     )
@@ -136,24 +144,21 @@ def co_locate(player: DataFrame) -> DataFrame:
 
 
 def sample_rows(player: DataFrame) -> DataFrame:
-    """Samples of filtered players with team number, worth of all players, ratio and slot number.
+    """Samples of filtered players with team and slot number.
 
-    ``player`` comes from ``co_locate``; the windows add no shuffle.
+    ``player`` comes from ``co_locate``; numbering adds a sort but no shuffle.
     """
     rows = explode_series(player, ["match_id", "account_id", "team", "hero_name"])
-    rows = rows.withColumn("team", (F.col("team") == "Team1").cast("int"))
-    at_time = Window.partitionBy("match_id", "timestamp_s")
     in_team = Window.partitionBy("match_id", "timestamp_s", "team").orderBy("account_id")
-    return (
-        rows.withColumn("player_num", F.row_number().over(in_team))
-        .withColumn("total_gold", F.sum("net_worth").over(at_time))
-        .withColumn(
-            "net_worth_ratio",
-            F.try_divide(F.col("net_worth").cast("double"), F.col("total_gold").cast("double")),
-        )
+    return rows.withColumn("team", (F.col("team") == "Team1").cast("int")).withColumn(
+        "player_num", F.row_number().over(in_team)
     )
 
 
+def worth_share(worth: Column, total: Column) -> Column:
+    return F.try_divide(worth.cast("double"), total.cast("double"))
+
+
 def match_rows(player: DataFrame, info: DataFrame) -> DataFrame:
     """Unscaled rows per (match, time) of filtered, co-located players: gold, flags, slots and label.
 
@@ -162,8 +167,8 @@ def match_rows(player: DataFrame, info: DataFrame) -> DataFrame:
     """
     slots = slot_rows(
         sample_rows(player),
-        ["hero_name", *PLAYER_FEATURES],
-        carry={"total_gold": F.max("total_gold").cast("bigint")},
+        ["hero_name", "ability_points", "level", "net_worth"],
+        carry={"total_gold": F.sum("net_worth").cast("bigint")},
     )
     listed = [quoted(c) for c in OBJECTIVE_LISTS.values()]
     falls = lost_at_in_row(info.select("match_id", "winning_team", *listed))
@@ -171,7 +176,11 @@ def match_rows(player: DataFrame, info: DataFrame) -> DataFrame:
         *ROW_KEYS,
         "total_gold",
         *fallen_flags("timestamp"),
-        *[f"p{n}" for n in range(1, PLACES + 1)],
+        *[
+            f"struct(p{n}.hero_name, p{n}.ability_points, p{n}.level, "
+            f"try_divide(CAST(p{n}.net_worth AS DOUBLE), CAST(total_gold AS DOUBLE)) AS net_worth_ratio) AS p{n}"
+            for n in range(1, PLACES + 1)
+        ],
         "CAST(winning_team = 'Team1' AS INT) AS winning_team",
     )
 
@@ -183,11 +192,12 @@ def fit_wide(player: DataFrame, info: DataFrame) -> Params:
     counts the (match, time) pairs that fill all twelve slots and have an info row.
     """
     at_time = Window.partitionBy("match_id", "timestamp_s")
-    placed = (F.col("player_num") <= TEAM_SIZE) & F.col("team").isin(0, 1)
     rows = (
         sample_rows(player)
+        .withColumn("total_gold", F.sum("net_worth").over(at_time))
+        .withColumn("net_worth_ratio", worth_share(F.col("net_worth"), F.col("total_gold")))
         .withColumn("_first", F.row_number().over(at_time.orderBy("team", "player_num")) == 1)
-        .withColumn("_full", F.count_if(placed).over(at_time) == PLACES)
+        .withColumn("_full", F.count_if(_in_slot(TEAM_SIZE, (0, 1))).over(at_time) == PLACES)
         .join(info.select("match_id", F.lit(True).alias("_known")), "match_id", "left")
     )
     counted = {

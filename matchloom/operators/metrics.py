@@ -60,7 +60,7 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
         .groupBy(F.col(score).alias("_score"))
         .agg(F.count_if(positive).alias("_pos"), F.count_if(~positive).alias("_neg"))
     )
-    bucketed = with_range_bucket(per_score, "_score")
+    bucketed = with_range_bucket(per_score, "_score", ("_pos", "_neg"))
     spans = bucket_spans(bucketed, [], F.col("_neg")).select("_bucket", "_start")
     upto = Window.partitionBy("_bucket").orderBy("_score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     below = F.col("_start") + F.sum("_neg").over(upto) - F.col("_neg")

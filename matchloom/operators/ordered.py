@@ -19,18 +19,27 @@ def digest(seed: int, keys: list[str]) -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed).cast("string"), *[F.col(k).cast("string") for k in keys]))
 
 
-def with_range_bucket(df: DataFrame, column: str, buckets: int = BUCKETS) -> DataFrame:
+def with_range_bucket(df: DataFrame, column: str, also_read: tuple[str, ...] = (), buckets: int = BUCKETS) -> DataFrame:
     """Add ``_bucket``: the position of ``column`` among approximate quantiles of the table.
 
     Any cut points give right results downstream; the quantiles only keep the buckets even.
+    ``buckets`` is a power of two. Where ``df`` is an aggregate, ``also_read`` names its other columns:
+    the pass for the cut points then equals the main pass, and Spark runs the shuffle below once.
     """
     points = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(column, points, 4 * buckets).alias("cuts")).scalar()
-    return (
-        df.withColumn("_cuts", cuts)
-        .withColumn("_bucket", F.size(F.filter("_cuts", lambda cut: cut < F.col(column))))
-        .drop("_cuts")
+    found = F.struct(
+        F.percentile_approx(column, points, 4 * buckets).alias("cuts"), *[F.max(c).alias(c) for c in also_read]
+    )
+    cuts = df.agg(found.alias("found")).scalar()["cuts"]
+    steps = [buckets >> n for n in range(1, buckets.bit_length())]
+    # binary search: go right by a step where the cut there is still below the value
+    position = F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda at, step: F.when(F.get(F.col("_cuts"), at + step - 1) < F.col(column), at + step).otherwise(at),
     )
+    # never NULL, so that joins on the bucket add no filter that would work it out for every row below
+    return df.withColumn("_cuts", cuts).withColumn("_bucket", F.coalesce(position, F.lit(0))).drop("_cuts")
 
 
 def bucket_spans(bucketed: DataFrame, by: list[str], weight: Column) -> DataFrame:
@@ -47,17 +56,23 @@ def bucket_spans(bucketed: DataFrame, by: list[str], weight: Column) -> DataFram
     )
 
 
+def value_weights(df: DataFrame, by: list[str], column: str) -> DataFrame:
+    """Rows per group and value as (by, _value, _count), NULL values and NULL groups left out."""
+    present = df.dropna(subset=[*by, column])
+    return present.groupBy(*by, F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_count"))
+
+
 def exact_quantiles(df: DataFrame, by: list[str], column: str, probs: dict[str, float]) -> DataFrame:
     """Interpolated quantiles per group (name -> probability), one row per group.
 
-    NULL values and NULL groups are left out. Equal to sorting each group whole and interpolating
-    linearly between the two neighbours.
+    Equal to sorting each group whole and interpolating linearly between the two neighbours.
     """
-    present = df.where(F.col(column).isNotNull())
-    for key in by:
-        present = present.where(F.col(key).isNotNull())
-    counts = present.groupBy(*by, F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_count"))
-    bucketed = with_range_bucket(counts, "_value")
+    return weighted_quantiles(value_weights(df, by, column), by, probs)
+
+
+def weighted_quantiles(counts: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
+    """``exact_quantiles`` of a table from ``value_weights``."""
+    bucketed = with_range_bucket(counts, "_value", ("_count",))
     wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p")) for n, p in probs.items()])
     position = F.col("_want.p") * (F.col("_total") - 1)
     targets = (
