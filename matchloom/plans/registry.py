@@ -5,9 +5,10 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchloom.functions.arrays import name_sql
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -30,11 +31,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, so that the order of summation does not show."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
+            f"round({name_sql(f.name)}, {digits}) AS {name_sql(f.name)}"
             if isinstance(f.dataType, T.DoubleType)
-            else F.col(f"`{f.name}`")
+            else name_sql(f.name)
             for f in df.schema.fields
         ]
     )
