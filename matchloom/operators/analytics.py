@@ -325,10 +325,11 @@ def hero_time_samples(
     if heroes is not None:
         player_ts = filter_in(player_ts, "hero_name", heroes)
     # samples of a player in one bin share their result: count them before the result is attached
-    per_match = group_stats(
-        player_ts.withColumn("time_bin_min", time_bin(F.col("timestamp_s"))),
-        ["match_id", "hero_name", "team", "time_bin_min"],
-        _rows=F.count(F.lit(1)),
+    binned = player_ts.withColumn("time_bin_min", time_bin(F.col("timestamp_s")))
+    per_match = (
+        binned.dropna(subset=["hero_name", "time_bin_min"])
+        .groupBy("match_id", "hero_name", "team", "time_bin_min")
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
     played = attach_winner(per_match, info, "left")
     wins = F.sum(F.when(_won(), F.col("_rows")).otherwise(F.lit(0)))

@@ -155,10 +155,6 @@ def sample_rows(player: DataFrame) -> DataFrame:
     )
 
 
-def worth_share(worth: Column, total: Column) -> Column:
-    return F.try_divide(worth.cast("double"), total.cast("double"))
-
-
 def match_rows(player: DataFrame, info: DataFrame) -> DataFrame:
     """Unscaled rows per (match, time) of filtered, co-located players: gold, flags, slots and label.
 
@@ -189,33 +185,57 @@ def fit_wide(player: DataFrame, info: DataFrame) -> Params:
     """All five standardisation parameters in one pass over the co-located players.
 
     Total gold counts each (match, time) once, the player features count each sample, and the clock
-    counts the (match, time) pairs that fill all twelve slots and have an info row.
+    counts the (match, time) pairs that fill all twelve slots and have an info row. The samples of a
+    (match, time) are reduced to counts, sums and sums of squares first, so numbering is the only sort.
     """
-    at_time = Window.partitionBy("match_id", "timestamp_s")
-    rows = (
+
+    def moments(name: str, value: Column) -> list[Column]:
+        value = value.cast("double")
+        return [
+            F.count(value).alias(f"{name}_n"), F.sum(value).alias(f"{name}_s"), F.sum(value * value).alias(f"{name}_q"),
+        ]
+
+    worth = F.col("net_worth")
+    at_time = (
         sample_rows(player)
-        .withColumn("total_gold", F.sum("net_worth").over(at_time))
-        .withColumn("net_worth_ratio", worth_share(F.col("net_worth"), F.col("total_gold")))
-        .withColumn("_first", F.row_number().over(at_time.orderBy("team", "player_num")) == 1)
-        .withColumn("_full", F.count_if(_in_slot(TEAM_SIZE, (0, 1))).over(at_time) == PLACES)
+        .groupBy("match_id", "timestamp_s")
+        .agg(
+            F.sum(worth).alias("total_gold"),
+            F.count_if(_in_slot(TEAM_SIZE, (0, 1))).alias("_filled"),
+            *[m for f in ("ability_points", "level", "net_worth") for m in moments(f, F.col(f))],
+        )
         .join(info.select("match_id", F.lit(True).alias("_known")), "match_id", "left")
     )
-    counted = {
-        "total_gold": F.when(F.col("_first"), F.col("total_gold")),
-        "ability_points": F.col("ability_points"),
-        "level": F.col("level"),
-        "net_worth_ratio": F.col("net_worth_ratio"),
-        "timestamp": F.when(F.col("_first") & F.col("_full") & F.col("_known"), F.col("timestamp_s")),
+    # a ratio is worth / total_gold, so its sums follow from those of the worth
+    gold = F.nullif(F.col("total_gold").cast("double"), F.lit(0.0))
+    at_time = at_time.withColumns(
+        {
+            "net_worth_ratio_n": F.when(gold.isNotNull(), F.col("net_worth_n")).otherwise(F.lit(0)),
+            "net_worth_ratio_s": F.col("net_worth_s") / gold,
+            "net_worth_ratio_q": F.col("net_worth_q") / (gold * gold),
+        }
+    )
+
+    def pooled(name: str) -> tuple[Column, Column]:
+        n = F.sum(f"{name}_n").cast("double")
+        mean = F.try_divide(F.sum(f"{name}_s"), n)
+        spread = F.try_divide(F.sum(f"{name}_q"), n) - mean * mean
+        return mean, F.sqrt(F.greatest(spread, F.lit(0.0)))
+
+    full = (F.col("_filled") == PLACES) & F.col("_known")
+    clock = F.when(full, F.col("timestamp_s"))
+    fitted = {
+        "total_gold": (F.avg("total_gold").cast("double"), F.stddev_pop("total_gold")),
+        **{f: pooled(f) for f in PLAYER_FEATURES},
+        "timestamp": (F.avg(clock).cast("double"), F.stddev_pop(clock)),
     }
-    wide = rows.agg(
+    wide = at_time.agg(
         *[
-            F.struct(
-                F.lit(f).alias("feature"), F.avg(c).cast("double").alias("mean"), F.stddev_pop(c).alias("std")
-            ).alias(f)
-            for f, c in counted.items()
+            F.struct(F.lit(f).alias("feature"), mean.alias("mean"), std.alias("std")).alias(f)
+            for f, (mean, std) in fitted.items()
         ]
     )
-    return collect_params(wide.select(F.inline(F.array(*[F.col(f) for f in counted]))))
+    return collect_params(wide.select(F.inline(F.array(*[F.col(f) for f in fitted]))))
 
 
 def feature_matrix(player: DataFrame, info: DataFrame, heroes: list[str], params: Params | None = None) -> DataFrame:
@@ -259,17 +279,28 @@ def feature_vector(
     An unknown hero, or a missing value, stops the job.
     """
     names = F.array(*[F.lit(h) for h in heroes])
+    zero, one = F.lit(0.0), F.array(F.lit(1.0))
 
     def slot(p: Column) -> Column:
+        place = F.array_position(names, p[hero]).cast("int")
         return F.concat(
-            F.transform(names, lambda h: F.when(h == p[hero], F.lit(1.0)).otherwise(F.lit(0.0))),
+            F.array_repeat(zero, place - 1),
+            one,
+            F.array_repeat(zero, F.lit(len(heroes)) - place),
             F.array(*[zscore(p[f], *params[f]) for f in PLAYER_FEATURES]),
         )
 
     head = F.array(zscore(clock, *params["timestamp"]), zscore(gold, *params["total_gold"]))
     values = F.concat(head, F.array(*[f.cast("double") for f in flags]), F.flatten(F.transform(slots, slot)))
-    strange = F.exists(slots, lambda p: ~F.coalesce(p[hero].isin(list(heroes)), F.lit(False)))
-    missing = F.exists(values, lambda v: v.isNull())
+    strange = F.exists(slots, lambda p: F.coalesce(F.array_position(names, p[hero]), F.lit(0)) == 0)
+
+    def gap(p: Column) -> Column:
+        lacks = F.lit(False)
+        for f in PLAYER_FEATURES:
+            lacks = lacks | zscore(p[f], *params[f]).isNull()
+        return lacks
+
+    missing = head[0].isNull() | head[1].isNull() | F.exists(slots, gap)
     return array_to_vector(
         F.when(strange, F.raise_error(F.lit("unknown hero")))
         .when(missing, F.raise_error(F.lit("a feature is missing")))

@@ -46,9 +46,16 @@ def split_exact(df: DataFrame, val: float, test: float, seed: int, key: list[str
     ).drop("_bounds")
 
 
+MAX_CLASSES = 1000
+
+
 def _class_map(table: DataFrame, label: str, value: str) -> Column:
-    """A value per class as a map; there are as many entries as classes."""
-    return table.agg(F.map_from_entries(F.collect_list(F.struct(label, value)))).scalar()
+    """A value per class as a map. More than ``MAX_CLASSES`` classes are an error, not a large map."""
+    entries = F.map_from_entries(F.collect_list(F.struct(label, value)))
+    checked = F.when(
+        F.count(F.lit(1)) > MAX_CLASSES, F.raise_error(F.lit(f"{label} has more than {MAX_CLASSES} classes"))
+    ).otherwise(entries)
+    return table.limit(MAX_CLASSES + 1).agg(checked).scalar()
 
 
 def train_sizes(df: DataFrame, label: str, test_size: float) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom.operators import encode, features, normalize, scoring, series
+from matchloom.operators.joins import small_dim
 from matchloom.operators.normalize import PLAYER_FEATURES
 from matchloom.plans import views
 from matchloom.plans.queries_tables import filtered, samples, stage_tables
@@ -250,7 +251,7 @@ def game_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = EventMatches(spark, sf_dir)
     rows = series.explode_series(raw.player, ["match_id", "account_id", "team", "hero_id"])
     names = raw.heroes.select(F.col("id").alias("hero_id"), F.col("name").alias("hero"))
-    rows = rows.join(F.broadcast(names), "hero_id", "left")
+    rows = rows.join(small_dim(names), "hero_id", "left")
     worth = F.when(F.col("match_id") % 7 == 3, -F.col("net_worth")).otherwise(F.col("net_worth"))
     player = F.struct("account_id", "hero", worth.alias("net_worth"), "ability_points", "level")
 
