@@ -174,6 +174,23 @@ def count_stages(stages: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def kept_ids(eligible: DataFrame, player: DataFrame, leniency_s: int = 70) -> DataFrame:
+    """Ids of the eligible matches that are complete and that nobody left early."""
+    verdicts = match_verdicts(eligible, player, leniency_s)
+    return verdicts.where(F.col("complete") & ~F.col("left_early")).select("match_id")
+
+
+def players_of(player: DataFrame, kept: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Player rows of the kept matches, without the leaving time.
+
+    Match ids with more than ``heavy_rows`` player rows cannot be complete. They are few, so they are
+    dropped in the map stage and never reach the shuffle of the wide player rows.
+    """
+    crowded = F.broadcast(heavy_keys(player, ["match_id"], heavy_rows))
+    rest = player.join(crowded, "match_id", "left_anti")
+    return keep_matching(rest, kept.select("match_id"), "match_id").drop("abandon_match_time_s")
+
+
 def filter_matches(
     info: DataFrame,
     player: DataFrame,
@@ -185,17 +202,7 @@ def filter_matches(
     min_duration: int = 480,
     heavy_rows: int = HEAVY_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Info and player rows of eligible, complete matches that nobody left early.
-
-    Match ids with more than ``heavy_rows`` player rows cannot be complete. They are few, so they are
-    dropped in the map stage and never reach the shuffle of the wide player rows.
-    """
+    """Info and player rows of eligible, complete matches that nobody left early."""
     eligible = filter_matches_eligible(info, start, end, min_badge, max_disparity, min_duration)
-    verdicts = match_verdicts(eligible, player, leniency_s)
-    kept = verdicts.where(F.col("complete") & ~F.col("left_early")).select("match_id")
-    crowded = F.broadcast(heavy_keys(player, ["match_id"], heavy_rows))
-    players = player.join(crowded, "match_id", "left_anti")
-    return (
-        keep_matching(eligible, kept, "match_id"),
-        keep_matching(players, kept, "match_id").drop("abandon_match_time_s"),
-    )
+    kept = kept_ids(eligible, player, leniency_s)
+    return keep_matching(eligible, kept, "match_id"), players_of(player, kept, heavy_rows)

@@ -7,8 +7,14 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchloom.operators.features import co_locate, feature_columns, feature_matrix, fit_wide
-from matchloom.operators.filters import filter_matches
+from matchloom.operators.features import co_locate, feature_matrix, fit_wide
+from matchloom.operators.filters import (
+    filter_matches,
+    filter_matches_eligible,
+    keep_matching,
+    kept_ids,
+    players_of,
+)
 from matchloom.operators.joins import replace_hero_ids_with_names
 from matchloom.operators.normalize import Params
 from matchloom.operators.series import split_general_timestamp
@@ -36,8 +42,28 @@ def select_matches(
     return kept_info, replace_hero_ids_with_names(kept_player, heroes)
 
 
+def store_matches(
+    info: DataFrame, player: DataFrame, heroes: DataFrame, chosen: Selection, out: str
+) -> tuple[DataFrame, DataFrame]:
+    """``select_matches`` written below ``out`` and read back.
+
+    The stored info rows carry the kept ids, so the wide player table is scanned once for its rows and
+    once, two columns only, for the verdicts.
+    """
+    eligible = filter_matches_eligible(info, chosen.start, chosen.end, chosen.min_badge, chosen.max_disparity)
+    kept = keep_matching(eligible, kept_ids(eligible, player, chosen.leniency_s), "match_id")
+    stored_info = write_stage(kept, f"{out}/kept_info")
+    named = replace_hero_ids_with_names(players_of(player, stored_info), heroes)
+    return stored_info, write_stage(named, f"{out}/kept_player")
+
+
 def prepare(
-    spark: SparkSession, folder: str, heroes_path: str, out: str, id_range: range = range(45, 48), chosen: Selection = Selection()
+    spark: SparkSession,
+    folder: str,
+    heroes_path: str,
+    out: str,
+    id_range: range = range(45, 48),
+    chosen: Selection = Selection(),
 ) -> tuple[DataFrame, Params]:
     """Write the stage tables, the parameters and the training table below ``out``.
 
@@ -45,22 +71,16 @@ def prepare(
     table start from them and not from the raw files.
     """
     heroes = scan_parquet(spark, heroes_path)
-    hero_names = load_dim_list(heroes)
-    info, player = select_matches(
+    info, player = store_matches(
         scan_numbered(spark, folder, "match_info", id_range),
         scan_numbered(spark, folder, "match_player", id_range),
         heroes,
         chosen,
+        out,
     )
-    info = write_stage(info, f"{out}/kept_info")
-    player = write_stage(player, f"{out}/kept_player")
     for name, table in split_general_timestamp(info, player)._asdict().items():
         write_stage(table, f"{out}/match_{name}")
     params = fit_wide(co_locate(player), info)
     save_params(player, params, f"{out}/normalization_params")
-    matrix = write_stage(feature_matrix(player, info, hero_names, params), f"{out}/training_dataframe")
-    return matrix, params
-
-
-def feature_names(hero_names: list[str]) -> list[str]:
-    return feature_columns(hero_names)
+    matrix = feature_matrix(player, info, load_dim_list(heroes), params)
+    return write_stage(matrix, f"{out}/training_dataframe"), params

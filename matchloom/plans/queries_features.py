@@ -9,9 +9,11 @@ from matchloom.operators import encode, features, normalize, scoring, series
 from matchloom.operators.joins import small_dim
 from matchloom.operators.normalize import PLAYER_FEATURES
 from matchloom.plans import views
-from matchloom.plans.queries_tables import filtered, samples, stage_tables
+from matchloom.plans.prepare import store_matches
+from matchloom.plans.queries_tables import CHOSEN, samples, stage_tables
 from matchloom.plans.registry import query, rounded
 from matchloom.schemas import FLAGS, OBJECTIVES, TEAM_SIZE
+from matchloom.session import scratch_path
 from matchloom.sources import tables
 from matchloom.sources.testdata import EventMatches, read_table
 
@@ -202,8 +204,12 @@ JOIN kept_info i ON i.match_id = c.match_id"""
 
 
 def kept_and_params(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str], normalize.Params]:
-    """Kept info, kept players, hero list and the fitted parameters."""
-    info, player = filtered(spark, sf_dir)
+    """Kept info, kept players, hero list and the fitted parameters.
+
+    The kept rows are written once, as in ``plans.prepare``: the fit and the training table both read them.
+    """
+    raw = EventMatches(spark, sf_dir)
+    info, player = store_matches(raw.info, raw.player, raw.heroes, CHOSEN, scratch_path(spark, "kept"))
     return info, player, hero_list(spark, sf_dir), features.fit_wide(features.co_locate(player), info)
 
 
