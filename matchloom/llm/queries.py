@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from matchloom.llm import decontaminate
+from matchloom.llm import decontaminate, main_text, mixing, quality_rules, warc
 from matchloom.llm.common import table
+from matchloom.session import scratch_path
 
 QUERIES = {}
 ORACLES = {}
@@ -53,3 +54,65 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 def op3_decontaminate(spark, sf_dir):
     """Which words of each document lie in a benchmark window, and whose."""
     return decontaminate.digest(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+OP5_SQL = r"""
+WITH s AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+u AS (
+  SELECT *, (CAST(CAST('0x' || substr(md5(concat_ws(':', 'mix-1', coalesce(CAST(doc_id AS VARCHAR), '-'), CAST(size AS VARCHAR))), 1, 13)
+             AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0 AS u FROM s),
+t AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS total, row_number() OVER (ORDER BY source NULLS LAST) AS r FROM s GROUP BY source),
+w AS (
+  SELECT *, CAST((r - 1) % 3 + 1 AS DOUBLE) AS weight, CAST(3 * total AS DOUBLE) AS cap, CAST(sum(total) OVER () AS DOUBLE) AS a FROM t),
+f AS (
+  SELECT *, sum(weight) OVER (ORDER BY cap / weight, r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS o,
+         coalesce(sum(cap) OVER (ORDER BY cap / weight, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled FROM w),
+g AS (SELECT *, cap * o < weight * (a - filled) AS is_full FROM f),
+h AS (
+  SELECT *, a - coalesce(sum(CASE WHEN is_full THEN cap END) OVER (), 0) AS l, sum(CASE WHEN NOT is_full THEN weight END) OVER () AS among FROM g),
+k AS (SELECT source, total, CASE WHEN is_full THEN cap ELSE weight * l / among END AS target FROM h),
+c AS (SELECT *, CASE WHEN total > 0 THEN floor(target / total) ELSE 0 END AS whole FROM k),
+p AS (
+  SELECT u.doc_id, u.size, c.total, c.target, c.whole, c.target - c.whole * c.total AS rest,
+         coalesce(sum(u.size) OVER (PARTITION BY u.source ORDER BY u.u, u.doc_id, u.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM u JOIN c ON u.source IS NOT DISTINCT FROM c.source)
+SELECT doc_id, size, total AS source_size, target,
+       CAST(size * (whole + CASE WHEN total > 0 AND target / total > whole AND before + size / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM p
+"""
+
+
+@query("op5_mix_sources", OP5_SQL)
+def op5_mix_sources(spark, sf_dir):
+    """How many words of each document the mix of all sources takes."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d AND n >= 1000
+"""
+
+
+@query("op2_warc_archives", OP2_SQL)
+def op2_warc_archives(spark, sf_dir):
+    """Each page as it comes back from compressed archives."""
+    return warc.round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
+@query("op6_main_text")
+def op6_main_text(spark, sf_dir):
+    """The main text of each page."""
+    return main_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark, sf_dir):
+    """Counts and verdict for each document."""
+    return quality_rules.outliers(quality_rules.text_counts(table(spark, sf_dir, "documents"))).drop("lang", "source")
