@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from matchloom.llm import decontaminate, main_text, mixing, quality_rules, warc
+from matchloom.llm import decontaminate, jaccard_join, main_text, mixing, quality_rules, warc, weak_labels
 from matchloom.llm.common import table
 from matchloom.session import scratch_path
 
@@ -116,3 +116,15 @@ def op6_main_text(spark, sf_dir):
 def op10_quality_rules(spark, sf_dir):
     """Counts and verdict for each document."""
     return quality_rules.outliers(quality_rules.text_counts(table(spark, sf_dir, "documents"))).drop("lang", "source")
+
+
+@query("op7_weak_label_classifier")
+def op7_weak_label_classifier(spark, sf_dir):
+    """Chances of each document to be poor or toxic, and whether it is kept."""
+    return weak_labels.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark, sf_dir):
+    """Size of each document's shingle set and the smallest id it is linked with."""
+    return jaccard_join.grouped(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
