@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from matchloom.llm import decontaminate, jaccard_join, main_text, mixing, quality_rules, warc, weak_labels
+from matchloom.llm import decontaminate, jaccard_join, main_text, mixing, quality_rules, suffix_dedup, warc, weak_labels
 from matchloom.llm.common import table
 from matchloom.session import scratch_path
 
@@ -128,3 +128,9 @@ def op7_weak_label_classifier(spark, sf_dir):
 def op9_jaccard_join(spark, sf_dir):
     """Size of each document's shingle set and the smallest id it is linked with."""
     return jaccard_join.grouped(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark, sf_dir):
+    """What remains of each document without byte strings that occur earlier."""
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"))
