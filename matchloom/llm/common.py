@@ -125,14 +125,42 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Integers by byte planes, so that the shuffle's codec sees the empty high bytes."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+def pack(values: np.ndarray) -> bytes:
+    """Integers by byte planes, compressed: high planes are nearly empty in most columns."""
+    import zstandard
 
+    flat_planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return zstandard.ZstdCompressor(level=1).compress(flat_planes.tobytes())
+
+
+def unpack(raw: bytes, kind: type) -> np.ndarray:
+    import zstandard
 
-def unplanes(raw: bytes, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(width, -1).T).view(kind).ravel()
+    flat_planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8)
+    return np.ascontiguousarray(flat_planes.reshape(width, -1).T).view(kind).ravel()
+
+
+# Messages between blocks of documents and shards of keys: a block asks, each shard answers the block in the order of the
+# questions.
+MESSAGE = "block long, shard long, round int, a binary, b binary, c binary, d binary, e binary"
+
+
+def message(block: int, shard: int, number: int, *parts: bytes) -> dict:
+    return {"block": block, "shard": shard, "round": number} | dict(zip("abcde", [*parts, *[None] * (5 - len(parts))]))
+
+
+def as_table(messages: list[dict]) -> pa.Table:
+    kinds = [("block", pa.int64()), ("shard", pa.int64()), ("round", pa.int32()), *((c, pa.binary()) for c in "abcde")]
+    return pa.Table.from_pylist(messages, schema=pa.schema(kinds))
+
+
+def by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard with the places of its entries, in order."""
+    order = np.argsort(shard, kind="stable")
+    edge = np.flatnonzero(np.diff(shard[order], prepend=-1))
+    for a, b in zip(edge, np.append(edge[1:], len(order))):
+        yield int(shard[order[a]]), order[a:b]
 
 
 def store(df: DataFrame, label: str) -> DataFrame:

@@ -6,7 +6,7 @@ place). Strings are judged on the input and never cross documents.
 Sorting every suffix would need a tuple per byte on disk, several times the input. So only sample suffixes are sorted,
 and the order of all others is induced from them:
 
-- Every string of ``length`` bytes is led by its smallest gram of ``GRAM`` bytes (by hash, leftmost on ties). Equal
+- Every string of ``length`` bytes is led by its smallest gram of ``LEADER`` bytes (by hash, leftmost on ties). Equal
   strings have equal leaders at equal offsets, and one leader serves a run of neighbouring strings: about one sample
   for 25 bytes.
 - Round 1: blocks of documents send the hashes of their leaders to shards, which answer what occurs again.
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchloom.llm.common import U64, Hasher, block_count, flat, planes, slices, text_bytes, unplanes
+from matchloom.llm.common import MESSAGE, U64, Hasher, as_table, block_count, by_shard, flat, message, pack, slices, text_bytes, unpack
 
 LENGTH = 100
 LEADER = 50
@@ -46,18 +46,6 @@ HOT = 50_000
 PAD = 0xFF  # occurs in no UTF-8 text
 NO_ID = np.iinfo(np.int64).max
 
-MESSAGE = "block long, shard long, round int, a binary, b binary, c binary, d binary, e binary"
-
-
-def message(block: int, shard: int, number: int, *parts: bytes) -> dict:
-    return {"block": block, "shard": shard, "round": number} | dict(zip("abcde", [*parts, *[None] * (5 - len(parts))]))
-
-
-def as_table(messages: list[dict]) -> pa.Table:
-    kinds = [("block", pa.int64()), ("shard", pa.int64()), ("round", pa.int32()), *((c, pa.binary()) for c in "abcde")]
-    return pa.Table.from_pylist(messages, schema=pa.schema(kinds))
-
-
 class Block:
     """The documents of a block in the order of their ids, and the leaders of their strings."""
 
@@ -89,7 +77,7 @@ class Block:
         prefix = hasher.prefix(data)
         starts = np.arange(len(data) - self.leader + 1)
         gram = hasher.ranges(prefix, starts, starts + self.leader)
-        bits = U64(max(int(len(data)).bit_length(), 1))
+        bits = U64(32)  # the same for all blocks, or ties would fall differently
         keys = (gram >> bits << bits) | starts.astype(U64)
         low, width = keys, 1
         while width * 2 <= many:
@@ -203,24 +191,18 @@ def _plan(docs: DataFrame, length: int, leader: int, block_bytes: int, hot: int,
     n = block_count(text_bytes(docs), block_bytes)
     blocks = docs.withColumn("block", F.pmod(F.xxhash64("_id", "_digest"), F.lit(n)))
 
-    def by_shard(shard: np.ndarray):
-        order = np.argsort(shard, kind="stable")
-        edge = np.flatnonzero(np.diff(shard[order], prepend=-1))
-        for a, b in zip(edge, np.append(edge[1:], len(order))):
-            yield int(shard[order[a]]), order[a:b]
-
     def ask(rows: pa.Table) -> pa.Table:
         block = Block(rows, length, leader)
         grams, times = np.unique(block.gram, return_counts=True)
         number = rows.column("block")[0].as_py()
         many = np.minimum(times, 1 << 30).astype(np.int32)
-        out = [message(number, shard, 1, planes(np.diff(grams[own], prepend=U64(0))), planes(many[own])) for shard, own in by_shard((grams % U64(n)).astype(np.int64))]
+        out = [message(number, shard, 1, pack(np.diff(grams[own], prepend=U64(0))), pack(many[own])) for shard, own in by_shard((grams % U64(n)).astype(np.int64))]
         return as_table(out)
 
     def count(group: pa.Table) -> pa.Table:
-        parts = [np.cumsum(unplanes(x.as_py(), U64), dtype=U64) for x in group.column("a")]
+        parts = [np.cumsum(unpack(x.as_py(), U64), dtype=U64) for x in group.column("a")]
         grams, where = np.unique(np.concatenate(parts), return_inverse=True)
-        total = np.bincount(where, weights=np.concatenate([unplanes(x.as_py(), np.int32) for x in group.column("b")]), minlength=len(grams))
+        total = np.bincount(where, weights=np.concatenate([unpack(x.as_py(), np.int32) for x in group.column("b")]), minlength=len(grams))
         answer = (total > 1).astype(np.uint8) + (total > hot)
         edge = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
         blocks_, shards = group.column("block").to_pylist(), group.column("shard").to_pylist()
@@ -267,18 +249,19 @@ def _plan(docs: DataFrame, length: int, leader: int, block_bytes: int, hot: int,
             for to, own in by_shard(shard):
                 at = index[own]
                 context = np.concatenate((left[at], right[at]), axis=1).tobytes()
-                out.append(message(number, to, 2, planes(block.gram[which[at]]), context, planes(ids[at]), planes(places[at].astype(np.int64)), planes(bits[own])))
+                out.append(message(number, to, 2, pack(block.gram[which[at]]), context, pack(ids[at]), pack(places[at].astype(np.int64)), pack(bits[own])))
         return as_table(out)
 
     def match(group: pa.Table) -> pa.Table:
-        take = lambda c, kind: np.concatenate([unplanes(x.as_py(), kind) for x in group.column(c)])
-        sizes = [len(x.as_py()) // 8 for x in group.column("a")]
+        take = lambda c, kind: np.concatenate([unpack(x.as_py(), kind) for x in group.column(c)])
+        grams = [unpack(x.as_py(), U64) for x in group.column("a")]
+        sizes = [len(x) for x in grams]
         context = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in group.column("b")]).reshape(sum(sizes), -1)
         span = context.shape[1] // 2
-        found = settle(take("a", U64), context[:, :span], context[:, span:], take("c", np.int64), take("d", np.int64), take("e", U64))
+        found = settle(np.concatenate(grams), context[:, :span], context[:, span:], take("c", np.int64), take("d", np.int64), take("e", U64))
         edge = np.concatenate(([0], np.cumsum(sizes)))
         blocks_, shards = group.column("block").to_pylist(), group.column("shard").to_pylist()
-        return as_table([message(blocks_[k], shards[k], 2, planes(found[edge[k] : edge[k + 1]])) for k in range(len(sizes))])
+        return as_table([message(blocks_[k], shards[k], 2, pack(found[edge[k] : edge[k + 1]])) for k in range(len(sizes))])
 
     def cut(rows: pa.Table, answers: pa.Table) -> pa.Table:
         block = Block(rows, length, leader)
@@ -288,7 +271,7 @@ def _plan(docs: DataFrame, length: int, leader: int, block_bytes: int, hot: int,
             found, index, bits, shard, *_ = dealt(block, which, is_hot)
             replies = {s.as_py(): a.as_py() for s, a, r in zip(answers.column("shard"), answers.column("a"), answers.column("round")) if r.as_py() == 2}
             for of, own in by_shard(shard):
-                np.bitwise_or.at(found, index[own], unplanes(replies[of], U64))
+                np.bitwise_or.at(found, index[own], unpack(replies[of], U64))
             for o in range(length - leader + 1):
                 start = block.place[which[(found >> U64(o) & U64(1)) == 1]] - o
                 gone[start] += 1
