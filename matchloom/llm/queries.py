@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from matchloom.llm import decontaminate, jaccard_join, main_text, mixing, quality_rules, suffix_dedup, warc, weak_labels
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from matchloom.llm import decontaminate, jaccard_join, lm_score, main_text, mixing, quality_rules, suffix_dedup, token_edits, warc, weak_labels
 from matchloom.llm.common import table
 from matchloom.session import scratch_path
 
@@ -134,3 +137,49 @@ def op9_jaccard_join(spark, sf_dir):
 def op8_suffix_dedup(spark, sf_dir):
     """What remains of each document without byte strings that occur earlier."""
     return suffix_dedup.removed(table(spark, sf_dir, "documents"))
+
+
+@query("op1_token_counts")
+def op1_token_counts(spark, sf_dir):
+    """Token counts of each document before and after a series of edits."""
+    docs = token_edits.with_trial_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ranks = token_edits.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return token_edits.counts_after_edits(docs, ranks, public_tokenizers.PATTERN)
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(doc_id % 2, 0) AS f,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+p AS (SELECT r, f, w, unnest(generate_series(1, len(w))) AS i FROM d),
+g AS (
+  SELECT r, f, i, w[i] AS a1, CASE WHEN i >= 2 THEN w[i - 1] || ' ' || w[i] END AS a2,
+         CASE WHEN i >= 3 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END AS a3,
+         CASE WHEN i >= 2 THEN w[i - 1] END AS b1, CASE WHEN i >= 3 THEN w[i - 2] || ' ' || w[i - 1] END AS b2 FROM p),
+c1 AS (SELECT 1 - f AS f, a1 AS g, count(*) AS c FROM g GROUP BY ALL),
+c2 AS (SELECT 1 - f AS f, a2 AS g, count(*) AS c FROM g WHERE a2 IS NOT NULL GROUP BY ALL),
+c3 AS (SELECT 1 - f AS f, a3 AS g, count(*) AS c FROM g WHERE a3 IS NOT NULL GROUP BY ALL),
+n AS (SELECT k AS f, coalesce((SELECT count(*) FROM p WHERE f = 1 - k), 0) AS c FROM (VALUES (0), (1)) v(k)),
+s AS (
+  SELECT g.r, least(i - 1, 2) AS ctx, x3.c AS t3, y2.c AS u2, x2.c AS t2, y1.c AS u1, x1.c AS t1, n.c AS total
+  FROM g JOIN n ON n.f = g.f
+  LEFT JOIN c1 x1 ON x1.f = g.f AND x1.g = a1 LEFT JOIN c1 y1 ON y1.f = g.f AND y1.g = b1
+  LEFT JOIN c2 x2 ON x2.f = g.f AND x2.g = a2 LEFT JOIN c2 y2 ON y2.f = g.f AND y2.g = b2
+  LEFT JOIN c3 x3 ON x3.f = g.f AND x3.g = a3),
+v AS (
+  SELECT r, CASE WHEN t3 > 0 THEN 3 WHEN t2 > 0 THEN 2 WHEN t1 > 0 THEN 1 ELSE 0 END = ctx + 1 AS is_full,
+         CASE WHEN t3 > 0 THEN ln(t3) - ln(u2) WHEN t2 > 0 THEN ln(t2) - ln(u1) + (ctx - 1) * ln(0.4)
+              WHEN t1 > 0 THEN ln(t1) - ln(total) + ctx * ln(0.4) ELSE (ctx + 1) * ln(0.4) - ln(total + 1) END AS x FROM s),
+t AS (SELECT r, count(*) AS n, count(*) FILTER (WHERE is_full) AS n_full, sum(x) AS x FROM v GROUP BY r)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_words, CAST(coalesce(n_full, 0) AS BIGINT) AS n_full,
+       round(coalesce(x, 0), 4) AS log_score, round(x / n, 4) AS mean_log
+FROM d LEFT JOIN t USING (r)
+"""
+
+
+@query("op4_backoff_scores", OP4_SQL)
+def op4_backoff_scores(spark, sf_dir):
+    """Each document's score under the n-gram counts of the other fold."""
+    scores = lm_score.score(table(spark, sf_dir, "documents"))
+    return scores.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log")})
