@@ -13,10 +13,12 @@ hits; other columns are never read by ``scan`` and pass unchanged through ``clea
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,12 +156,12 @@ STATE = T.StructType(
 
 def _search_pass(docs: DataFrame, text: str, patterns: Patterns) -> DataFrame:
     """``docs`` with the columns of STATE: the finds of this pass added to those of earlier ones."""
-    shared = docs.sparkSession.sparkContext.broadcast(patterns)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(patterns))  # with its class, for tasks without this package
     kept = [f for f in docs.schema.fields if f.name not in STATE.names]
     again = len(kept) < len(docs.columns)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, hasher, lower, is_word = shared.value, Hasher(), lower_table(), plain_words()
+        tables, hasher, lower, is_word = pickle.loads(shared.value), Hasher(), lower_table(), plain_words()
         for batch in batches:
             n = batch.num_rows
             words, hits = np.zeros(n, np.int64), np.zeros(n, np.int64)

@@ -156,9 +156,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_copies: int =
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_copies: int = MOST_COPIES, seed: str = SEED) -> DataFrame:
-    """The documents of the mix with their columns, ``size`` (words) and ``copies`` (how often to read each)."""
+    """The documents of the mix with their columns, ``size`` (words) and ``copies`` (how often to read each); columns of
+    these two names are replaced."""
     plan = plan_mix(store(sized(docs, seed), "mix-sizes"), weights, most_copies)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("size", "copies")]).alias("_row")
     rows = docs.select("doc_id", F.col("source").alias("_source"), size_of().alias("_size"), row).withColumn("_u", uniform(seed))
     copies = taken(rows, plan).where("_copies > 0")
     return copies.select("_row.*", F.col("_size").alias("size"), F.col("_copies").alias("copies"))
