@@ -36,7 +36,7 @@ PERCENT = 90
 SKETCH_BITS = 21
 SKETCH_CHUNK = 1 << 16  # counters in a row
 SIGNATURE_BITS = 1024
-TILE_ROWS = 8192
+TILE_ROWS = 4096
 NEAR = 64  # neighbours tested first
 
 
@@ -173,39 +173,69 @@ def forest(sizes: np.ndarray, signatures: np.ndarray, percent: int, linked: Call
 
 
 def tiles(rows: DataFrame, key: str, tile_rows: int) -> DataFrame:
-    """``rows`` with the pair of blocks (_i, _j) of each tile they belong to; short lists are one tile."""
+    """``rows`` (a written table) with the task group (_group, _i, _j) each of its tiles falls to.
+
+    Lists of up to ``tile_rows`` are one tile, and many of them share a group; a longer list is dealt in blocks, and
+    every pair of blocks is a tile and a group of its own.
+    """
+    groups = max(1, -(-rows.count() // tile_rows))
     sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("_n")).where("_n > 1")
+    group = F.when(F.col("_n").isNull(), F.pmod(F.xxhash64(key), F.lit(groups))).otherwise(F.xxhash64(key))
     block = F.pmod(F.xxhash64("node"), F.coalesce(F.col("_n"), F.lit(1))).cast("int")
     others = F.expr("transform(sequence(0, coalesce(_n, 1) - 1), x -> struct(least(x, _block) AS i, greatest(x, _block) AS j))")
     return (
         rows.join(sizes, key, "left")
-        .withColumn("_block", block)
+        .withColumns({"_block": block, "_group": group})
         .withColumn("_tile", F.explode(others))
-        .select(*rows.columns, F.col("_tile.i").alias("_i"), F.col("_tile.j").alias("_j"))
+        .select(*rows.columns, "_group", F.col("_tile.i").alias("_i"), F.col("_tile.j").alias("_j"))
     )
 
 
-EDGES = "a long, b long"
+def per_tile(rows: DataFrame, key: str, tile_rows: int, spans: Callable) -> DataFrame:
+    """Edges (a, b) from ``spans``, which gets the rows of one task group and the row numbers of each of its tiles."""
+
+    def run(group: pa.Table) -> pa.Table:
+        keys = group.column(key).to_numpy()
+        order = np.argsort(keys, kind="stable")
+        edge = np.flatnonzero(np.diff(keys[order], prepend=keys[order][:1] - 1))
+        lists = [order[a:b] for a, b in zip(edge, np.append(edge[1:], len(order)))]
+        node = group.column("node").to_numpy()
+        pairs = [node[np.array(x, dtype=np.int64).reshape(-1, 2)] for x in spans(group, lists)]
+        pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return tiles(rows, key, tile_rows).groupBy("_group", "_i", "_j").applyInArrow(run, "a long, b long")
 
 
 def candidates(found: DataFrame, percent: int = PERCENT, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Edges (a, b) whose components hold every pair of linked nodes."""
     per_node = found.where("n_shingles > 0").dropDuplicates(["node"])
     postings = per_node.select("node", F.explode("firsts").alias("token"))
-    shared = postings.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("token")
-    few = store(postings.join(shared, "token"), "postings")
-    rows = few.join(per_node.select("node", "n_shingles", "signature"), "node")
+    lists = postings.groupBy("token").agg(
+        F.min("node").alias("low"),
+        F.max("node").alias("high"),
+        F.count("*").alias("n"),
+        F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("sum"),
+    )
+    # Shingles with the same list of nodes are told by what sums up the list; one of them stands for all.
+    shared = lists.where("low <> high").groupBy("low", "high", "n", "sum").agg(F.min("token").alias("token")).select("token")
+    few = postings.join(shared, "token")
+    rows = store(few.join(per_node.select("node", "n_shingles", "signature"), "node"), "postings")
 
-    def spans(group: pa.Table) -> pa.Table:
+    def spans(group: pa.Table, lists: list[np.ndarray]) -> Iterator[list]:
         size = group.column("n_shingles").to_numpy()
         node = group.column("node").to_numpy()
-        order = np.lexsort((node, size))
         bits = np.frombuffer(b"".join(group.column("signature").to_pylist()), U64).reshape(len(size), -1)
-        edges = forest(size[order], bits[order], percent)
-        pairs = node[order][np.array(edges, dtype=np.int64).reshape(-1, 2)]
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+        two = np.array([x for x in lists if len(x) == 2], dtype=np.int64).reshape(-1, 2)
+        differ = np.bitwise_count(bits[two[:, 0]] ^ bits[two[:, 1]]).sum(axis=1, dtype=np.int64)
+        small, large = np.minimum(size[two[:, 0]], size[two[:, 1]]), np.maximum(size[two[:, 0]], size[two[:, 1]])
+        yield two[(100 * small >= percent * large) & ((100 + percent) * differ <= (100 - percent) * (small + large))]
+        for own in lists:
+            if len(own) > 2:
+                own = own[np.lexsort((node[own], size[own]))]
+                yield own[np.array(forest(size[own], bits[own], percent), dtype=np.int64).reshape(-1, 2)]
 
-    return tiles(rows, "token", tile_rows).groupBy("token", "_i", "_j").applyInArrow(spans, EDGES).distinct()
+    return per_tile(rows, "token", tile_rows, spans).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -247,31 +277,30 @@ def links(docs: DataFrame, found: DataFrame, text: str, words: int, percent: int
     )
     texts = docs.select("doc_id", F.xxhash64(F.col(text)).alias("_text"), F.col(text).alias("text"))
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_digest"))
-    rows = texts.join(wanted, on).select("node", "cluster", "text")
+    rows = store(texts.join(wanted, on).select("node", "cluster", "text"), "cluster-texts")
 
-    def spans(group: pa.Table) -> pa.Table:
+    def spans(group: pa.Table, lists: list[np.ndarray]) -> Iterator[list]:
         data, at = flat(group.column("text"))
         node = group.column("node").to_numpy()
-        _, once = np.unique(node, return_index=True)
         shingler, sets = Shingler(words), [None] * len(node)
         for first, _, part, offsets in slices(data, at):
             hashes, edge = shingler.sets(part, offsets)
             for k in range(len(offsets) - 1):
                 sets[first + k] = hashes[edge[k] : edge[k + 1]]
-        own = sorted(once.tolist(), key=lambda k: (len(sets[k]), node[k]))
-        sizes = np.array([len(sets[k]) for k in own], dtype=np.int64)
-        bits = np.stack([signature(sets[k]) for k in own]) if own else np.zeros((0, 1), U64)
+        for own in lists:
+            _, once = np.unique(node[own], return_index=True)
+            own = np.array(sorted(own[once], key=lambda k: (len(sets[k]), node[k])), dtype=np.int64)
+            sizes = np.array([len(sets[k]) for k in own], dtype=np.int64)
+            bits = np.stack([signature(sets[k]) for k in own])
 
-        def linked(i: int, j: int) -> bool:
-            a, b = sets[own[i]], sets[own[j]]
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            return 100 * both >= percent * (len(a) + len(b) - both)
+            def linked(i: int, j: int) -> bool:
+                a, b = sets[own[i]], sets[own[j]]
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                return 100 * both >= percent * (len(a) + len(b) - both)
 
-        edges = np.array(forest(sizes, bits, percent, linked), dtype=np.int64).reshape(-1, 2)
-        pairs = node[np.array(own, dtype=np.int64)][edges] if own else edges
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+            yield own[np.array(forest(sizes, bits, percent, linked), dtype=np.int64).reshape(-1, 2)]
 
-    return tiles(rows, "cluster", tile_rows).groupBy("cluster", "_i", "_j").applyInArrow(spans, EDGES)
+    return per_tile(rows, "cluster", tile_rows, spans)
 
 
 def grouped(
