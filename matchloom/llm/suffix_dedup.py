@@ -41,7 +41,7 @@ from matchloom.llm.common import MESSAGE, U64, Hasher, as_table, block_count, by
 
 LENGTH = 100
 LEADER = 50
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 HOT = 50_000
 PAD = 0xFF  # occurs in no UTF-8 text
 NO_ID = np.iinfo(np.int64).max
@@ -276,7 +276,8 @@ def _plan(docs: DataFrame, length: int, leader: int, block_bytes: int, hot: int,
                 start = block.place[which[(found >> U64(o) & U64(1)) == 1]] - o
                 gone[start] += 1
                 gone[start + length] -= 1
-        return emit(block, np.cumsum(gone[:-1]) > 0)
+        np.cumsum(gone, out=gone)
+        return emit(block, gone[:-1] > 0)
 
     first = blocks.select("block", "_id", "_digest", "text")
     counted = first.groupBy("block").applyInArrow(ask, MESSAGE).groupBy("shard").applyInArrow(count, MESSAGE)
