@@ -160,10 +160,14 @@ def _distance() -> F.Column:
 
 
 def _starts(vectors: DataFrame) -> DataFrame:
-    """Both first estimates of each key."""
+    """Both first estimates of each key; those over all documents come from the sums of the groups."""
     names = list(FEATURES)
     cell = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.floor(F.col(c) * 64).alias("v")) for i, c in enumerate(names))))
     counts = vectors.select("_key", cell.alias("_cell")).groupBy("_key", "_cell.i", "_cell.v").agg(F.count("*").alias("_c"))
+    counts = counts.unionByName(counts.groupBy(F.lit(POOLED).alias("_key"), "i", "v").agg(F.sum("_c").alias("_c")))
+    sums = vectors.groupBy("_key").agg(*_sums())
+    totals = [F.sum(c).alias(c) for c in sums.columns if c != "_key"]
+    sums = sums.unionByName(sums.groupBy(F.lit(POOLED).alias("_key")).agg(*totals))
 
     def weighted_median(values: np.ndarray, counts: np.ndarray) -> float:
         order = np.argsort(values)
@@ -184,7 +188,7 @@ def _starts(vectors: DataFrame) -> DataFrame:
 
     return (
         counts.groupBy("_key").applyInPandas(robust, ESTIMATE)
-        .unionByName(vectors.groupBy("_key").agg(*_sums()).groupBy("_key").applyInPandas(classical, ESTIMATE))
+        .unionByName(sums.groupBy("_key").applyInPandas(classical, ESTIMATE))
     )
 
 
@@ -199,14 +203,12 @@ def _concentrated(vectors: DataFrame, estimates: DataFrame, share: float) -> Dat
         row = _estimate(rows["_key"].iloc[0], rows["_start"].iloc[0], counts.sum(), mean, scatter)
         return pd.DataFrame([row], columns=[f.split()[0] for f in ESTIMATE.split(", ")])
 
-    return (
-        vectors.join(estimates, "_key")
-        .withColumn("_class", F.floor(F.log(_distance() + 1e-6) * CLASSES))
-        .groupBy("_key", "_start", "_class")
-        .agg(*_sums())
-        .groupBy("_key", "_start")
-        .applyInPandas(step, ESTIMATE)
-    )
+    def classes(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_class", F.floor(F.log(_distance() + 1e-6) * CLASSES)).groupBy("_key", "_start", "_class").agg(*_sums())
+
+    own = vectors.join(estimates.where(F.col("_key") != POOLED), "_key")
+    pooled = vectors.drop("_key").join(F.broadcast(estimates.where(F.col("_key") == POOLED)), F.lit(True))  # two rows
+    return classes(own).unionByName(classes(pooled)).groupBy("_key", "_start").applyInPandas(step, ESTIMATE)
 
 
 def outliers(
@@ -222,10 +224,9 @@ def outliers(
     Estimates are taken from the documents that pass the base rule.
     """
     key = F.to_json(F.struct(*group))
+    counts = store(counts, "counts")  # texts are read once
     vectors = store(
-        counts.where(~base_failed())
-        .select(key.alias("_own"), *(F.expr(e).alias(name) for name, (e, _) in FEATURES.items()))
-        .select(F.explode(F.array("_own", F.lit(POOLED))).alias("_key"), *FEATURES),
+        counts.where(~base_failed()).select(key.alias("_key"), *(F.expr(e).alias(name) for name, (e, _) in FEATURES.items())),
         "vectors",
     )
     estimates = store(_starts(vectors), "estimates")
