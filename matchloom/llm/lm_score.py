@@ -8,8 +8,8 @@ other fold lacks counts as one more step down from 1 in N + 1. A document's scor
 The count tables are partitioned by n-gram hash into shards. Blocks of documents explode their n-grams, reduce them to
 the different ones with their counts per fold, and send them to the shards of their hashes; a shard adds up and answers
 each block in the order of its questions; the block joins the answers to its n-grams and sums per document. A block
-names an n-gram once however often it occurs, so no n-gram, however frequent, gathers more rows than there are blocks.
-The documents' shuffle into blocks is computed once and reused.
+names an n-gram once however often it occurs, so no n-gram, however frequent, gathers more rows than there are blocks. Words and pairs go first; a longer n-gram is only
+sent where the other fold has its parts. The documents' shuffle into blocks is computed once and reused.
 
 Words are runs of digits, letters a-z and anything beyond ASCII, A-Z lower-cased.
 
@@ -32,7 +32,7 @@ from matchloom.llm.common import MESSAGE, U64, Hasher, as_table, block_count, by
 
 ORDER = 3
 BACKOFF = 0.4
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 FOLDS = 2
 
 
@@ -77,36 +77,74 @@ def score(docs: DataFrame, text: str = "text", order: int = ORDER, backoff: floa
     sizes = fold_sizes(rows)
     blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)))
 
-    def exploded(group: pa.Table):
-        """Fold and text of each word; per order the different n-grams, and which one starts at each word (-1: none)."""
-        hashes, of = Reader().words(group.column("text"))
-        fold = group.column("fold").to_numpy()[of]
-        tables = []
-        for size in range(1, order + 1):
+    def shard_of(names: np.ndarray) -> np.ndarray:
+        return ((names >> U64(32)) * U64(n) >> U64(32)).astype(np.int64)  # ranges of the hash, so that differences are small
+
+    class Exploded:
+        """The words of a block with the different n-grams of each size; ``seen`` gets the other fold's counts of the
+        n-grams that start at each word."""
+
+        def __init__(self, group: pa.Table) -> None:
+            self.hashes, self.of = Reader().words(group.column("text"))
+            self.fold = group.column("fold").to_numpy()[self.of]
+            self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            self.seen: dict[int, np.ndarray] = {}
+
+        def explode(self, size: int) -> None:
+            """An n-gram of more than two words is only of use if the other fold has both its shorter parts: if not, no
+            document there has it, so none will ask for it."""
             if size == 1:
-                here, found = np.arange(len(hashes)), hashes
+                here, found = np.arange(len(self.hashes)), self.hashes
             else:
-                found = grams(hashes, size)
-                here = np.flatnonzero(of[: len(found)] == of[size - 1 :]) if len(found) else np.zeros(0, np.int64)
+                found = grams(self.hashes, size)
+                use = self.of[: len(found)] == self.of[size - 1 :] if len(found) else np.zeros(0, bool)
+                if size > 2 and len(found):
+                    part = self.seen[size - 1]
+                    use &= (part[: len(found)] > 0) & (part[1 : len(found) + 1] > 0)
+                here = np.flatnonzero(use)
                 found = found[here]
             names, where = np.unique(found, return_inverse=True)
-            at = np.full(len(hashes), -1, dtype=np.int64)
+            at = np.full(len(self.hashes), -1, dtype=np.int64)
             at[here] = where
-            tables.append((names, at))
-        return of, fold, tables
+            self.tables[size] = (names, at)
 
-    def shard_of(names: np.ndarray) -> np.ndarray:
-        return ((names >> U64(32)) * U64(n) >> U64(32)).astype(np.int64)  # ranges of the hash, so that differences are small
+        def messages(self, block: int, size: int) -> Iterator[dict]:
+            names, at = self.tables[size]
+            counts = [np.bincount(at[(self.fold == k) & (at >= 0)], minlength=len(names)).astype(np.int64) for k in range(FOLDS)]
+            for shard, own in by_shard(shard_of(names)):
+                yield message(block, shard, size, pack(np.diff(names[own], prepend=U64(0))), *(pack(c[own]) for c in counts))
 
-    def ask(group: pa.Table) -> pa.Table:
-        _, fold, tables = exploded(group)
-        number, out = group.column("block")[0].as_py(), []
-        for size, (names, at) in enumerate(tables, 1):
-            counts = [np.bincount(at[(fold == k) & (at >= 0)], minlength=len(names)).astype(np.int64) for k in range(FOLDS)]
+        def read(self, size: int, answers: dict) -> None:
+            names, at = self.tables[size]
+            total = np.zeros((FOLDS, len(names) + 1), dtype=np.int64)  # the last one stands for no n-gram
             for shard, own in by_shard(shard_of(names)):
-                out.append(message(number, shard, size, pack(np.diff(names[own], prepend=U64(0))), *(pack(c[own]) for c in counts)))
+                for k, raw in enumerate(answers[size, shard]):
+                    total[k, own] = unpack(raw, np.int64)
+            self.seen[size] = total[1 - self.fold, at]
+            del self.tables[size]
+
+        def catch_up(self, upto: int, answers: pa.Table) -> None:
+            said = {(r["round"], r["shard"]): (r["a"], r["b"]) for r in answers.select(["round", "shard", "a", "b"]).to_pylist()}
+            for size in range(1, upto + 1):
+                self.explode(size)
+                self.read(size, said)
+
+    def ask(group: pa.Table) -> pa.Table:
+        words, out = Exploded(group), []
+        for size in range(1, min(order, 2) + 1):
+            words.explode(size)
+            out += words.messages(group.column("block")[0].as_py(), size)
         return as_table(out)
 
+    def ask_longer(size: int):
+        def ask_on(group: pa.Table, answers: pa.Table) -> pa.Table:
+            words = Exploded(group)
+            words.catch_up(size - 1, answers)
+            words.explode(size)
+            return as_table(list(words.messages(group.column("block")[0].as_py(), size)))
+
+        return ask_on
+
     def count(group: pa.Table) -> pa.Table:
         rounds, out = group.column("round").to_numpy(), []
         block, shard = group.column("block").to_pylist(), group.column("shard").to_pylist()
@@ -126,18 +164,11 @@ def score(docs: DataFrame, text: str = "text", order: int = ORDER, backoff: floa
         return as_table(out)
 
     def sum_up(group: pa.Table, answers: pa.Table) -> pa.Table:
-        of, fold, tables = exploded(group)
-        other = 1 - fold
-        asked = {(r["round"], r["shard"]): (r["a"], r["b"]) for r in answers.select(["round", "shard", "a", "b"]).to_pylist()}
-        seen = []  # per order, the other fold's count of the n-gram that starts at each word
-        for size, (names, at) in enumerate(tables, 1):
-            total = np.zeros((FOLDS, len(names) + 1), dtype=np.int64)  # the last one stands for no n-gram
-            for shard, own in by_shard(shard_of(names)):
-                for k, raw in enumerate(asked[size, shard]):
-                    total[k, own] = unpack(raw, np.int64)
-            seen.append(total[other, at])
+        block = Exploded(group)
+        block.catch_up(order, answers)
+        of, seen = block.of, [block.seen[size] for size in range(1, order + 1)]
         place = np.arange(len(of)) - np.searchsorted(of, of, side="left")
-        words = np.array(sizes, dtype=float)[other]
+        words = np.array(sizes, dtype=float)[1 - block.fold]
         value = np.zeros(len(of))
         level = np.zeros(len(of), dtype=np.int64)  # 0: not yet scored
         for size in range(order, 0, -1):
@@ -158,7 +189,10 @@ def score(docs: DataFrame, text: str = "text", order: int = ORDER, backoff: floa
         mean = pa.array(total / np.maximum(n_words, 1), mask=n_words == 0)
         return pa.table({"doc_id": group.column("doc_id"), "n_words": n_words, "n_full": full, "log_score": total, "mean_log": mean})
 
-    counted = blocks.groupBy("block").applyInArrow(ask, MESSAGE).groupBy("shard").applyInArrow(count, MESSAGE)
+    answers = blocks.groupBy("block").applyInArrow(ask, MESSAGE).groupBy("shard").applyInArrow(count, MESSAGE)
+    for size in range(3, order + 1):
+        asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(ask_longer(size), MESSAGE)
+        answers = answers.unionByName(asked.groupBy("shard").applyInArrow(count, MESSAGE))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, n_full long, log_score double, mean_log double"
-    return blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(sum_up, schema)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(sum_up, schema)
