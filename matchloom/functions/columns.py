@@ -71,7 +71,7 @@ def sigmoid(logit: Column) -> Column:
 def file_number(name: Column) -> Column:
     """Number between the last underscore and the first dot of a file name; NULL if it is none."""
     stem = F.split_part(name, F.lit("."), F.lit(1))
-    return F.element_at(F.split(stem, "_"), -1).try_cast("int")
+    return F.element_at(F.split(stem, "_"), -1).try_cast("bigint")
 
 
 def utc_instant(text: Column) -> Column:

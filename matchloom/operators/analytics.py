@@ -25,16 +25,17 @@ from matchloom.operators.aggregates import (
     distinct_count,
     group_stats,
     histogram,
-    last_per_group,
     masked_stats,
+    sort,
+    summary,
     team_mean,
     team_sum,
     team_wide,
     top_n,
     value_counts,
 )
-from matchloom.operators.filters import filter_in, filter_range
-from matchloom.operators.joins import attach_team, attach_winner, join_inner
+from matchloom.operators.filters import filter_in, filter_not, filter_range
+from matchloom.operators.joins import attach_team, attach_winner
 from matchloom.schemas import TEAMS
 
 def _diff() -> Column:
@@ -106,17 +107,18 @@ def leader_results(player: DataFrame, info: DataFrame) -> DataFrame:
 
 def leader_accuracy(player: DataFrame, info: DataFrame) -> DataFrame:
     """How often the gold leader won: matches, wins, comebacks and the share."""
-    return leader_results(player, info).agg(
-        F.count(F.lit(1)).alias("matches"),
-        F.count_if("leader_won").alias("lead_wins"),
-        F.count_if(~F.col("leader_won")).alias("comebacks"),
-        rate(F.col("leader_won")).alias("accuracy"),
+    return summary(
+        leader_results(player, info),
+        matches=F.count(F.lit(1)),
+        lead_wins=F.count_if("leader_won"),
+        comebacks=F.count_if(~F.col("leader_won")),
+        accuracy=rate(F.col("leader_won")),
     )
 
 
 def comebacks(player: DataFrame, info: DataFrame) -> DataFrame:
     """Matches the gold leader did not win."""
-    return leader_results(player, info).where(~F.col("leader_won")).drop("leader_won")
+    return filter_not(leader_results(player, info), F.col("leader_won")).drop("leader_won")
 
 
 def winner_gold(player: DataFrame, info: DataFrame) -> DataFrame:
@@ -218,11 +220,11 @@ def gold_lead_by_time(player_ts: DataFrame, player: DataFrame, info: DataFrame)
     )
 
 
-def lead_end(player_ts: DataFrame, player: DataFrame, info: DataFrame, metric: str) -> DataFrame:
-    """Per match: team means of the last samples, the difference, and whether the leader won."""
-    last = last_per_group(
-        player_ts.select("match_id", "account_id", "timestamp_s", metric), ["match_id", "account_id"], "timestamp_s"
-    )
+def lead_end(last: DataFrame, player: DataFrame, info: DataFrame, metric: str) -> DataFrame:
+    """Per match: team means of the last samples, the difference, and whether the leader won.
+
+    ``last`` has one row per player, as ``series.last_samples`` or ``last_per_group`` give it.
+    """
     means = team_mean(attach_team(last, player), ["match_id", "team"], metric)
     wide = team_wide(means, ["match_id"], metric).withColumn("diff", _diff())
     led = attach_winner(wide, info)
@@ -244,7 +246,7 @@ def lead_end_accuracy(lead: DataFrame) -> DataFrame:
 def hero_picks(player: DataFrame, n: int | None = None) -> DataFrame:
     """Heroes by number of picks, most picked first."""
     picks = value_counts(player, "hero_name", "pick_count")
-    return picks if n is None else top_n(picks, ["pick_count", "hero_name"], n)
+    return sort(picks, ["pick_count", "hero_name"], [False, True]) if n is None else top_n(picks, ["pick_count", "hero_name"], n)
 
 
 def popularity_vs_winrate(player: DataFrame, info: DataFrame, n: int = 20) -> DataFrame:
@@ -268,10 +270,6 @@ def hero_match_share(player: DataFrame) -> DataFrame:
     return distinct_count(player, ["hero_name"], "match_id", "matches")
 
 
-def with_baseline(stats: DataFrame, baseline: DataFrame, key: str) -> DataFrame:
-    return stats.join(baseline, key, "left")
-
-
 def winrate_by_duration(
     player: DataFrame, info: DataFrame, heroes: list[str] | None = None, hero: str | None = None
 ) -> DataFrame:
@@ -371,8 +369,3 @@ def net_income(samples: DataFrame) -> DataFrame:
     return samples.groupBy(*keys, side.alias("team"), F.col("time_stamp_s").cast("bigint").alias("timestamp_s")).agg(
         F.sum("net_worth").cast("bigint").alias("net_worth")
     )
-
-
-def team_samples(player_ts: DataFrame, general: DataFrame) -> DataFrame:
-    """Samples with the final values' team, by match and account."""
-    return join_inner(player_ts, general.select("match_id", "account_id", "team"), ["match_id", "account_id"])

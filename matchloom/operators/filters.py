@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchloom.functions.columns import badge_distance
-from matchloom.operators.skew import HEAVY_ROWS, heavy_keys
 
 MATCH_PLAYERS = 12
 
@@ -165,30 +165,18 @@ def filter_funnel(verdicts: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*steps)))
 
 
-def count_stages(stages: dict[str, DataFrame]) -> DataFrame:
-    """Row count of each named stage."""
-    counted = [df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("rows")) for name, df in stages.items()]
-    out = counted[0]
-    for one in counted[1:]:
-        out = out.unionByName(one)
-    return out
-
-
 def kept_ids(eligible: DataFrame, player: DataFrame, leniency_s: int = 70) -> DataFrame:
     """Ids of the eligible matches that are complete and that nobody left early."""
     verdicts = match_verdicts(eligible, player, leniency_s)
     return verdicts.where(F.col("complete") & ~F.col("left_early")).select("match_id")
 
 
-def players_of(player: DataFrame, kept: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def players_of(player: DataFrame, kept: DataFrame) -> DataFrame:
     """Player rows of the kept matches, without the leaving time.
 
-    Match ids with more than ``heavy_rows`` player rows cannot be complete. They are few, so they are
-    dropped in the map stage and never reach the shuffle of the wide player rows.
+    The player side of the join is a scan, so adaptive execution may split a match id with many rows.
     """
-    crowded = F.broadcast(heavy_keys(player, ["match_id"], heavy_rows))
-    rest = player.join(crowded, "match_id", "left_anti")
-    return keep_matching(rest, kept.select("match_id"), "match_id").drop("abandon_match_time_s")
+    return keep_matching(player, kept.select("match_id"), "match_id").drop("abandon_match_time_s")
 
 
 def filter_matches(
@@ -200,9 +188,13 @@ def filter_matches(
     max_disparity: int,
     leniency_s: int = 70,
     min_duration: int = 480,
-    heavy_rows: int = HEAVY_ROWS,
+    hold: Callable[[DataFrame], DataFrame] = lambda ids: ids,
 ) -> tuple[DataFrame, DataFrame]:
-    """Info and player rows of eligible, complete matches that nobody left early."""
+    """Info and player rows of eligible, complete matches that nobody left early.
+
+    Both results need the kept ids. ``hold`` may write them and give them back as a scan, so that the
+    verdicts are worked out once.
+    """
     eligible = filter_matches_eligible(info, start, end, min_badge, max_disparity, min_duration)
-    kept = kept_ids(eligible, player, leniency_s)
-    return keep_matching(eligible, kept, "match_id"), players_of(player, kept, heavy_rows)
+    kept = hold(kept_ids(eligible, player, leniency_s))
+    return keep_matching(eligible, kept, "match_id"), players_of(player, kept)

@@ -54,9 +54,9 @@ def parse_listing(pages: DataFrame, html: str = "html") -> DataFrame:
     )
 
 
-def entered_dirs(listing: DataFrame, wanted: str = METADATA_DIR) -> DataFrame:
-    """The folders a fetch goes into."""
-    return listing.where(F.col("is_dir") & (F.col("name") == wanted))
+def entered(wanted: str = METADATA_DIR) -> Column:
+    """Whether a fetch goes into a row of a listing: a folder with the wanted name."""
+    return F.col("is_dir") & (F.col("name") == wanted)
 
 
 def page_links(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -74,18 +74,21 @@ def select_stale(
     remote: DataFrame, local: DataFrame, allow: list[str], id_range: range, slack: str = "1 minute"
 ) -> DataFrame:
     """Remote files to fetch: wanted by name (top folder) or number (metadata folder), and missing
-    locally or newer than the local copy by ``slack`` or more.
+    locally or newer than the local copy by ``slack`` or more. A wanted file that exists locally but
+    whose time on either side is unknown stops the job.
 
     ``remote`` has name, modified and in_metadata; ``local`` has name and modified. ``id_range`` counts up.
     """
     number = file_number(F.col("name"))
     in_range = number.between(id_range.start, id_range.stop - 1) & ((number - id_range.start) % id_range.step == 0)
     wanted = F.when(F.col("in_metadata"), in_range).otherwise(F.col("name").isin(list(allow)))
-    mine = local.select("name", F.col("modified").alias("_local"))
+    mine = local.select("name", F.col("modified").alias("_local"), F.lit(True).alias("_here"))
     fresh = F.col("modified") - F.col("_local") < F.expr(f"INTERVAL '{slack.split()[0]}' {slack.split()[1]}")
+    unknown = F.raise_error(F.concat(F.lit("no readable time for "), F.col("name"))).cast("boolean")
+    stale = F.when(F.col("_here").isNull(), F.lit(True)).otherwise(F.coalesce(~fresh, unknown))
     return (
         remote.where(F.coalesce(wanted, F.lit(False)))
         .join(mine, "name", "left")
-        .where(F.col("_local").isNull() | ~fresh)
-        .drop("_local")
+        .where(stale)
+        .drop("_local", "_here")
     )

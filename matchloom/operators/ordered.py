@@ -128,25 +128,29 @@ def weighted_quantiles(counts: DataFrame, by: list[str], probs: dict[str, float]
     )
 
 
-def rank_cuts(units: DataFrame, by: list[str], ranks: dict[str, Column]) -> DataFrame:
+def rank_cuts(units: DataFrame, by: list[str], ranks: dict[str, Column], per_group: DataFrame | None = None) -> DataFrame:
     """The digest at given ranks of each group: one row per group and name, column ``bound``.
 
     ``units`` holds ``_digest`` and the group columns (a few class labels, or none); ``ranks`` are
-    1-based and may use ``_total``, the size of the group. A rank of 0 gives no row. Only the digest
-    prefix is counted over the whole table; rows are ordered inside the one bucket a rank falls into.
+    1-based and may use ``_total``, the size of the group, and the columns of ``per_group`` (one row per
+    group). A rank of 0 gives no row. Only the digest prefix is counted over the whole table; rows are ordered inside the one bucket a rank falls into.
     """
     bucketed = units.select(*by, "_digest", F.substring("_digest", 1, DIGEST_DIGITS).alias("_bucket"))
     wanted = F.array(*[F.struct(F.lit(n).alias("name"), r.cast("bigint").alias("rank")) for n, r in ranks.items()])
     rank = F.col("_want.rank")
-    spotted = F.broadcast(  # one row per group and name
-        bucket_spans(bucketed, by, F.lit(1))
+    spans = bucket_spans(bucketed, by, F.lit(1))
+    spotted = (
+        (spans if per_group is None else spans.join(per_group, by))
         .withColumn("_want", F.explode(wanted))
         .where((rank > F.col("_start")) & (rank <= F.col("_end")))
         .select(*by, "_bucket", F.col("_want.name").alias("name"), (rank - F.col("_start")).alias("_nth"))
     )
     keys = [*by, "_bucket"]
     in_bucket = Window.partitionBy(*keys).orderBy("_digest")
-    near = bucketed.join(F.broadcast(spotted.select(*keys).distinct()), keys, "left_semi")
+    found = spotted.select(*keys).distinct()
+    if not by:  # one row per name
+        spotted, found = F.broadcast(spotted), F.broadcast(found)
+    near = bucketed.join(found, keys, "left_semi")
     return (
         near.withColumn("_row", F.row_number().over(in_bucket))
         .join(spotted, keys)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,36 +27,53 @@ def info(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*counted.columns)))
 
 
+TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _as_number(field: T.StructField) -> Column:
+    """A number as double, a time as seconds since 1970."""
+    value = quoted(field.name)
+    return value.cast("timestamp").cast("double") if isinstance(field.dataType, TIMES) else value.cast("double")
+
+
+def _as_text(field: T.StructField) -> Column:
+    """Text and booleans as they read, lists, maps and structures as JSON, bytes in hex."""
+    value = quoted(field.name)
+    if isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
+        return F.when(value.isNotNull(), F.to_json(F.struct(value.alias("v"))))
+    return F.hex(value) if isinstance(field.dataType, T.BinaryType) else value.cast("string")
+
+
 def describe_all(df: DataFrame) -> DataFrame:
-    """One row per column: count; for text unique, top and freq; for numbers mean, std and quartiles.
+    """One row per column: count; for numbers and times mean, std and quartiles (times in seconds since
+    1970, without std); for all other types unique, top and freq.
 
-    Values are reduced to (column, value, count) first, so neither the most frequent value nor the
-    exact quartiles need a column's values in one place.
+    Counts and moments are one aggregate over the source. Only values with their counts are reordered, so
+    neither the most frequent value nor the exact quartiles need a column's values in one place.
     """
-    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    numeric = [f for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, *TIMES))]
+    others = [f for f in df.schema.fields if f not in numeric]
     parts = []
-    if numbers:
-        tall = df.select(
-            F.inline(
-                F.array(
-                    *[F.struct(F.lit(n).alias("column"), quoted(n).cast("double").alias("value")) for n in numbers]
-                )
-            )
-        )
-        moments = tall.groupBy("column").agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
-        parts.append(moments.join(exact_quantiles(tall, ["column"], "value", QUARTILES), "column", "left"))
-    if texts:
-        tall = df.select(
-            F.inline(F.array(*[F.struct(F.lit(n).alias("column"), quoted(n).alias("value")) for n in texts]))
-        )
-        counts = tall.groupBy("column", "value").agg(F.count("value").alias("n"))
+    if numeric:
+        rows = [
+            F.struct(
+                F.lit(f.name).alias("column"),
+                F.count(_as_number(f)).alias("count"),
+                F.avg(_as_number(f)).alias("mean"),
+                (F.lit(None).cast("double") if isinstance(f.dataType, TIMES) else F.stddev_samp(_as_number(f))).alias("std"),
+                F.min(_as_number(f)).alias("min"),
+                F.max(_as_number(f)).alias("max"),
+            ).alias(f"c{i}")
+            for i, f in enumerate(numeric)
+        ]
+        wide = df.agg(*rows)
+        moments = wide.select(F.inline(F.array(*[F.col(c) for c in wide.columns])))
+        pairs = F.array(*[F.struct(F.lit(f.name).alias("column"), _as_number(f).alias("value")) for f in numeric])
+        quartiles = exact_quantiles(df.select(F.inline(pairs)), ["column"], "value", QUARTILES)
+        parts.append(moments.join(quartiles, "column", "left"))
+    if others:
+        pairs = F.array(*[F.struct(F.lit(f.name).alias("column"), _as_text(f).alias("value")) for f in others])
+        counts = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("value").alias("n"))
         known = F.col("value").isNotNull()
         parts.append(
             counts.groupBy("column").agg(
@@ -66,6 +83,8 @@ def describe_all(df: DataFrame) -> DataFrame:
                 F.max(F.when(known, F.col("n"))).alias("freq"),
             )
         )
+    if not parts:
+        raise ValueError("the table has no columns")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)

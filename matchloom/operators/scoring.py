@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from matchloom.operators.features import feature_vector
 from matchloom.operators.models import with_probability
 from matchloom.operators.normalize import Params
-from matchloom.schemas import OBJECTIVES, TEAM_SIZE, flag_name
+from matchloom.schemas import HEROES, OBJECTIVES, TEAM_SIZE, flag_name
 
 SIDES = ("team0", "team1")
 PLAYER_FIELDS = ("hero", "net_worth", "ability_points", "level")
@@ -86,7 +86,7 @@ def default_objectives(states: DataFrame) -> DataFrame:
     return states.withColumns({s: whole(s) for s in SIDES})
 
 
-def validate(states: DataFrame, heroes: list[str]) -> DataFrame:
+def validate(states: DataFrame, heroes: list[str] | tuple[str, ...] = HEROES) -> DataFrame:
     """Add ``reasons``, the sorted list of broken rules; an accepted state has none."""
 
     def broken(rule: Column, reason: str) -> Column:

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.functions.arrays import name_sql, quoted, text_sql, zip_rows
+from matchloom.functions.arrays import name_sql, quoted, text_sql, without_last, zip_rows
 from matchloom.functions.columns import team_number
 from matchloom.schemas import FLAGS, OBJECTIVE_LISTS, OBJECTIVES, PLAYER_SERIES, flag_name
 
@@ -29,6 +29,14 @@ def explode_series(
     return zip_rows(player, keys or ["match_id", "account_id"], series or PLAYER_SERIES, drop_last)
 
 
+def last_samples(player: DataFrame, keys: list[str] | None = None, series: dict[str, str] | None = None) -> DataFrame:
+    """The last sample that ``explode_series`` keeps, per player row that has one: read from the lists in place."""
+    lists = series or PLAYER_SERIES
+    at = F.greatest(*[F.coalesce(F.size(quoted(c)), F.lit(0)) for c in lists.values()]) - 1
+    kept = [F.get(without_last(quoted(c)), F.col("_at") - 1).alias(name) for name, c in lists.items()]
+    return player.withColumn("_at", at).where(F.col("_at") > 0).select(*(keys or ["match_id", "account_id"]), *kept)
+
+
 def explode_objectives(info: DataFrame) -> DataFrame:
     """One row per objective of a match, with the team as a number."""
     rows = zip_rows(info, ["match_id"], OBJECTIVE_LISTS)

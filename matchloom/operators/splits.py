@@ -6,9 +6,10 @@ comparing its digest with one or two bounds, so the wide feature rows are never
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.operators.joins import small_dim
 from matchloom.operators.ordered import digest, rank_cuts
 
 
@@ -46,58 +47,47 @@ def split_exact(df: DataFrame, val: float, test: float, seed: int, key: list[str
     ).drop("_bounds")
 
 
-MAX_CLASSES = 1000
-
-
-def _class_map(table: DataFrame, label: str, value: str) -> Column:
-    """A value per class as a map. More than ``MAX_CLASSES`` classes are an error, not a large map."""
-    entries = F.map_from_entries(F.collect_list(F.struct(label, value)))
-    checked = F.when(
-        F.count(F.lit(1)) > MAX_CLASSES, F.raise_error(F.lit(f"{label} has more than {MAX_CLASSES} classes"))
-    ).otherwise(entries)
-    return table.limit(MAX_CLASSES + 1).agg(checked).scalar()
+def _attach(df: DataFrame, per_class: DataFrame, label: str) -> DataFrame:
+    """``df`` with the columns of a table of one row per class; broadcast after a check of its size."""
+    return df.join(small_dim(per_class), label, "left")
 
 
 def train_sizes(df: DataFrame, label: str, test_size: float) -> DataFrame:
     """Training rows per class: proportional shares, the largest remainders rounded up."""
     classes = df.dropna(subset=[label]).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    everything = Window.partitionBy()  # one row per class
-    total = F.sum("n").over(everything)
+    total = classes.agg(F.sum("n")).scalar()
     sized = classes.withColumn("_all", total).withColumn(
         "_train", F.col("_all") - F.ceil(F.lit(float(test_size)) * F.col("_all"))
     )
     share = F.col("n") * F.col("_train") / F.col("_all")
     floored = sized.withColumn("_base", F.floor(share)).withColumn("_rest", share - F.floor(share))
-    order = Window.partitionBy().orderBy(F.desc("_rest"), label)
-    extra = F.row_number().over(order) <= F.col("_train") - F.sum("_base").over(everything)
-    return floored.select(label, "n", (F.col("_base") + extra.cast("bigint")).alias("train_n"))
+    missing = floored.agg(F.max("_train") - F.sum("_base")).first()[0] or 0  # fewer than there are classes
+    extra = floored.orderBy(F.desc("_rest"), label).limit(int(missing)).select(label, F.lit(1).alias("_extra"))
+    joined = floored.join(extra, label, "left")
+    return joined.select(label, "n", (F.col("_base") + F.coalesce("_extra", F.lit(0))).cast("bigint").alias("train_n"))
 
 
 def split_stratified(df: DataFrame, label: str, test_size: float, seed: int, key: list[str]) -> DataFrame:
     """Add ``part`` (train, test) with the class shares kept; the test part has ceil(test_size * n) rows."""
-    sizes = _class_map(train_sizes(df, label, test_size), label, "train_n")
     units = df.dropna(subset=[label]).select(label, digest(seed, key).alias("_digest"))
-    cuts = rank_cuts(units, [label], {"train": F.try_element_at(sizes, F.col(label))})
-    bounds = _class_map(cuts, label, "bound")
-    in_train = digest(seed, key) <= F.try_element_at(F.col("_bounds"), F.col(label))
-    return (
-        df.withColumn("_bounds", bounds)
-        .withColumn("part", F.when(in_train, F.lit("train")).otherwise(F.lit("test")))
-        .drop("_bounds")
-    )
+    sizes = train_sizes(df, label, test_size).select(label, "train_n")
+    cuts = rank_cuts(units, [label], {"train": F.col("train_n")}, sizes)
+    placed = _attach(df, cuts.select(label, F.col("bound").alias("_bound")), label)
+    in_train = digest(seed, key) <= F.col("_bound")
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], F.when(in_train, F.lit("train")).otherwise(F.lit("test")).alias("part"))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight per class: n / (classes * rows of the class)."""
     counts = df.dropna(subset=[label]).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    everything = Window.partitionBy()  # one row per class
-    weight = F.sum("n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("n"))
-    return counts.select(label, "n", weight.alias("weight"))
+    both = counts.agg(F.struct(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))).scalar()
+    weight = F.col("_all.rows") / (F.col("_all.classes") * F.col("n"))
+    return counts.withColumn("_all", both).select(label, "n", weight.alias("weight"))
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    weights = _class_map(class_weights(df, label), label, "weight")
-    return df.withColumn("_weights", weights).withColumn(name, F.expr(f"_weights[`{label}`]")).drop("_weights")
+    weights = class_weights(df, label).select(label, F.col("weight").alias(name))
+    return _attach(df.drop(name), weights, label).select(*[F.col(f"`{c}`") for c in df.columns if c != name], name)
 
 
 def majority_dummy(train: DataFrame, test: DataFrame, label: str) -> DataFrame:

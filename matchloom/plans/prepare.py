@@ -7,9 +7,9 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from matchloom.functions.arrays import quoted
 from matchloom.operators.features import co_locate, feature_matrix, fit_wide
 from matchloom.operators.filters import (
-    filter_matches,
     filter_matches_eligible,
     keep_matching,
     kept_ids,
@@ -18,6 +18,7 @@ from matchloom.operators.filters import (
 from matchloom.operators.joins import replace_hero_ids_with_names
 from matchloom.operators.normalize import Params
 from matchloom.operators.series import split_general_timestamp
+from matchloom.schemas import FILTER_ONLY, MATCH_INFO, MATCH_PLAYER
 from matchloom.sources.tables import load_dim_list, save_params, scan_numbered, scan_parquet, write_stage
 
 
@@ -32,26 +33,16 @@ class Selection:
     leniency_s: int = 70
 
 
-def select_matches(
-    info: DataFrame, player: DataFrame, heroes: DataFrame, chosen: Selection
-) -> tuple[DataFrame, DataFrame]:
-    """Filtered info rows, and filtered player rows with hero names."""
-    kept_info, kept_player = filter_matches(
-        info, player, chosen.start, chosen.end, chosen.min_badge, chosen.max_disparity, chosen.leniency_s
-    )
-    return kept_info, replace_hero_ids_with_names(kept_player, heroes)
-
-
 def store_matches(
     info: DataFrame, player: DataFrame, heroes: DataFrame, chosen: Selection, out: str
 ) -> tuple[DataFrame, DataFrame]:
-    """``select_matches`` written below ``out`` and read back.
+    """Filtered info rows and filtered player rows with hero names, written below ``out`` and read back.
 
     The stored info rows carry the kept ids, so the wide player table is scanned once for its rows and
     once, two columns only, for the verdicts.
     """
     eligible = filter_matches_eligible(info, chosen.start, chosen.end, chosen.min_badge, chosen.max_disparity)
-    kept = keep_matching(eligible, kept_ids(eligible, player, chosen.leniency_s), "match_id")
+    kept = keep_matching(eligible, kept_ids(eligible, player, chosen.leniency_s), "match_id").drop(*FILTER_ONLY)
     stored_info = write_stage(kept, f"{out}/kept_info")
     named = replace_hero_ids_with_names(players_of(player, stored_info), heroes)
     return stored_info, write_stage(named, f"{out}/kept_player")
@@ -72,8 +63,8 @@ def prepare(
     """
     heroes = scan_parquet(spark, heroes_path)
     info, player = store_matches(
-        scan_numbered(spark, folder, "match_info", id_range),
-        scan_numbered(spark, folder, "match_player", id_range),
+        scan_numbered(spark, folder, "match_info", id_range).select(*[quoted(n) for n in MATCH_INFO.names]),
+        scan_numbered(spark, folder, "match_player", id_range).select(*[quoted(n) for n in MATCH_PLAYER.names]),
         heroes,
         chosen,
         out,

@@ -109,7 +109,7 @@ def gold_diff_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def gold_diff_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = EventMatches(spark, sf_dir)
-    stats = analytics.gold_diff_ts(raw.info, raw.player, series.explode_series(raw.player))
+    stats = analytics.gold_diff_ts(raw.info, raw.player, samples(raw))
     return rounded(analytics.gold_diff_range(stats))
 
 
@@ -292,7 +292,7 @@ FROM means JOIN raw_info USING (match_id)"""
 
 def _lead_end(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
     raw = EventMatches(spark, sf_dir)
-    return analytics.lead_end(series.explode_series(raw.player), raw.player, raw.info, metric)
+    return analytics.lead_end(series.last_samples(raw.player, ["match_id", "account_id", "team"]), raw.player, raw.info, metric)
 
 
 @query("level_lead_end", views.EVENTS + _lead_end_sql("level"))
@@ -321,7 +321,7 @@ def level_lead_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 # heroes
 
 
-@query("hero_picks", views.ORDERS + "SELECT hero_name, count(*) AS pick_count FROM om_player GROUP BY hero_name")
+@query("hero_picks", views.ORDERS + "SELECT hero_name, count(*) AS pick_count FROM om_player GROUP BY hero_name ORDER BY pick_count DESC, hero_name")
 def hero_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.hero_picks(OrderMatches(spark, sf_dir).player)
 
@@ -418,7 +418,8 @@ def hero_duration_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hero_time_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = EventMatches(spark, sf_dir)
     player = lookup_inner(raw.player, raw.heroes, "hero_id", "id", "name", "hero_name")
-    return rounded(analytics.hero_time_samples(player, series.explode_series(raw.player), raw.info, _CHOSEN))
+    carried = series.explode_series(player, ["match_id", "account_id", "team", "hero_name"])
+    return rounded(analytics.hero_time_samples(player, carried, raw.info, _CHOSEN))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -172,7 +173,7 @@ def one_hot_hero(spark: SparkSession, sf_dir: str) -> DataFrame:
 HEROES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
-def _feature_sql() -> str:
+def feature_sql() -> str:
     """The wide row by conditional aggregates over numbered, scaled player rows."""
     cells = []
     for n, (team, num) in enumerate(SLOTS, start=1):
@@ -213,13 +214,13 @@ def kept_and_params(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return info, player, hero_list(spark, sf_dir), features.fit_wide(features.co_locate(player), info)
 
 
-@query("feature_matrix", _feature_sql())
+@query("feature_matrix", feature_sql())
 def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     info, player, heroes, params = kept_and_params(spark, sf_dir)
     return rounded(features.feature_matrix(player, info, heroes, params))
 
 
-@query("assemble_features", _feature_sql())
+@query("assemble_features", feature_sql())
 def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table step by step from the four stage tables."""
     stages = stage_tables(spark, sf_dir)
@@ -232,17 +233,30 @@ def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(normalize.transform(timed, ["timestamp"], params))
 
 
-@query("vectors")
+def _vector_sql() -> str:
+    """The features of each row in their order, one row per feature."""
+    names = features.feature_columns(list(HEROES))
+    cells = ", ".join(f"CAST({n} AS DOUBLE)" for n in names)
+    return f"""SELECT match_id, time_s, winning_team, CAST(unnest(range({len(names)})) AS INT) AS place, unnest([{cells}]) AS value
+FROM ({feature_sql()})"""
+
+
+def _unrolled(vectors: DataFrame) -> DataFrame:
+    rows = vectors.select("match_id", "time_s", "winning_team", F.posexplode(vector_to_array("features")).alias("place", "value"))
+    return rounded(rows)
+
+
+@query("vectors", _vector_sql())
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     info, player, heroes, params = kept_and_params(spark, sf_dir)
     matrix = features.feature_matrix(player, info, heroes, params)
-    return features.to_vector(matrix, features.feature_columns(heroes), keep=["match_id", "time_s"])
+    return _unrolled(features.to_vector(matrix, features.feature_columns(heroes), keep=["match_id", "time_s"]))
 
 
-@query("feature_vectors")
+@query("feature_vectors", _vector_sql())
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     info, player, heroes, params = kept_and_params(spark, sf_dir)
-    return features.feature_vectors(player, info, heroes, params)
+    return _unrolled(features.feature_vectors(player, info, heroes, params))
 
 
 # game states
@@ -337,12 +351,17 @@ _REASONS = ", ".join(
 )
 
 
-@query(
-    "validate_states",
-    f"""{views.EVENTS}{_STATES}, checked AS (
+def accepted_states_sql(select: str) -> str:
+    """``select`` over ``checked``, the states with the list of rules they break."""
+    return f"""{views.EVENTS}{_STATES}, checked AS (
          SELECT match_id, timestamp_s AS timestamp, list_sort(list_filter([{_REASONS}], lambda x: x IS NOT NULL)) AS r
          FROM state_player GROUP BY match_id, timestamp_s)
-       SELECT match_id, timestamp, array_to_string(r, '; ') AS reasons, len(r) = 0 AS accepted FROM checked""",
+       {select}"""
+
+
+@query(
+    "validate_states",
+    accepted_states_sql("SELECT match_id, timestamp, array_to_string(r, '; ') AS reasons, len(r) = 0 AS accepted FROM checked"),
 )
 def validate_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = scoring.validate(game_states(spark, sf_dir), hero_list(spark, sf_dir))

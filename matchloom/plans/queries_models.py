@@ -1,18 +1,21 @@
 """Queries over splits, metrics and trained models.
 
 Metric queries score ``labels`` with a fixed formula, so SQL can follow. Model queries train on the
-training table and are checked by rows.
+training table; SQL names the rows, and what must hold for each comes as columns.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from matchloom.functions.columns import sigmoid
 from matchloom.operators import aggregates, metrics, models, scoring, splits
 from matchloom.operators.features import feature_columns, feature_vectors
-from matchloom.plans.queries_features import game_states, kept_and_params
+from matchloom.plans.queries_features import accepted_states_sql, feature_sql, game_states, kept_and_params
 from matchloom.plans.registry import query, rounded
+from matchloom.schemas import TRAIN_LOG
 from matchloom.session import scratch_path
 from matchloom.sources.tables import write_stage
 from matchloom.sources.testdata import read_table
@@ -226,80 +229,143 @@ def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return models.stratified_parts(_vectors(spark, sf_dir)[0], 0.25, SEED)
 
 
-def _scored(model, test: DataFrame) -> DataFrame:
+_TRAINING = f"t AS (SELECT match_id, time_s, winning_team FROM ({feature_sql()}))"
+_TEST_ROWS = f"""WITH {_TRAINING},
+classes AS (SELECT winning_team, count(*) AS n FROM t GROUP BY winning_team),
+shares AS (
+  SELECT winning_team, sum(n) OVER () - ceil(CAST(0.25 AS DOUBLE) * sum(n) OVER ()) AS train,
+         n * (sum(n) OVER () - ceil(CAST(0.25 AS DOUBLE) * sum(n) OVER ())) / sum(n) OVER () AS share FROM classes),
+sizes AS (
+  SELECT winning_team, floor(share) + CAST(row_number() OVER (ORDER BY share - floor(share) DESC, winning_team)
+         <= train - sum(floor(share)) OVER () AS INT) AS train_n FROM shares),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY winning_team ORDER BY md5('{SEED}|' || match_id || '|' || time_s)) AS r FROM t),
+test AS (SELECT match_id, time_s, winning_team FROM ranked JOIN sizes USING (winning_team) WHERE r > train_n)
+"""
+_JUDGED = _TEST_ROWS + "SELECT *, TRUE AS score_in_range, TRUE AS prediction_fits FROM test"
+
+
+def _judged(model, test: DataFrame) -> DataFrame:
+    """The scored rows with what must hold for each: a probability, and the class it stands for."""
     out = models.with_probability(model.transform(test))
-    return out.select("match_id", "time_s", models.LABEL, "prediction", "score")
+    fits = F.when(F.col("score") == 0.5, F.lit(True)).otherwise(F.col("prediction") == (F.col("score") > 0.5).cast("double"))
+    return out.select(*models.KEY, models.LABEL, F.col("score").between(0, 1).alias("score_in_range"), fits.alias("prediction_fits"))
 
 
-@query("logreg")
+@query("logreg", _TEST_ROWS + "SELECT *, TRUE AS score_in_range, TRUE AS prediction_fits, TRUE AS at_the_minimum FROM test")
 def logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the test rows; the gradient of the weighted, penalised loss must vanish on the training rows."""
     train, test = _parts(spark, sf_dir)
-    return _scored(models.fit_logreg(train), test)
+    model = models.fit_logreg(train)
+    return _judged(model, test).withColumn("at_the_minimum", F.lit(models.logreg_gradient(model, train) < 1e-3))
 
 
-@query("random_forest")
+@query("random_forest", _JUDGED)
 def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _parts(spark, sf_dir)
-    return _scored(models.fit_forest(train, SEED, trees=20, depth=8), test)
+    return _judged(models.fit_forest(train, SEED), test)
 
 
-@query("mlp")
+@query("mlp", _JUDGED)
 def mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _parts(spark, sf_dir)
-    return _scored(models.fit_mlp(train, hidden=2, width=8, seed=SEED, max_iter=20), test)
+    return _judged(models.fit_mlp(train, seed=SEED), test)
 
 
-def _log_table(spark: SparkSession, log: list[dict]) -> DataFrame:
-    path = scratch_path(spark, "train-log")
-    models.write_train_log(spark, log, path)
-    return spark.read.parquet(path)
+_LOG_SQL = """SELECT TRUE AS epochs_without_gap, TRUE AS losses_finite, TRUE AS accuracies_in_range, TRUE AS within_limit"""
+
 
+def _log_facts(log: DataFrame) -> DataFrame:
+    """What must hold for the log of any run, in one row."""
+    losses, accuracies = ("train_loss", "val_loss"), ("train_acc", "val_acc")
+    return log.agg(
+        ((F.min("epoch") == 1) & (F.max("epoch") == F.count_distinct("epoch")) & (F.count("*") == F.max("epoch"))).alias("epochs_without_gap"),
+        F.every(F.forall(F.array(*losses), lambda x: (x >= 0) & ~F.isnan(x) & (x < float("inf")))).alias("losses_finite"),
+        F.every(F.forall(F.array(*accuracies), lambda x: x.between(0, 1))).alias("accuracies_in_range"),
+        (F.max("epoch") <= 200).alias("within_limit"),
+    )
 
-@query("mlp_rounds")
+
+@query("mlp_rounds", _LOG_SQL)
 def mlp_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, val = _parts(spark, sf_dir)
-    _, log = models.train_rounds(train, val, hidden=1, width=6, epochs=4, k=3, seed=SEED)
-    return spark.createDataFrame(log)
+    return _log_facts(spark.createDataFrame(models.train_rounds(train, val, seed=SEED)[1]))
 
 
-@query("train_log")
+@query("train_log", _LOG_SQL)
 def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored log of a run of the default network."""
     train, val = _parts(spark, sf_dir)
-    return _log_table(spark, models.train_rounds(train, val, hidden=1, width=4, epochs=3, k=2, seed=SEED)[1])
+    path = scratch_path(spark, "train-log")
+    models.write_train_log(spark, models.train_rounds(train, val, seed=SEED)[1], path)
+    return _log_facts(spark.read.schema(TRAIN_LOG).parquet(path))
 
 
-@query("grid_search")
+GRID_TRIAL = {"width": [4, 8], "hidden": [1, 2], "step": [0.01, 0.05]}
+
+
+@query(
+    "grid_search",
+    """SELECT CAST(r AS INT) AS place, TRUE AS on_the_grid, TRUE AS no_better_behind FROM range(1, 9) t(r)""",
+)
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking of a grid over all three axes of ``FULL_GRID``, of small networks and few epochs (see the README)."""
     train, val = _parts(spark, sf_dir)
-    grid = models.parameter_grid(width=[4, 8], hidden=[1], step=[0.01, 0.05])
-    return models.grid_search(grid, train, val, models.KEY, epochs=2, k=2, seed=SEED)
+    ranking = models.grid_search(models.parameter_grid(**GRID_TRIAL), train, val, models.KEY, epochs=3, k=2, seed=SEED)
+    ranked = Window.orderBy("validation_loss", "width", "hidden", "step")  # at most ten rows
+    on_grid = F.lit(True)
+    for axis, values in GRID_TRIAL.items():
+        on_grid &= F.col(axis).isin(values)
+    behind = F.coalesce(F.lead("validation_loss").over(ranked) >= F.col("validation_loss"), F.lit(True))
+    return ranking.select(F.row_number().over(ranked).alias("place"), on_grid.alias("on_the_grid"), behind.alias("no_better_behind"))
 
 
-@query("model_comparison")
+@query(
+    "model_comparison",
+    """SELECT model, metric, CAST(2 AS BIGINT) AS runs, TRUE AS mean_in_range
+       FROM (SELECT unnest(['Dummy (Most Frequent)', 'Dummy (Random)', 'Logistic Regression', 'Random Forest', 'Neural Network']) AS model),
+            (SELECT unnest(['accuracy', 'roc_auc', 'bce', 'mse']) AS metric)""",
+)
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five models at their full size over two of the 25 repeated splits (see the README)."""
     table, _, _ = _vectors(spark, sf_dir)
-    fits = {
-        "Logistic Regression": lambda train, seed: models.fit_logreg(train),
-        "Random Forest": lambda train, seed: models.fit_forest(train, seed, trees=10, depth=5),
-    }
-    return aggregates.average_metrics(models.compare(table, fits, runs=2, seed=SEED))
+    means = aggregates.average_metrics(models.compare(table, models.default_models(), runs=2, seed=SEED))
+    bounded = F.col("metric") != "bce"
+    fine = (F.col("mean") >= 0) & F.when(bounded, F.col("mean") <= 1).otherwise(True)
+    return means.select("model", "metric", "runs", fine.alias("mean_in_range"))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", _TEST_ROWS + "SELECT match_id, time_s, CAST(0 AS DOUBLE) AS difference FROM test")
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the scores of a stored and loaded model lie from those of the model itself."""
     table, heroes, _ = _vectors(spark, sf_dir)
     train, test = models.stratified_parts(table, 0.25, SEED)
     names = feature_columns(heroes)
     path = scratch_path(spark, "model")
-    models.save_model(models.fit_logreg(train), path, {"features": names})
-    model, _ = models.load_model(spark, path, names)
-    return _scored(model, test)
+    fitted = models.fit_logreg(train)
+    models.save_model(fitted, path, {"features": names})
+    loaded, _ = models.load_model(spark, path, names)
+    both = loaded.transform(fitted.transform(test).withColumnsRenamed({"probability": "first", "rawPrediction": "r", "prediction": "p"}))
+    score = [F.get(vector_to_array(c), F.lit(1)) for c in ("first", "probability")]
+    return both.select(*models.KEY, F.abs(score[0] - score[1]).alias("difference"))
 
 
-@query("score_states")
+@query(
+    "score_states",
+    accepted_states_sql("SELECT match_id, timestamp, TRUE AS score_in_range, TRUE AS is_sigmoid_of_sum FROM checked WHERE len(r) = 0"),
+)
 def score_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all valid states of all matches, by a model trained on the kept matches."""
+    """Scores of all valid states of all matches, by a model trained on the kept matches, against the sigmoid of the
+    weighted sum of the state's features."""
     table, heroes, params = _vectors(spark, sf_dir)
     model = models.fit_logreg(table)
     states = scoring.accepted(scoring.validate(game_states(spark, sf_dir), heroes))
-    return scoring.score(model, states, params, heroes).select("match_id", "timestamp", "score")
+    weights = F.array(*[F.lit(float(w)) for w in model.coefficients])
+    parts = F.zip_with(vector_to_array("features"), weights, lambda x, w: x * w)
+    total = F.aggregate(parts, F.lit(float(model.intercept)), lambda a, x: a + x)
+    vectors = scoring.state_vectors(states, params, heroes).select("match_id", "timestamp", total.alias("total"))
+    scores = scoring.score(model, states, params, heroes).select("match_id", "timestamp", "score")
+    agrees = F.abs(F.col("score") - sigmoid(F.col("total"))) < 1e-9
+    return scores.join(vectors, ["match_id", "timestamp"]).select(
+        "match_id", "timestamp", F.col("score").between(0, 1).alias("score_in_range"), agrees.alias("is_sigmoid_of_sum")
+    )

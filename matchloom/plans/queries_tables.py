@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from matchloom.functions.arrays import quoted
 from matchloom.functions.columns import badge_distance, badge_linear
 from matchloom.operators import filters, joins, listing, series
-from matchloom.operators.aggregates import top_n
+from matchloom.operators.aggregates import head
 from matchloom.operators.encode import encode_team
 from matchloom.operators.normalize import collect_params, mean_std, params_table
 from matchloom.plans import views
-from matchloom.plans.prepare import Selection, select_matches
+from matchloom.plans.prepare import Selection, store_matches
 from matchloom.plans.registry import query, rounded
 
 from matchloom.session import scratch_path
@@ -27,13 +27,16 @@ CHOSEN = Selection(
 
 
 def filtered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Kept info rows and kept player rows with hero names."""
+    """Kept info rows and kept player rows with hero names, written once for all that reads them."""
     raw = EventMatches(spark, sf_dir)
-    return select_matches(raw.info, raw.player, raw.heroes, CHOSEN)
+    return store_matches(raw.info, raw.player, raw.heroes, CHOSEN, scratch_path(spark, "kept"))
 
 
 def stage_tables(spark: SparkSession, sf_dir: str) -> series.StageTables:
-    return series.split_general_timestamp(*filtered(spark, sf_dir))
+    """The four stage tables; the unnested samples are written, as several steps read them."""
+    stages = series.split_general_timestamp(*filtered(spark, sf_dir))
+    samples_path = scratch_path(spark, "player-timestamp")
+    return stages._replace(player_timestamp=tables.write_stage(stages.player_timestamp, samples_path))
 
 
 def eligible(raw: EventMatches) -> DataFrame:
@@ -50,6 +53,11 @@ def samples(raw: EventMatches) -> DataFrame:
 # sources and sinks
 
 
+def _ts_as_number(events: DataFrame) -> DataFrame:
+    """The time as microseconds, one form for both engines."""
+    return events.withColumn("ts_us", F.unix_micros(F.col("ts").cast("timestamp"))).drop("ts")
+
+
 @query("scan_numbered", views.EVENTS + "SELECT match_id, winning_team, duration_s FROM raw_info")
 def scan_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, info = scratch_path(spark, "numbered"), EventMatches(spark, sf_dir).info
@@ -58,9 +66,9 @@ def scan_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.general_columns(tables.scan_numbered(spark, folder, "match_info", range(45, 48), info.schema))
 
 
-@query("scan_parquet", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query("scan_parquet", "SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props FROM events")
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.scan_parquet(spark, f"{sf_dir}/events.parquet").drop("ts")
+    return _ts_as_number(tables.scan_parquet(spark, f"{sf_dir}/events.parquet"))
 
 
 @query("hero_list", views.EVENTS + "SELECT CAST(id AS BIGINT) AS position, name FROM heroes")
@@ -113,9 +121,12 @@ def params_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(params_table(orders, tables.load_params(spark, path)))
 
 
-@query("point_lookup", "SELECT event_id, user_id, event_type, value, props FROM events WHERE user_id = 17")
+@query(
+    "point_lookup",
+    "SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props FROM events WHERE user_id = 5",
+)
 def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.point_lookup(spark, f"{sf_dir}/events.parquet", 17, "user_id").drop("ts")
+    return _ts_as_number(tables.point_lookup(spark, f"{sf_dir}/events.parquet", 5, "user_id"))
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +175,7 @@ def parse_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "bytes",
         F.unix_seconds("modified").alias("modified_s"),
         "href",
-        (F.col("is_dir") & (F.col("name") == listing.METADATA_DIR)).alias("entered"),
+        listing.entered().alias("entered"),
     )
 
 
@@ -306,8 +317,9 @@ def filter_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def filtered_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = EventMatches(spark, sf_dir)
     info, player = filters.filter_matches(
-        raw.info, raw.player, CHOSEN.start, CHOSEN.end, CHOSEN.min_badge, CHOSEN.max_disparity, CHOSEN.leniency_s
-    )
+        raw.info, raw.player, CHOSEN.start, CHOSEN.end, CHOSEN.min_badge, CHOSEN.max_disparity, CHOSEN.leniency_s,
+        hold=lambda ids: tables.write_stage(ids, scratch_path(spark, "kept-ids")),
+    )
     return player.join(info, "match_id").select(
         "match_id", "account_id", "team", "hero_id", "net_worth", "winning_team", "duration_s"
     )
@@ -477,7 +489,7 @@ def conditional_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     views.ORDERS + "SELECT match_id, winning_team, duration_s FROM om_info ORDER BY match_id LIMIT 5",
 )
 def head_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_n(OrderMatches(spark, sf_dir).info, ["match_id"], 5, descending=False)
+    return head(OrderMatches(spark, sf_dir).info, ["match_id"], 5)
 
 
 

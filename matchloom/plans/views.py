@@ -29,7 +29,7 @@ raw_player AS (
          CAST(CASE WHEN account_id % 37 = 36 THEN 86400 ELSE 0 END AS BIGINT) AS abandon_match_time_s,
          list(t ORDER BY t) AS "stats.time_stamp_s", list(nw ORDER BY t) AS "stats.net_worth",
          list(ap ORDER BY t) AS "stats.ability_points", list(lvl ORDER BY t) AS "stats.level"
-  FROM cum GROUP BY match_id, account_id),
+  FROM cum WHERE match_id % 43 <> 20 GROUP BY match_id, account_id),
 obj AS (
   SELECT match_id, team, k % 13 AS o, min(CASE WHEN k % 13 = 0 THEN 0 ELSE t END) AS d
   FROM ev GROUP BY match_id, team, k % 13),
@@ -38,14 +38,18 @@ obj_lists AS (
          list(team ORDER BY team, o) AS teams
   FROM obj GROUP BY match_id),
 raw_info AS (
-  SELECT e.match_id, min(ts) AS start_time, CAST(max(t) + 3600 AS BIGINT) AS duration_s,
+  SELECT e.match_id, min(ts) AS start_time,
+         CAST(CASE WHEN e.match_id % 25 = 3 THEN 400 ELSE max(t) + 3600 END AS BIGINT) AS duration_s,
          CASE WHEN (e.match_id * 7) % 3 = 0 THEN 'Team0' ELSE 'Team1' END AS winning_team,
-         CAST(101 + e.match_id % 6 AS INT) AS average_badge_team0,
-         CAST(101 + (e.match_id * 5) % 6 AS INT) AS average_badge_team1,
-         e.match_id % 17 = 16 AS low_pri_pool,
+         CAST(CASE WHEN e.match_id % 31 = 9 THEN NULL WHEN e.match_id % 27 = 10 THEN 95 ELSE 101 + e.match_id % 6 END AS INT)
+           AS average_badge_team0,
+         CAST(CASE WHEN e.match_id % 29 = 7 THEN NULL ELSE 101 + least(5, e.match_id % 6 + e.match_id % 4) END AS INT)
+           AS average_badge_team1,
+         e.match_id % 17 = 11 AS low_pri_pool,
          CASE WHEN e.match_id % 13 = 4 THEN NULL ELSE FALSE END AS new_player_pool,
-         FALSE AS is_high_skill_range_parties, TRUE AS rewards_eligible,
-         e.match_id % 19 = 18 AS not_scored,
+         e.match_id % 23 = 5 AS is_high_skill_range_parties,
+         CASE WHEN e.match_id % 21 = 11 THEN NULL ELSE e.match_id % 22 <> 13 END AS rewards_eligible,
+         e.match_id % 19 = 12 AS not_scored,
          any_value(ds) AS "objectives.destroyed_time_s", any_value(os) AS "objectives.team_objective",
          any_value(teams) AS "objectives.team"
   FROM ev e JOIN obj_lists l ON l.match_id = e.match_id GROUP BY e.match_id),
@@ -76,7 +80,7 @@ eligible AS (
     AND duration_s >= 480 AND rewards_eligible IS TRUE
     AND not_scored IS FALSE AND is_high_skill_range_parties IS FALSE
     AND low_pri_pool IS FALSE AND new_player_pool IS FALSE
-    AND least(average_badge_team0, average_badge_team1) >= 101
+    AND average_badge_team0 >= 101 AND average_badge_team1 >= 101
     AND abs({BADGE.format('average_badge_team0')} - {BADGE.format('average_badge_team1')}) <= 2),
 eligible_player AS (SELECT p.* FROM raw_player p SEMI JOIN eligible USING (match_id)),
 full_matches AS (SELECT match_id FROM eligible_player GROUP BY match_id HAVING count(*) = 12),

@@ -73,6 +73,18 @@ MATCH_PLAYER = _struct(
     stats__level=_longs,
 )
 
+# Columns of the info rows that only the filter reads.
+FILTER_ONLY = (
+    "start_time",
+    "is_high_skill_range_parties",
+    "low_pri_pool",
+    "new_player_pool",
+    "rewards_eligible",
+    "not_scored",
+    "average_badge_team0",
+    "average_badge_team1",
+)
+
 # Output name of each series column and the list column it comes from.
 PLAYER_SERIES = {
     "timestamp_s": "stats.time_stamp_s",

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+SETTING = "spark.checkpoint.dir"
+
 
 def build_session(master: str | None = None, app: str = "matchloom", **conf: str) -> SparkSession:
     """A session with UTC time, adaptive execution and skew handling switched on.
 
-    ``master`` stays unset on a cluster, where spark-submit names it.
+    ``master`` stays unset on a cluster, where spark-submit names it and the scratch folder. On one machine
+    the scratch folder is a temporary one unless ``conf`` names another.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -20,6 +24,8 @@ def build_session(master: str | None = None, app: str = "matchloom", **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         **conf,
     }
+    if (master or "").startswith("local"):
+        settings.setdefault(SETTING, tempfile.mkdtemp(prefix="matchloom-"))
     builder = SparkSession.builder.appName(app)
     if master is not None:
         builder = builder.master(master)
@@ -31,17 +37,21 @@ def build_session(master: str | None = None, app: str = "matchloom", **conf: str
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the folder that ``spark.checkpoint.dir`` names.
 
-    Only where the cluster names none (unit tests on one machine) is a temporary folder taken.
+    Where a session of one machine names none, its scratch folder is one below the warehouse.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="matchloom-")
+            raise ValueError(f"set {SETTING} to a folder all executors can reach")
+        base = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``DataFrame.checkpoint`` at the shared folder unless the session already did."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(scratch_path(spark, "checkpoint"))
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that lies in the session's scratch folder, once no result is read any more."""
+    base = scratch_path(spark, "x").rpartition("/")[0]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(folder):
+        for entry in files.listStatus(folder):
+            files.delete(entry.getPath(), True)

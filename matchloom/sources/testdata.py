@@ -63,7 +63,7 @@ class EventMatches:
             F.first("match_id").alias("match_id"), F.sort_array(F.collect_list(F.struct("t", "nw", "ap", "lvl"))).alias("s")
         )
         last = F.element_at("s", -1)
-        return series.select(
+        return series.where(F.col("match_id") % 43 != 20).select(  # matches without players
             "match_id",
             "account_id",
             _team("account_id").alias("team"),
@@ -90,21 +90,21 @@ class EventMatches:
         names = F.array(*[F.lit(o) for o in OBJECTIVES])
         lists = fallen.groupBy("match_id").agg(F.sort_array(F.collect_list(F.struct("team", "o", "d"))).alias("s"))
         spans = self.events.groupBy("match_id").agg(
-            F.min("ts").alias("start_time"), (F.max("t") + 3600).alias("duration_s")
+            F.min("ts").alias("start_time"), (F.max("t") + 3600).alias("_span")
         )
         m = F.col("match_id")
         return spans.join(lists, "match_id", "left").select(
             "match_id",
             "start_time",
-            "duration_s",
+            F.when(m % 25 == 3, F.lit(400)).otherwise(F.col("_span")).cast("bigint").alias("duration_s"),
             F.when(m * 7 % 3 == 0, F.lit("Team0")).otherwise(F.lit("Team1")).alias("winning_team"),
-            (101 + m % 6).cast("int").alias("average_badge_team0"),
-            (101 + m * 5 % 6).cast("int").alias("average_badge_team1"),
-            (m % 17 == 16).alias("low_pri_pool"),
+            F.when(m % 31 == 9, F.lit(None)).when(m % 27 == 10, F.lit(95)).otherwise(101 + m % 6).cast("int").alias("average_badge_team0"),
+            F.when(m % 29 == 7, F.lit(None)).otherwise(101 + F.least(F.lit(5), m % 6 + m % 4)).cast("int").alias("average_badge_team1"),
+            (m % 17 == 11).alias("low_pri_pool"),
             F.when(m % 13 == 4, F.lit(None).cast("boolean")).otherwise(F.lit(False)).alias("new_player_pool"),
-            F.lit(False).alias("is_high_skill_range_parties"),
-            F.lit(True).alias("rewards_eligible"),
-            (m % 19 == 18).alias("not_scored"),
+            (m % 23 == 5).alias("is_high_skill_range_parties"),
+            F.when(m % 21 == 11, F.lit(None).cast("boolean")).otherwise(m % 22 != 13).alias("rewards_eligible"),
+            (m % 19 == 12).alias("not_scored"),
             F.col("s.d").alias("objectives.destroyed_time_s"),
             F.transform("s", lambda x: names[x["o"]]).alias("objectives.team_objective"),
             F.col("s.team").alias("objectives.team"),

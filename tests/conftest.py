@@ -5,20 +5,26 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from matchloom.session import build_session  # noqa: E402
+from matchloom.session import build_session, clear_scratch  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[4]",
         "matchloom-tests",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"},
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    clear_scratch(session)
 
 
 @pytest.fixture(scope="session")

@@ -50,6 +50,25 @@ def test_balanced_weights(spark):
     assert {r["y"]: r["weight"] for r in splits.with_class_weight(df, "y").collect()} == {0: 4 / 6, 1: 2.0}
 
 
+def test_many_classes(spark):
+    """More classes than a map would hold: shares are kept, weights are attached, NULL labels stay."""
+    df = spark.range(4004).select("id", F.when(F.col("id") < 4000, F.col("id") % 1001).alias("y"))
+    placed = splits.split_stratified(df, "y", 0.25, 7, ["id"])
+    assert placed.columns == ["id", "y", "part"] and placed.count() == 4004
+    assert placed.where("part = 'train'").count() == 3000
+    weighted = splits.with_class_weight(df, "y")
+    assert weighted.count() == 4004 and weighted.where("y is not null and abs(weight - 4000 / (1001 * if(y < 997, 4, 3))) < 1e-9").count() == 4000
+
+
+def test_early_stop_keeps_all_epochs(spark):
+    rows = [(1, e, 500.0 - e) for e in range(1, 251)]
+    df = spark.createDataFrame(rows, "run int, epoch int, loss double")
+    got = models.early_stop(df, ["run"], "epoch", "loss", patience=300).first()
+    assert (got["stop_epoch"], got["best_epoch"]) == (None, 250) and got["best_loss"] <= 500.0 - 250 + 3
+    with pytest.raises(Exception, match="more than 100 epochs"):
+        models.early_stop(df, ["run"], "epoch", "loss", most_epochs=100).collect()
+
+
 def test_early_stop_fold_equals_the_loop(spark):
     losses = {
         1: [1.0, 0.995, 0.98, 0.98, 0.98, 0.98, 0.98, 0.98],

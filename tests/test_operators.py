@@ -117,9 +117,9 @@ def test_filter_matches(spark):
     kept_info, kept_player = filters.filter_matches(info, player, *args)
     assert sorted(values(kept_info, "match_id")) == [(1,), (4,)]
     assert kept_player.count() == 24 and "abandon_match_time_s" not in kept_player.columns
-    # crowded matches are dropped before the shuffle without changing the result
-    again, _ = filters.filter_matches(info, player, *args, heavy_rows=12)
-    assert sorted(values(again, "match_id")) == [(1,), (4,)]
+    held = []
+    again, _ = filters.filter_matches(info, player, *args, hold=lambda ids: held.append(ids) or ids)
+    assert len(held) == 1 and sorted(values(again, "match_id")) == [(1,), (4,)]
     eligible = filters.filter_matches_eligible(info, *args)
     funnel = filters.filter_funnel(filters.match_verdicts(eligible, player))
     assert values(funnel, "stage", "matches", "player_rows") == [
@@ -365,3 +365,29 @@ def test_ratio_with_a_heavy_group(spark):
     ratios = normalize.net_worth_ratio(rows)
     assert ratios.where("match_id = 1").agg(F.min("net_worth_ratio"), F.count("*")).first() == (1 / 200, 200)
     assert ratios.count() == 600
+
+
+def test_stale_files_need_a_readable_time(spark):
+    from matchloom.operators import listing
+
+    schema = "name string, modified timestamp, in_metadata boolean"
+    remote = spark.createDataFrame([("match_info_3000000000.parquet", None, True), ("x.parquet", None, False)], schema)
+    local = spark.createDataFrame([("match_info_3000000000.parquet", datetime(2025, 1, 1))], "name string, modified timestamp")
+    big = range(2_999_999_999, 3_000_000_001)
+    assert listing.select_stale(remote, local.limit(0), [], big).count() == 1  # numbers beyond 2**31, nothing local
+    with pytest.raises(Exception, match="no readable time for match_info_3000000000"):
+        listing.select_stale(remote, local, [], big).collect()
+
+
+def test_describe_covers_all_types(spark):
+    from matchloom.operators.profile import describe_all
+
+    rows = [(1, True, datetime(2024, 1, 1), "a", [1], datetime(2024, 1, 1).date()), (3, False, datetime(2024, 1, 3), "a", [1], None), (None, True, None, None, None, None)]
+    df = spark.createDataFrame(rows, "n int, b boolean, t timestamp, s string, l array<int>, d date")
+    got = {r["column"]: r for r in describe_all(df).collect()}
+    assert set(got) == set(df.columns)
+    assert (got["b"]["count"], got["b"]["unique"], got["b"]["top"], got["b"]["freq"]) == (3, 2, "true", 2)
+    assert (got["l"]["count"], got["l"]["unique"], got["l"]["freq"]) == (2, 1, 2)
+    assert got["t"]["max"] - got["t"]["min"] == 2 * 86400 and got["t"]["std"] is None and got["d"]["count"] == 1
+    assert (got["n"]["count"], got["n"]["mean"], got["n"]["q50"]) == (2, 2.0, 2.0)
+    assert describe_all(df.select("b")).count() == 1

@@ -8,15 +8,22 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from matchloom.operators import features, filters, series
+from matchloom.functions.arrays import quoted
+from matchloom.operators import analytics, features, filters, series
+from matchloom.plans import views
+from matchloom.plans.catalog import ORACLES, QUERIES
 from matchloom.plans.prepare import Selection, prepare
-from matchloom.plans.queries_features import kept_and_params
+from matchloom.plans.queries_features import feature_sql, kept_and_params
 from matchloom.plans.queries_tables import CHOSEN, filtered, samples
-from matchloom.sources.tables import load_params, write_stage
+from matchloom.schemas import FILTER_ONLY, MATCH_INFO, MATCH_PLAYER
+from matchloom.sources.tables import load_params, scan_numbered, write_stage
 from matchloom.sources.testdata import EventMatches
 from tools.compare import compare, connect
 
 
+SQL_DIR = "/root/testdata/sf0.01"  # where every query has rows
+
+
 def static_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -35,12 +42,17 @@ def stored(spark, sf_dir, tmp_path_factory):
 def test_prepare_writes_all_tables(spark, stored, tmp_path):
     out = str(tmp_path / "out")
     matrix, params = prepare(spark, stored, f"{stored}/heroes.parquet", out, range(45, 48), CHOSEN)
-    # 18 rows, 28 + 12 * (6 heroes + 3) features, key, time and label
-    assert (matrix.count(), len(matrix.columns)) == (18, 136 + 3)
+    def counted(sql):
+        return connect(SQL_DIR).execute(sql).fetchone()[0]
+
+    # 28 + 12 * (6 heroes + 3) features, key, time and label
+    assert (matrix.count(), len(matrix.columns)) == (counted(f"SELECT count(*) FROM ({feature_sql()})"), 136 + 3)
+    assert matrix.count() > 10
     stored_params = load_params(spark, f"{out}/normalization_params")
     assert set(stored_params) == set(params) and all(stored_params[f] == pytest.approx(params[f]) for f in params)
     rows = {t: spark.read.parquet(f"{out}/match_{t}").count() for t in series.StageTables._fields}
-    assert rows == {"info_general": 4, "info_timestamp": 116, "player_general": 47, "player_timestamp": 1205}
+    tables = {"info_general": "kept_info", "info_timestamp": "info_ts", "player_general": "named_player", "player_timestamp": "kept_ts"}
+    assert rows == {t: counted(f"{views.FILTERED}, {views.INFO_TS} SELECT count(*) FROM {v}") for t, v in tables.items()}
     nothing = Selection(start=datetime(2020, 1, 1, tzinfo=timezone.utc), end=datetime(2020, 1, 2, tzinfo=timezone.utc))
     info, _ = filters.filter_matches(
         EventMatches(spark, "/root/testdata/sf0.001").info, EventMatches(spark, "/root/testdata/sf0.001").player,
@@ -107,7 +119,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-SLOW = {"assemble_features", "feature_matrix", "normalized_players"}
+SLOW = {"model_comparison", "grid_search", "mlp_rounds", "train_log"}  # minutes of training each; tools/compare.py runs them
 
 
 def test_catalog_is_complete():
@@ -116,8 +128,59 @@ def test_catalog_is_complete():
     assert len(queries) > 95
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.oracle_sql()) - SLOW))
-def test_query_equals_sql(spark, sf_dir, name):
-    con: duckdb.DuckDBPyConnection = connect(sf_dir)
-    ok, note = compare(spark, con, sf_dir, name, entry_points.queries()[name], entry_points.oracle_sql()[name])
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
+def test_query_equals_sql(spark, name):
+    con: duckdb.DuckDBPyConnection = connect(SQL_DIR)
+    ok, note = compare(spark, con, SQL_DIR, name, QUERIES[name], ORACLES[name])
     assert ok, note
+
+
+def test_comparison_rejects_empty_results_and_wrong_order(spark):
+    con = connect(SQL_DIR)
+    nothing = lambda spark, d: spark.range(0)
+    assert not compare(spark, con, SQL_DIR, "nothing", nothing, "SELECT CAST(1 AS BIGINT) AS id WHERE FALSE")[0]
+    down = lambda spark, d: spark.range(3).orderBy(F.desc("id"))
+    up = "SELECT * FROM (VALUES (0::BIGINT), (1), (2)) t(id) ORDER BY id"
+    assert compare(spark, con, SQL_DIR, "any", down, up)[0]
+    assert not compare(spark, con, SQL_DIR, "head_rows", down, up)[0]
+
+
+def test_every_rule_of_eligibility_rejects_a_row(spark):
+    info = EventMatches(spark, SQL_DIR).info
+    rules = ["rewards_eligible", "not not_scored", "not is_high_skill_range_parties", "not low_pri_pool", "not new_player_pool",
+             "average_badge_team0 >= 101", "average_badge_team1 >= 101", "duration_s >= 480"]
+    for rule in rules:
+        assert 0 < info.where(rule).count() < info.count(), rule
+    for column in ("rewards_eligible", "new_player_pool", "average_badge_team0", "average_badge_team1"):
+        assert info.where(F.col(column).isNull()).count() > 0 or column == "average_badge_team1"
+
+
+def test_prepare_reads_only_the_columns_it_needs(spark, stored, tmp_path):
+    """Further columns of the raw files stay unread, and the player table is read twice."""
+    wide = str(tmp_path / "wide")
+    for name in ("match_info_45", "match_player_46", "heroes"):
+        table = spark.read.parquet(f"{stored}/{name}.parquet")
+        write_stage(table.withColumns({"_other": F.lit("x" * 100), "_more": F.lit(1)}), f"{wide}/{name}.parquet")
+    info = scan_numbered(spark, wide, "match_info", range(45, 48)).select(*[quoted(n) for n in MATCH_INFO.names])
+    player = scan_numbered(spark, wide, "match_player", range(45, 48)).select(*[quoted(n) for n in MATCH_PLAYER.names])
+    kept = filters.kept_ids(filters.filter_matches_eligible(info, CHOSEN.start, CHOSEN.end, 101, 2), player)
+    plan = static_plan(filters.players_of(player, kept))
+    schemas = re.findall(r"ReadSchema: struct<(\S+?)>(?=\s|$)", plan)
+    assert schemas and not any("_other" in s or "_more" in s for s in schemas)
+    assert len([s for s in schemas if "abandon_match_time_s" in s or "account_id" in s]) <= 2
+    assert prepare(spark, wide, f"{wide}/heroes.parquet", str(tmp_path / "out"), range(45, 48), CHOSEN)[0].count() > 0
+    assert spark.read.parquet(str(tmp_path / "out" / "kept_info")).columns == [n for n in MATCH_INFO.names if n not in FILTER_ONLY]
+
+
+def test_samples_carry_what_their_player_row_holds(spark, stored):
+    """No exchange by match and account above the unnesting."""
+    player = spark.read.parquet(f"{stored}/match_player_46.parquet").withColumn("hero_name", F.lit("x"))
+    info = spark.read.parquet(f"{stored}/match_info_45.parquet")
+    keys = ["match_id", "account_id", "team", "hero_name"]
+    for df in (
+        analytics.hero_time_samples(player, series.explode_series(player, keys), info),
+        analytics.lead_end(series.last_samples(player, keys), player, info, "level"),
+    ):
+        exchanges = [line for line in static_plan(df).splitlines() if "Exchange hashpartitioning" in line]
+        assert exchanges and not any("account_id" in line for line in exchanges)
+    assert "Generate" not in static_plan(series.last_samples(player, keys))
