@@ -185,7 +185,7 @@ def score(docs: DataFrame, text: str = "text", order: int = ORDER, backoff: floa
         rows = group.num_rows
         n_words = np.bincount(of, minlength=rows)
         full = np.bincount(of[level == np.minimum(order - 1, place) + 1], minlength=rows)
-        total = np.bincount(of, weights=value, minlength=rows)
+        total = np.bincount(of, weights=value, minlength=rows).astype(float)  # integers where there is no word
         mean = pa.array(total / np.maximum(n_words, 1), mask=n_words == 0)
         return pa.table({"doc_id": group.column("doc_id"), "n_words": n_words, "n_full": full, "log_score": total, "mean_log": mean})
 

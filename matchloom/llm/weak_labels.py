@@ -13,8 +13,8 @@ documents, both chosen by a digest of the id and spread over the whole table. Vo
 cover all documents.
 
 Cases: a null or empty text has no features and keeps only the scorer's base rate, so it is kept; a null id has no
-label; several labels of one id count as bad if any is; without labels the lists are empty; an empty table gives
-an empty result; other columns pass unchanged through ``kept_documents``.
+label; several labels of one id count as bad if any is; without labels the lists are empty, one labeller is left for
+toxicity, whose accuracy nothing can tell, and little is rejected; an empty table gives an empty result; other columns pass unchanged through ``kept_documents``.
 """
 
 from __future__ import annotations
