@@ -35,8 +35,10 @@ WORDS = 3
 PERCENT = 90
 SKETCH_BITS = 21
 SKETCH_CHUNK = 1 << 16  # counters in a row
-SIGNATURE_BITS = 1024
+SIGNATURE_BITS = 1024  # carried with every posting
+EXACT_BITS = 8192  # where the sets themselves are at hand
 TILE_ROWS = 4096
+TASK_ROWS = 512  # texts of clusters in a task
 NEAR = 64  # neighbours tested first
 
 
@@ -76,9 +78,9 @@ class Shingler:
         return found, np.concatenate(([0], np.cumsum(np.bincount(text, minlength=len(at) - 1))))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The parity of the shingles in each of ``SIGNATURE_BITS`` classes."""
-    flips = np.bincount((mix(shingles) % U64(SIGNATURE_BITS)).astype(np.int64), minlength=SIGNATURE_BITS) & 1
+def signature(shingles: np.ndarray, bits: int = SIGNATURE_BITS) -> np.ndarray:
+    """The parity of the shingles in each of ``bits`` classes."""
+    flips = np.bincount((mix(shingles) % U64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8)).view(U64)
 
 
@@ -152,10 +154,10 @@ def nodes(docs: DataFrame, text: str = "text", words: int = WORDS, percent: int
     return rows.mapInArrow(read, schema)
 
 
-def forest(sizes: np.ndarray, signatures: np.ndarray, percent: int, linked: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
-    """Edges that span the components of the pairs whose sizes and bitmaps allow a link (and that ``linked`` confirms).
-    ``sizes`` rise."""
-    n, edges, label = len(sizes), [], np.arange(len(sizes))
+def forest(sizes: np.ndarray, signatures: np.ndarray, percent: int, linked: Callable[[int, int], bool] | None = None) -> np.ndarray:
+    """Pairs (first, other) that span the components of the pairs whose sizes and bitmaps allow a link (and that
+    ``linked`` confirms). ``sizes`` rise."""
+    n, label = len(sizes), np.arange(len(sizes))
     low = np.searchsorted(100 * sizes, percent * sizes)
     for k in range(1, n):
         first = max(int(low[k]), k - NEAR)
@@ -167,18 +169,19 @@ def forest(sizes: np.ndarray, signatures: np.ndarray, percent: int, linked: Call
                 differ = np.bitwise_count(signatures[test] ^ signatures[k]).sum(axis=1, dtype=np.int64)
                 for j in test[(100 + percent) * differ <= (100 - percent) * (sizes[test] + sizes[k])]:
                     if label[j] != label[k] and (linked is None or linked(int(j), k)):
-                        edges.append((int(j), k))
                         label[label == label[j]] = label[k]
-    return edges
+    _, first, group = np.unique(label, return_index=True, return_inverse=True)
+    other = np.flatnonzero(first[group] != np.arange(n))
+    return np.stack((first[group[other]], other), axis=1)
 
 
-def tiles(rows: DataFrame, key: str, tile_rows: int) -> DataFrame:
+def tiles(rows: DataFrame, key: str, tile_rows: int, task_rows: int) -> DataFrame:
     """``rows`` (a written table) with the task group (_group, _i, _j) each of its tiles falls to.
 
-    Lists of up to ``tile_rows`` are one tile, and many of them share a group; a longer list is dealt in blocks, and
+    Lists of up to ``tile_rows`` are one tile, and those of about ``task_rows`` rows share a group; a longer list is dealt in blocks, and
     every pair of blocks is a tile and a group of its own.
     """
-    groups = max(1, -(-rows.count() // tile_rows))
+    groups = max(1, -(-rows.count() // task_rows))
     sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("_n")).where("_n > 1")
     group = F.when(F.col("_n").isNull(), F.pmod(F.xxhash64(key), F.lit(groups))).otherwise(F.xxhash64(key))
     block = F.pmod(F.xxhash64("node"), F.coalesce(F.col("_n"), F.lit(1))).cast("int")
@@ -191,7 +194,7 @@ def tiles(rows: DataFrame, key: str, tile_rows: int) -> DataFrame:
     )
 
 
-def per_tile(rows: DataFrame, key: str, tile_rows: int, spans: Callable) -> DataFrame:
+def per_tile(rows: DataFrame, key: str, tile_rows: int, task_rows: int, spans: Callable) -> DataFrame:
     """Edges (a, b) from ``spans``, which gets the rows of one task group and the row numbers of each of its tiles."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -204,7 +207,7 @@ def per_tile(rows: DataFrame, key: str, tile_rows: int, spans: Callable) -> Data
         pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    return tiles(rows, key, tile_rows).groupBy("_group", "_i", "_j").applyInArrow(run, "a long, b long")
+    return tiles(rows, key, tile_rows, task_rows).groupBy("_group", "_i", "_j").applyInArrow(run, "a long, b long")
 
 
 def candidates(found: DataFrame, percent: int = PERCENT, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -233,9 +236,9 @@ def candidates(found: DataFrame, percent: int = PERCENT, tile_rows: int = TILE_R
         for own in lists:
             if len(own) > 2:
                 own = own[np.lexsort((node[own], size[own]))]
-                yield own[np.array(forest(size[own], bits[own], percent), dtype=np.int64).reshape(-1, 2)]
+                yield own[forest(size[own], bits[own], percent)]
 
-    return per_tile(rows, "token", tile_rows, spans).distinct()
+    return per_tile(rows, "token", tile_rows, tile_rows, spans).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -277,7 +280,8 @@ def links(docs: DataFrame, found: DataFrame, text: str, words: int, percent: int
     )
     texts = docs.select("doc_id", F.xxhash64(F.col(text)).alias("_text"), F.col(text).alias("text"))
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_digest"))
-    rows = store(texts.join(wanted, on).select("node", "cluster", "text"), "cluster-texts")
+    # The same plan at every size: both sides by id.
+    rows = store(texts.join(wanted.hint("merge"), on).select("node", "cluster", "text"), "cluster-texts")
 
     def spans(group: pa.Table, lists: list[np.ndarray]) -> Iterator[list]:
         data, at = flat(group.column("text"))
@@ -291,16 +295,16 @@ def links(docs: DataFrame, found: DataFrame, text: str, words: int, percent: int
             _, once = np.unique(node[own], return_index=True)
             own = np.array(sorted(own[once], key=lambda k: (len(sets[k]), node[k])), dtype=np.int64)
             sizes = np.array([len(sets[k]) for k in own], dtype=np.int64)
-            bits = np.stack([signature(sets[k]) for k in own])
+            bits = np.stack([signature(sets[k], EXACT_BITS) for k in own])
 
             def linked(i: int, j: int) -> bool:
                 a, b = sets[own[i]], sets[own[j]]
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 return 100 * both >= percent * (len(a) + len(b) - both)
 
-            yield own[np.array(forest(sizes, bits, percent, linked), dtype=np.int64).reshape(-1, 2)]
+            yield own[forest(sizes, bits, percent, linked)]
 
-    return per_tile(rows, "cluster", tile_rows, spans)
+    return per_tile(rows, "cluster", tile_rows, TASK_ROWS, spans)
 
 
 def grouped(
