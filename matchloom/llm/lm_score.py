@@ -11,6 +11,9 @@ each block in the order of its questions; the block joins the answers to its n-g
 names an n-gram once however often it occurs, so no n-gram, however frequent, gathers more rows than there are blocks. Words and pairs go first; a longer n-gram is only
 sent where the other fold has its parts. The documents' shuffle into blocks is computed once and reused.
 
+With ``leave_one_out`` there are no folds: a document is scored with the counts of all other rows, that is those of the
+whole table less its own.
+
 Words are runs of digits, letters a-z and anything beyond ASCII, A-Z lower-cased.
 
 Cases: a null or empty text has no words, score 0 and a null mean; a null id is in fold 0; repeated rows count as often
@@ -67,11 +70,13 @@ def fold_sizes(docs: DataFrame) -> list[int]:
     return [found.get(k, 0) for k in range(FOLDS)]
 
 
-def score(docs: DataFrame, text: str = "text", order: int = ORDER, backoff: float = BACKOFF, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score(docs: DataFrame, text: str = "text", order: int = ORDER, backoff: float = BACKOFF, block_bytes: int = BLOCK_BYTES, leave_one_out: bool = False) -> DataFrame:
     """Rows (doc_id, n_words, n_full, log_score, mean_log): words, those scored with the longest context there is in the
     document, sum of logarithms, and the mean per word."""
     whole = F.coalesce(F.col(text), F.lit(""))
     fold = F.coalesce(F.pmod(F.col("doc_id").cast("long"), F.lit(FOLDS)), F.lit(0)).cast("int")
+    fold = F.lit(0) if leave_one_out else fold
+    folds = 1 if leave_one_out else FOLDS
     rows = docs.select("doc_id", fold.alias("fold"), whole.alias("text"))
     n = block_count(text_bytes(rows), block_bytes)
     sizes = fold_sizes(rows)
@@ -81,18 +86,19 @@ def score(docs: DataFrame, text: str = "text", order: int = ORDER, backoff: floa
         return ((names >> U64(32)) * U64(n) >> U64(32)).astype(np.int64)  # ranges of the hash, so that differences are small
 
     class Exploded:
-        """The words of a block with the different n-grams of each size; ``seen`` gets the other fold's counts of the
-        n-grams that start at each word."""
+        """The words of a block with the different n-grams of each size; ``seen`` gets the other fold's (or all other
+        documents') counts of the n-grams that start at each word."""
 
         def __init__(self, group: pa.Table) -> None:
             self.hashes, self.of = Reader().words(group.column("text"))
             self.fold = group.column("fold").to_numpy()[self.of]
             self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            self.own: dict[int, np.ndarray] = {}
             self.seen: dict[int, np.ndarray] = {}
 
         def explode(self, size: int) -> None:
-            """An n-gram of more than two words is only of use if the other fold has both its shorter parts: if not, no
-            document there has it, so none will ask for it."""
+            """An n-gram of more than two words is only of use if the other fold (or another document) has both its shorter
+            parts: if not, no document there has it, so none will ask for it."""
             if size == 1:
                 here, found = np.arange(len(self.hashes)), self.hashes
             else:
@@ -107,20 +113,24 @@ def score(docs: DataFrame, text: str = "text", order: int = ORDER, backoff: floa
             at = np.full(len(self.hashes), -1, dtype=np.int64)
             at[here] = where
             self.tables[size] = (names, at)
+            if leave_one_out:
+                _, which, times = np.unique(self.of[here] * len(names) + where, return_inverse=True, return_counts=True)
+                self.own[size] = np.zeros(len(self.hashes), dtype=np.int64)
+                self.own[size][here] = times[which]
 
         def messages(self, block: int, size: int) -> Iterator[dict]:
             names, at = self.tables[size]
-            counts = [np.bincount(at[(self.fold == k) & (at >= 0)], minlength=len(names)).astype(np.int64) for k in range(FOLDS)]
+            counts = [np.bincount(at[(self.fold == k) & (at >= 0)], minlength=len(names)).astype(np.int64) for k in range(folds)]
             for shard, own in by_shard(shard_of(names)):
                 yield message(block, shard, size, pack(np.diff(names[own], prepend=U64(0))), *(pack(c[own]) for c in counts))
 
         def read(self, size: int, answers: dict) -> None:
             names, at = self.tables[size]
-            total = np.zeros((FOLDS, len(names) + 1), dtype=np.int64)  # the last one stands for no n-gram
+            total = np.zeros((folds, len(names) + 1), dtype=np.int64)  # the last one stands for no n-gram
             for shard, own in by_shard(shard_of(names)):
-                for k, raw in enumerate(answers[size, shard]):
+                for k, raw in enumerate(answers[size, shard][:folds]):
                     total[k, own] = unpack(raw, np.int64)
-            self.seen[size] = total[1 - self.fold, at]
+            self.seen[size] = total[0, at] - self.own.pop(size) if leave_one_out else total[1 - self.fold, at]
             del self.tables[size]
 
         def catch_up(self, upto: int, answers: pa.Table) -> None:
@@ -154,7 +164,7 @@ def score(docs: DataFrame, text: str = "text", order: int = ORDER, backoff: floa
             _, where = np.unique(np.concatenate(parts), return_inverse=True)
             edge = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
             totals = []
-            for c in "bc":
+            for c in "bc"[:folds]:
                 values = np.concatenate([unpack(group.column(c)[k].as_py(), np.int64) for k in own])
                 sums = np.zeros(int(where.max(initial=-1)) + 1, dtype=np.int64)
                 np.add.at(sums, where, values)
@@ -168,7 +178,10 @@ def score(docs: DataFrame, text: str = "text", order: int = ORDER, backoff: floa
         block.catch_up(order, answers)
         of, seen = block.of, [block.seen[size] for size in range(1, order + 1)]
         place = np.arange(len(of)) - np.searchsorted(of, of, side="left")
-        words = np.array(sizes, dtype=float)[1 - block.fold]
+        if leave_one_out:
+            words = (sizes[0] - np.bincount(of, minlength=group.num_rows)[of]).astype(float)
+        else:
+            words = np.array(sizes, dtype=float)[1 - block.fold]
         value = np.zeros(len(of))
         level = np.zeros(len(of), dtype=np.int64)  # 0: not yet scored
         for size in range(order, 0, -1):

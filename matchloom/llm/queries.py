@@ -183,3 +183,10 @@ def op4_backoff_scores(spark, sf_dir):
     """Each document's score under the n-gram counts of the other fold."""
     scores = lm_score.score(table(spark, sf_dir, "documents"))
     return scores.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log")})
+
+
+@query("backoff_scores_leave_one_out")
+def backoff_scores_leave_one_out(spark, sf_dir):
+    """Each document's score under the n-gram counts of all other documents."""
+    scores = lm_score.score(table(spark, sf_dir, "documents"), leave_one_out=True)
+    return scores.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log")})

@@ -103,6 +103,45 @@ def test_backoff_scores(odd, no_docs):
     assert lm_score.score(no_docs).count() == 0
 
 
+def plain_leave_one_out(docs):
+    import math
+
+    words = [(doc, PLAIN.findall((text or "").translate(LOWER))) for doc, text in docs]
+    grams = [Counter(tuple(w[k : k + n]) for n in (1, 2, 3) for k in range(len(w) - n + 1)) for _, w in words]
+    whole = sum(grams, Counter())
+    out = []
+    for (doc, w), own in zip(words, grams):
+        big = sum(len(x) for _, x in words) - len(w)
+        score, full = 0.0, 0
+        for i in range(len(w)):
+            context = min(i, 2)
+            for n in range(context, -1, -1):
+                gram = tuple(w[i - n : i + 1])
+                if seen := whole[gram] - own[gram]:
+                    below = whole[gram[:-1]] - own[gram[:-1]] if n else big
+                    score += math.log(seen / below) + (context - n) * math.log(0.4)
+                    full += n == context
+                    break
+            else:
+                score += (context + 1) * math.log(0.4) - math.log(big + 1)
+        out.append((doc, len(w), full, score))
+    return out
+
+
+@pytest.mark.parametrize("ids", [lambda k: k, lambda k: k and 2 * k])
+def test_backoff_scores_by_all_other_documents(spark, ids):
+    rows = [(ids(r[0]), r[1]) for r in ODD]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    want = sorted(plain_leave_one_out(rows), key=order)
+    for block_bytes in (lm_score.BLOCK_BYTES, 20_000):
+        got = sorted((tuple(r) for r in lm_score.score(docs, block_bytes=block_bytes, leave_one_out=True).collect()), key=order)
+        assert [r[:3] for r in got] == [r[:3] for r in want]
+        assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-6)
+    assert sum(r[2] for r in got) > 0  # also where all ids share a parity
+    assert lm_score.score(docs.limit(0), leave_one_out=True).count() == 0
+
+
 # Mixing
 
 
