@@ -320,6 +320,13 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.select(F.row_number().over(ranked).alias("place"), on_grid.alias("on_the_grid"), behind.alias("no_better_behind"))
 
 
+@query("grid_search_full")
+def grid_search_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking of all points of ``FULL_GRID`` at the search's own defaults."""
+    train, val = _parts(spark, sf_dir)
+    return models.grid_search(models.parameter_grid(**models.FULL_GRID), train, val, models.KEY, seed=SEED)
+
+
 @query(
     "model_comparison",
     """SELECT model, metric, CAST(2 AS BIGINT) AS runs, TRUE AS mean_in_range
@@ -335,6 +342,13 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.select("model", "metric", "runs", fine.alias("mean_in_range"))
 
 
+@query("model_comparison_full")
+def model_comparison_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of all five models at their full size over the 25 repeated splits."""
+    table, _, _ = _vectors(spark, sf_dir)
+    return aggregates.average_metrics(models.compare(table, models.default_models(), runs=25, seed=SEED))
+
+
 @query("model_roundtrip", _TEST_ROWS + "SELECT match_id, time_s, CAST(0 AS DOUBLE) AS difference FROM test")
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the scores of a stored and loaded model lie from those of the model itself."""

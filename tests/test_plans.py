@@ -184,3 +184,32 @@ def test_samples_carry_what_their_player_row_holds(spark, stored):
         exchanges = [line for line in static_plan(df).splitlines() if "Exchange hashpartitioning" in line]
         assert exchanges and not any("account_id" in line for line in exchanges)
     assert "Generate" not in static_plan(series.last_samples(player, keys))
+
+
+def test_full_model_keys_run_the_whole_job(spark, monkeypatch):
+    import inspect
+
+    from matchloom.operators import models
+    from matchloom.plans import queries_models
+
+    seen = {}
+
+    def record(name, schema):
+        bind = inspect.signature(getattr(models, name)).bind
+
+        def called(*args, **named):
+            given = bind(*args, **named)
+            given.apply_defaults()
+            seen[name] = given.arguments
+            return spark.createDataFrame([], schema)
+
+        monkeypatch.setattr(models, name, called)
+
+    monkeypatch.setattr(queries_models, "_parts", lambda *a: (None, None))
+    monkeypatch.setattr(queries_models, "_vectors", lambda *a: (None, [], {}))
+    record("grid_search", "width int, hidden int, step double, best_epoch int, validation_loss double")
+    record("compare", "run int, model string, metric string, value double")
+    assert QUERIES["grid_search_full"](spark, SQL_DIR).columns == ["width", "hidden", "step", "best_epoch", "validation_loss"]
+    assert seen["grid_search"]["grid"] == models.parameter_grid(**models.FULL_GRID) and seen["grid_search"]["epochs"] == 200
+    assert {"model", "metric", "mean"} <= set(QUERIES["model_comparison_full"](spark, SQL_DIR).columns)
+    assert seen["compare"]["runs"] == 25 and set(seen["compare"]["models"]) == set(models.default_models())
