@@ -6,8 +6,10 @@ extracted again by the host's paths, in the order of their votes. A page without
 whose host has no vote, falls back on its own best container.
 
 Known boilerplate is left out at any place: menus, headers and footers of the site, sidebars, notices, adverts,
-forms, scripts, styles and reader comments, told by tag, role or the words in class and id. White space inside a
-block becomes one space; blocks follow in page order.
+forms, scripts, styles and reader comments, told by tag, role or the words in class and id. Words of layout (sidebar,
+widget, share, ...) also stand in the classes of wrappers: such an element is left out only if it is no article and, with
+all others of the same such words that it does not lie in, holds less than half of the page's unlinked text. White space inside a block
+becomes one space; blocks follow in page order.
 
 Cases: a null or empty page gives an empty text; a null address is a host of its own; broken markup (open tags,
 stray ends, a page cut inside a tag) is read as far as it goes; repeated pages vote as often as they occur; an
@@ -55,9 +57,11 @@ P_SCOPE = frozenset("body article aside blockquote div dl dd dt figure footer fo
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 NOISE = frozenset(
     "ad ads advert adverts advertisement advertisements advertising adsense adslot sponsor sponsored promo promotion comment comments disqus "
-    "respond reply replies sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice "
-    "notices popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations "
-    "widget widgets toolbar pagination pager hidden copyright disclaimer alert".split()
+    "respond reply replies nav navbar navigation menu breadcrumb breadcrumbs toolbar pagination pager".split()
+)
+LAYOUT = frozenset(
+    "sidebar footer masthead cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login "
+    "share sharing social related recommended recommendations widget widgets hidden copyright disclaimer alert".split()
 )
 HINTS = frozenset("article content post entry story main text body".split())
 
@@ -81,6 +85,7 @@ class Page:
         self.parents: list[int] = [-1]
         self.spans: list[list[int]] = [[0, 0]]
         self.out: list[str] = [""]
+        self.layout: dict[int, frozenset[str]] = {}  # words of layout, of the nodes that have any
         self.main: list[bool] = [False]
         self.hinted: list[bool] = [False]
         self.pieces: list[tuple[int, str, bool]] = []  # node, text, inside a link
@@ -151,8 +156,10 @@ class Page:
             out = "tag"
         elif re.search(r"display\s*:\s*none", given.get("style", "")):
             out = "tag"
-        elif tag not in ("main", "h1") and (words & NOISE or "header" in words and not inside):
+        elif tag not in ("main", "h1") and words & NOISE:
             out = "class"
+        elif tag not in ("main", "h1", "article") and (layout := words & LAYOUT or {"header"} & words and not inside and {"header"}):
+            self.layout[len(self.tags)] = frozenset(layout)
         if tag in ("main", "h1"):
             for k in self.stack:
                 self.main[k] = True
@@ -173,8 +180,39 @@ class Page:
         for k, parent in enumerate(self.parents):
             own = self.out[k] == "tag" or self.out[k] == "class" and not self.main[k]
             out.append(own or parent >= 0 and out[parent])
+        if self.layout and (minor := self.minor_layout(out)):
+            for k, parent in enumerate(self.parents):
+                out[k] = out[k] or k in minor or parent >= 0 and out[parent]
         return out
 
+    def minor_layout(self, out: list[bool]) -> set[int]:
+        """Nodes with words of layout that hold less than half of the unlinked text, also all of the same words together; a
+        wrapper of others does not count with them."""
+        size = [0] * len(self.tags)
+        for node, text, link in self.pieces:
+            if not link and not out[node]:
+                size[node] += len(text.strip())
+        for k in range(len(size) - 1, 0, -1):  # a node follows its parent
+            size[self.parents[k]] += size[k]
+        marked = {k: words for k, words in self.layout.items() if not out[k] and not self.main[k]}
+
+        def holders(node: int) -> list[int]:
+            """What holds the node and carries the same words."""
+            found, above = [], self.parents[node]
+            while above >= 0:
+                if marked.get(above) == marked[node]:
+                    found.append(above)
+                above = self.parents[above]
+            return found
+
+        above = {k: holders(k) for k in marked}
+        wrappers = {h for found in above.values() for h in found if 2 * size[h] >= size[0]}
+        together: dict[frozenset[str], int] = {}
+        for k, words in marked.items():
+            if k not in wrappers and wrappers.issuperset(above[k]):  # the outermost below any wrapper
+                together[words] = together.get(words, 0) + size[k]
+        return {k for k, words in marked.items() if 2 * size[k] < size[0] and 2 * together.get(words, 0) < size[0]}
+
     def best(self, out: list[bool]) -> int:
         """The container with the highest score; the page's body if there is none."""
         score = [0.0] * len(self.tags)

@@ -48,6 +48,26 @@ def test_own_container(source, text):
     assert main_text.extract(source, None) == text
 
 
+PLAIN = "<h2>A title</h2><p>First paragraph of the story, long enough to count.</p><p>Second one follows it here.</p>"
+PLAIN_TEXT = "A title First paragraph of the story, long enough to count. Second one follows it here."
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        (f"<div class='page has-sidebar'>{PLAIN}</div>", PLAIN_TEXT),
+        (f"<div class='page has-sidebar'><div class='sidebar'>Read more</div>{PLAIN}<div class='share'>Share it</div></div>", PLAIN_TEXT),
+        (f"<article class='post share-enabled'>{PLAIN}</article>", PLAIN_TEXT),
+        ("<div>" + "".join(f"<div class='elementor-widget elementor-widget-text-editor'><p>Paragraph {k} of a story.</p></div>" for k in range(4)) + "</div>", " ".join(f"Paragraph {k} of a story." for k in range(4))),
+        (f"<div class='widget related'><a href=/x>linked words only</a></div><div class='story'>{PLAIN}</div><div class='footer'>imprint</div>", PLAIN_TEXT),
+        (f"<div class='comments'>{PLAIN}</div>", ""),
+        ("<div class='hidden'></div>", ""),
+    ],
+)
+def test_layout_words_on_wrappers(body, text):
+    assert main_text.extract(page(body), None) == text
+
+
 def test_hosts_vote(spark):
     plain = page(f'<div class="x{{}}"><p>{"menu words " * 30}</p></div><div class="story"><h1>A title</h1>{ARTICLE}</div>')
     good = page(f'<div class="x1"><p>short</p></div><div class="story"><h1>A title</h1>{ARTICLE}</div>')
