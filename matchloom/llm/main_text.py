@@ -1,9 +1,9 @@
 """Main text of web pages by consensus of their host.
 
 Every page's containers are scored by the text of their paragraphs, less link text; the best one votes for
-its path of tags and classes (digits generalised). Spark counts the votes per host; each page is then
-extracted again by the host's paths, in the order of their votes. A page without any of them, and a page
-whose host has no vote, falls back on its own best container.
+its path of tags and classes (digits generalised). Spark counts the votes per host and joins them to the
+paths each page has; the page is then extracted again by the one with most votes. A page without any of them,
+and a page whose host has no vote, falls back on its own best container.
 
 Known boilerplate is left out at any place: menus, headers and footers of the site, sidebars, notices, adverts,
 forms, scripts, styles and reader comments, told by tag, role or the words in class and id. Words of layout (sidebar,
@@ -23,7 +23,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.common import store
@@ -246,12 +246,18 @@ class Page:
         return " ".join("".join(parts).split())
 
 
-def vote(source: str | None) -> str:
-    """The path of the page's best container; empty for a page without text."""
+def vote(source: str | None) -> tuple[str, list[str]]:
+    """The path of the page's best container, empty for a page without text; the paths of all containers with text."""
     page = Page(source or "")
     out = page.left_out()
     k = page.best(out)
-    return page.paths[k] if page.text([k], out) else ""
+    full = set()
+    for node, text, _ in page.pieces:
+        if not out[node] and text.strip():
+            while node >= 0 and node not in full:
+                full.add(node)
+                node = page.parents[node]
+    return page.paths[k] if page.text([k], out) else "", sorted({page.paths[n] for n in full if page.tags[n] in CONTAINERS})
 
 
 def extract(source: str | None, paths: list[str] | None) -> str:
@@ -273,25 +279,26 @@ def host(url: str = "url") -> F.Column:
     return F.coalesce(F.regexp_extract(F.lower(F.col(url)), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
 
 
-def winning_paths(pages: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
-    """Rows (host, paths): the paths with at least ``least_share`` of the host's highest vote, best first."""
+def chosen_paths(pages: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
+    """Rows (_host, _digest, _path): of the paths with at least ``least_share`` of the host's highest vote, the one with
+    most votes that a page has; one row per host and content, none for pages without such a path."""
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = pa.array([vote(x) for x in batch.column("html").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("_host"), paths], names=["_host", "_path"])
-
-    counted = (
-        pages.select(host().alias("_host"), "html")
-        .mapInArrow(votes, "_host string, _path string")
-        .where("_path <> ''")
-        .groupBy("_host", "_path")
-        .agg(F.count("*").alias("n"))
-    )
+            found = [vote(x) for x in batch.column("html").to_pylist()]
+            columns = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column("_host"), batch.column("_digest"), *columns], names=["_host", "_digest", "_vote", "_paths"])
+
+    # Written, so that votes and paths come from one reading of the pages.
+    read = store(pages.select("_host", "_digest", "html").mapInArrow(votes, "_host string, _digest string, _vote string, _paths array<string>"), "votes")
+    counted = read.where("_vote <> ''").groupBy("_host", F.col("_vote").alias("_path")).agg(F.count("*").alias("n"))
     most = counted.groupBy("_host").agg(F.max("n").alias("most"))
-    near = counted.join(most, "_host").where(F.col("n") >= least_share * F.col("most"))  # at most 1 / least_share of one size and up
-    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("_host").orderBy(F.desc("n"), "_path"))).where("rank <= 20")
-    return ranked.groupBy("_host").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "_path"))), lambda x: x["_path"]).alias("paths"))
+    near = counted.join(most, "_host").where(F.col("n") >= least_share * F.col("most")).drop("most")
+    # Written, so that its size is known: few paths are broadcast, many are joined by a shuffle that may be split.
+    winners = store(near, "paths")
+    own = read.select("_host", "_digest", F.explode("_paths").alias("_path"))
+    first = F.min(F.struct((-F.col("n")).alias("n"), "_path"))
+    return own.join(winners, ["_host", "_path"]).groupBy("_host", "_digest").agg(first["_path"].alias("_path"))
 
 
 def main_texts(pages: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
@@ -299,12 +306,13 @@ def main_texts(pages: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [extract(x, p) for x, p in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist())]
+            found = [extract(x, None if p is None else [p]) for x, p in zip(batch.column("html").to_pylist(), batch.column("_path").to_pylist())]
             sizes = pa.array([len(x) for x in found], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(found, pa.string()), sizes], names=["page_id", "url", "text", "n_chars"])
 
-    # Written, so that its size is known: few hosts are broadcast, many are joined by a shuffle that may be split.
-    winners = store(winning_paths(pages, least_share), "paths")
-    rows = pages.select("page_id", "url", "html").withColumn("_host", host()).join(winners, "_host", "left")
+    digest = F.sha1(F.coalesce(F.col("html"), F.lit("")).cast("binary"))
+    rows = pages.select("page_id", "url", "html").withColumns({"_host": host(), "_digest": digest})
+    chosen = store(chosen_paths(rows, least_share), "chosen")
     kind = pages.schema["page_id"].dataType.simpleString()
-    return rows.select("page_id", "url", "html", "paths").mapInArrow(texts, f"page_id {kind}, url string, text string, n_chars long")
+    joined = rows.join(chosen, ["_host", "_digest"], "left").select("page_id", "url", "html", "_path")
+    return joined.mapInArrow(texts, f"page_id {kind}, url string, text string, n_chars long")

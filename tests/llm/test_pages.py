@@ -84,6 +84,18 @@ def test_hosts_vote(spark):
     assert main_text.main_texts(pages.limit(0)).count() == 0
 
 
+def test_many_templates_of_one_host(spark):
+    """The 21st template and later ones count as well: their own container is not the longest of the last page."""
+    tags = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(30)]
+    story = lambda t, menu: page(f"<div class='x'><p>{menu}</p></div><div class='{t}zz'><p>A story of its own, long enough to count.</p></div>")
+    rows = [(k, None, story(t, "short")) for k, t in enumerate(tags) for _ in range(3)]
+    rows.append((99, None, story(tags[-1], "other words " * 30)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in main_text.main_texts(pages).collect()}
+    assert set(got) == {*range(30), 99}
+    assert set(got.values()) == {"A story of its own, long enough to count."}
+
+
 def test_given_pages_give_their_article(spark):
     import html
     import re
