@@ -9,7 +9,8 @@ absolute penalty, so that only telling features keep a weight. The scorer alone
 documents on which no labeller votes.
 
 Bounds, all parameters: the word lists come from ``LEXICON_ROWS`` labelled documents, the scorer from ``TRAIN_ROWS``
-documents, both chosen by a digest of the id and spread over the whole table. Votes, pattern counts and scores
+different pairs of id and text (repeated ones count as often as they occur), both chosen by a digest and spread over the
+whole table; the one training task gets their features, not their texts. Votes, pattern counts and scores
 cover all documents.
 
 Cases: a null or empty text has no features and keeps only the scorer's base rate, so it is kept; a null id has no
@@ -195,7 +196,7 @@ def votes(docs: DataFrame, words: np.ndarray, beginnings: np.ndarray, keep: tupl
                         own[len(POOR) - 1 + k] = lookup.sums(text, feature, len(at) - 1) > 0
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x, mask=x < 0) for x in out)], names=[*keep, *names])
 
-    return docs.select("doc_id", "text").mapInArrow(vote, schema)
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(vote, schema)
 
 
 def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -218,13 +219,14 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
     return post, rate
 
 
-def fit_scorer(text: np.ndarray, feature: np.ndarray, goal: np.ndarray, penalty: float = PENALTY, rounds: int = ROUNDS):
+def fit_scorer(text: np.ndarray, feature: np.ndarray, goal: np.ndarray, times: np.ndarray, penalty: float = PENALTY, rounds: int = ROUNDS):
     """Features with their weights, and the base: logistic loss on soft goals with an absolute penalty, over the
-    features whose occurrence goes with the goal beyond chance."""
-    n = len(goal)
-    names, where, df = np.unique(feature, return_inverse=True, return_counts=True)
-    mean = float(np.clip(goal.mean(), 1e-6, 1 - 1e-6))
-    pull = np.bincount(where, weights=(goal - mean)[text], minlength=len(names))
+    features whose occurrence goes with the goal beyond chance. A text counts ``times``."""
+    texts, n = len(goal), int(times.sum())
+    names, where = np.unique(feature, return_inverse=True)
+    df = np.bincount(where, weights=times[text], minlength=len(names))
+    mean = float(np.clip((goal * times).sum() / n, 1e-6, 1 - 1e-6))
+    pull = np.bincount(where, weights=((goal - mean) * times)[text], minlength=len(names))
     z = np.abs(pull) / np.sqrt(df * mean * (1 - mean))
     often = (df >= MIN_SUPPORT) & (z > math.sqrt(2 * math.log(max(len(names), 2))) + 1)
     column = np.cumsum(often) - 1
@@ -236,17 +238,17 @@ def fit_scorer(text: np.ndarray, feature: np.ndarray, goal: np.ndarray, penalty:
     look, base_look, t = w.copy(), base, 1.0
     v, norm = np.ones(len(names) + 1), 1.0  # power iterations for the curvature, the base included
     for _ in range(12):
-        u = np.bincount(text, weights=v[where] * entry, minlength=n) + v[-1]
+        u = (np.bincount(text, weights=v[where] * entry, minlength=texts) + v[-1]) * times
         v = np.append(np.bincount(where, weights=u[text] * entry, minlength=len(names)), u.sum())
         norm = float(np.linalg.norm(v)) or 1.0
         v /= norm
     step = 4 * n / (1.1 * norm)
     for _ in range(rounds):
-        margin = np.bincount(text, weights=look[where] * entry, minlength=n) + base_look
-        error = 1 / (1 + np.exp(-np.clip(margin, -60, 60))) - goal
+        margin = np.bincount(text, weights=look[where] * entry, minlength=texts) + base_look
+        error = (1 / (1 + np.exp(-np.clip(margin, -60, 60))) - goal) * times
         new = look - step * np.bincount(where, weights=error[text] * entry, minlength=len(names)) / n
         new = np.sign(new) * np.maximum(np.abs(new) - step * penalty * scale, 0)
-        new_base = base_look - step * float(error.mean())
+        new_base = base_look - step * float(error.sum()) / n
         t_new = (1 + math.sqrt(1 + 4 * t * t)) / 2
         look, base_look = new + (t - 1) / t_new * (new - w), new_base + (t - 1) / t_new * (new_base - base)
         w, base, t = new, new_base, t_new
@@ -277,30 +279,41 @@ def train(docs: DataFrame, labels: DataFrame, lexicon_rows: int = LEXICON_ROWS,
         posterior[aspect] = {tuple(int(x) for x in p): float(c) for p, c in zip(unique, chance)}
         model["labellers"][aspect] = {c: (float(a), float(b)) for c, a, b in zip(columns, *rate)}
     total = int(counts.sum())
-    sample = docs.select("doc_id", "text").where(chosen(train_rows, total, "doc_id", "text"))
+    sample = docs.select("doc_id", "text").where(chosen(train_rows, total, "doc_id", "text")).groupBy("doc_id", "text").agg(F.count("*").alias("times"))
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, parts, n = Features(), [], 0
-        goals: dict[str, list[float]] = {a: [] for a in aspects}
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Features()
         for batch in batches:
+            found = []
             for first, last, data, at in slices(*flat(batch.column("text"))):
                 text, feature, _, _ = reader.read(data, at)
                 _, once = np.unique(mix(feature + text.astype(U64) * U64(GRAM)), return_index=True)
-                parts.append((text[once] + n, feature[once]))
-                n += last - first
+                once = once[np.argsort(text[once], kind="stable")]
+                edge = np.searchsorted(text[once], np.arange(last - first + 1))
+                found += [feature[once[a:b]].tobytes() for a, b in zip(edge, edge[1:])]
+            rest = [batch.column(c) for c in ("times", *names)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), *rest], names=["features", "times", *names])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, times = [], []
+        goals: dict[str, list[float]] = {a: [] for a in aspects}
+        for batch in batches:
+            parts += [np.frombuffer(x, U64) for x in batch.column("features").to_pylist()]
+            times.append(batch.column("times").to_numpy())
             for aspect, columns in aspects.items():
                 patterns = zip(*(batch.column(c).fill_null(-1).to_pylist() for c in columns))
                 goals[aspect] += [posterior[aspect][p] for p in patterns]
-        if not n:
+        if not parts:
             return
-        text, feature = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        text, feature = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.concatenate(parts)
         for aspect, goal in goals.items():
-            found, weight, base = fit_scorer(text, feature, np.array(goal))
+            found, weight, base = fit_scorer(text, feature, np.array(goal), np.concatenate(times))
             yield pa.RecordBatch.from_arrays([pa.array([aspect]), pa.array([found.tobytes()], pa.binary()), pa.array([weight.tobytes()], pa.binary()), pa.array([base])], names=["aspect", "features", "weights", "base"])
 
-    rows = with_labels(votes(sample, words, beginnings, keep=("doc_id", "text"))).select("text", *names)
+    rows = with_labels(votes(sample, words, beginnings, keep=("doc_id", "text", "times"))).select("text", "times", *names)
+    kinds = "features binary, times long, " + ", ".join(f"{c} byte" for c in names)
     # One task: a bounded sample, see the module's text.
-    for r in rows.repartition(1).mapInArrow(learn, "aspect string, features binary, weights binary, base double").collect():
+    for r in rows.mapInArrow(parse, kinds).repartition(1).mapInArrow(learn, "aspect string, features binary, weights binary, base double").collect():
         model["scorers"][r["aspect"]] = (np.frombuffer(r["features"], U64), np.frombuffer(r["weights"], np.float64), r["base"])
     return model
 

@@ -95,6 +95,28 @@ def test_classifier_on_labels_it_does_not_see(spark):
     assert got.join(insulted, "doc_id").where("kept").count() <= 0.1 * insulted.count()
 
 
+def test_repeated_rows_train_as_one_row_of_their_number(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 60, 12)).astype(np.uint64) for _ in range(80)]
+    goal, times = np.array([0.9 if 7 in s else 0.1 for s in sets]), rng.integers(1, 6, 80)
+
+    def fit(which, counts):
+        text = np.repeat(np.arange(len(which)), [len(sets[k]) for k in which])
+        return weak_labels.fit_scorer(text, np.concatenate([sets[k] for k in which]), goal[which], counts)
+
+    once, repeated = fit(np.arange(80), times), fit(np.repeat(np.arange(80), times), np.ones(times.sum(), dtype=np.int64))
+    assert len(once[0]) and once[0].tolist() == repeated[0].tolist()
+    assert once[1] == pytest.approx(repeated[1], abs=1e-6) and once[2] == pytest.approx(repeated[2], abs=1e-6)
+
+    # all copies are picked, and one row stands for them
+    rows = [(None, "the same text of all rows") for _ in range(3000)] + [(k, f"text number {k}") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    kind, sizes = type(docs), []
+    monkeypatch.setattr(kind, "repartition", lambda self, n, f=kind.repartition: (sizes.append(self.count()), f(self, n))[1])
+    assert weak_labels.judge(docs, labels).count() == len(rows) and sizes == [21]
+
+
 def test_classifier_on_odd_rows(spark, odd, no_docs):
     def plain(seed, n):  # words of letters only
         return " ".join(w.rstrip("0123456789") + WORDS[int("".join(filter(str.isdigit, w))) % 20] for w in prose(seed, n).split())
