@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from matchloom.llm import decontaminate, jaccard_join, lm_score, main_text, mixing, quality_rules, suffix_dedup, token_edits, url_filter, warc, weak_labels
+from matchloom.llm import decontaminate, jaccard_join, lm_score, main_text, mixing, prefix_trie, quality_rules, suffix_dedup, token_edits, url_filter, warc, weak_labels
 from matchloom.llm.common import table
 from matchloom.session import scratch_path
 
@@ -271,3 +271,39 @@ FROM d LEFT JOIN scored USING (r) CROSS JOIN cut
 def op13_url_filter(spark, sf_dir):
     """Host, path, rule and verdict of each page's url."""
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+OP12_SQL = """
+WITH bits AS (
+  SELECT list(v ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce([CAST(i AS BIGINT), 1, 1, 1, 1, 1, 1, 1, 1],
+                          lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a >> 1, CAST(3988292384 AS BIGINT)) ELSE a >> 1 END) AS v FROM range(256) t(i))),
+t AS (
+  SELECT conv_id, turn, md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS d,
+         CAST(length(coalesce(text, '')) AS BIGINT) AS z FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(struct_pack(d := d, z := z) ORDER BY turn NULLS FIRST, d) AS ts FROM t GROUP BY conv_id),
+h AS (
+  SELECT conv_id, ts, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(unicode(c) AS BIGINT))),
+                         lambda a, x: xor(a >> 8, crc[(xor(a, x) & 255) + 1])), CAST(4294967295 AS BIGINT)) % 6 AS n
+  FROM o, bits),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.ts[1 : n], []), h.ts[n + 1 :]) AS ts FROM h LEFT JOIN o b ON b.conv_id = base),
+p AS (SELECT conv_id, len(ts) AS n, d, ts[1 : d] AS p, ts[d].z AS z FROM (SELECT *, unnest(generate_series(0, len(ts))) AS d FROM r)),
+v AS (
+  SELECT p, d, any_value(z) AS z, min(conv_id) AS f, count(*) AS n,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends FROM p GROUP BY p, d),
+c AS (SELECT p[1 : d - 1] AS p, count(*) AS k FROM v WHERE d > 0 GROUP BY 1),
+w AS (SELECT v.*, coalesce(k, 0) AS k FROM v LEFT JOIN c USING (p)),
+s AS (
+  SELECT p[1 : a] AS p, sum((n - 1) * coalesce(z, 0)) AS saved, count(*) FILTER (k = 0) AS leaves
+  FROM (SELECT *, unnest(generate_series(0, d)) AS a FROM w) GROUP BY 1)
+SELECT w.f AS conv_id, CAST(w.d AS BIGINT) AS depth, u.f AS parent_conv_id, w.n AS n_convs, CAST(w.k AS BIGINT) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, w.ends AS ends_sha256
+FROM w JOIN s ON s.p = w.p LEFT JOIN v u ON w.d > 0 AND u.d = w.d - 1 AND u.p = w.p[1 : w.d - 1]
+"""
+
+
+@query("op12_conversation_trie", OP12_SQL)
+def op12_conversation_trie(spark, sf_dir):
+    """Each node of the trie of all conversations: who passes it, what lies below it, what it saves."""
+    return prefix_trie.conversation_nodes(table(spark, sf_dir, "conversations"))
