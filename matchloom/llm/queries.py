@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from matchloom.llm import decontaminate, jaccard_join, lm_score, main_text, mixing, prefix_trie, quality_rules, suffix_dedup, token_edits, url_filter, warc, weak_labels
+from matchloom.llm import decontaminate, jaccard_join, lm_score, main_text, mixing, prefix_trie, quality_rules, suffix_dedup, token_edits, url_filter, warc, weak_labels, word_runs
 from matchloom.llm.common import table
 from matchloom.session import scratch_path
 
@@ -307,3 +307,9 @@ FROM w JOIN s ON s.p = w.p LEFT JOIN v u ON w.d > 0 AND u.d = w.d - 1 AND u.p =
 def op12_conversation_trie(spark, sf_dir):
     """Each node of the trie of all conversations: who passes it, what lies below it, what it saves."""
     return prefix_trie.conversation_nodes(table(spark, sf_dir, "conversations"))
+
+
+@query("op11_word_runs")
+def op11_word_runs(spark, sf_dir):
+    """The runs of each document, a tenth of them made to repeat, and the text without repeats."""
+    return word_runs.digest(word_runs.with_trial_repeats(table(spark, sf_dir, "documents")))
