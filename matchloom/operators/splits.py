@@ -77,6 +77,26 @@ def split_stratified(df: DataFrame, label: str, test_size: float, seed: int, key
     return placed.select(*[F.col(f"`{c}`") for c in df.columns], F.when(in_train, F.lit("train")).otherwise(F.lit("test")).alias("part"))
 
 
+def repeated_stratified(df: DataFrame, label: str, test_size: float, seeds: list[int], key: list[str]) -> DataFrame:
+    """The bounds of many stratified splits in one pass: rows (seed, label, bound), one per seed and class.
+
+    Rows of a class are in the training part of a seed up to the bound, as ``split_stratified`` places them.
+    """
+    units = df.dropna(subset=[label]).select(label, *key, F.explode(F.array(*map(F.lit, seeds))).alias("seed"))
+    place = F.md5(F.concat_ws("|", F.col("seed").cast("string"), *[F.col(k).cast("string") for k in key]))
+    sizes = train_sizes(df, label, test_size).select(label, "train_n", F.explode(F.array(*map(F.lit, seeds))).alias("seed"))
+    cuts = rank_cuts(units.select("seed", label, place.alias("_digest")), ["seed", label], {"train": F.col("train_n")}, sizes)
+    return cuts.select("seed", label, "bound")
+
+
+def parts_of(df: DataFrame, bounds: DataFrame, label: str, seed: int, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of one seed, from the bounds of ``repeated_stratified``."""
+    own = bounds.where(F.col("seed") == seed).select(label, F.col("bound").alias("_bound"))
+    placed = _attach(df.dropna(subset=[label]), own, label).withColumn("_train", digest(seed, key) <= F.col("_bound"))
+    names = [F.col(f"`{c}`") for c in df.columns]
+    return placed.where("_train").select(*names), placed.where(F.coalesce(~F.col("_train"), F.lit(True))).select(*names)
+
+
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight per class: n / (classes * rows of the class)."""
     counts = df.dropna(subset=[label]).groupBy(label).agg(F.count(F.lit(1)).alias("n"))

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchloom.functions.columns import sigmoid
-from matchloom.operators import aggregates, metrics, models, scoring, splits
+from matchloom.operators import aggregates, metrics, models, nets, scoring, splits
 from matchloom.operators.features import feature_columns, feature_vectors
 from matchloom.plans.queries_features import accepted_states_sql, feature_sql, game_states, kept_and_params
 from matchloom.plans.registry import query, rounded
 from matchloom.schemas import TRAIN_LOG
-from matchloom.session import scratch_path
+from matchloom.session import result_path, scratch_path
 from matchloom.sources.tables import write_stage
 from matchloom.sources.testdata import read_table
 
@@ -288,65 +288,112 @@ def _log_facts(log: DataFrame) -> DataFrame:
 
 @query("mlp_rounds", _LOG_SQL)
 def mlp_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default network over the test part as validation rows, in mini-batches."""
+    return _log_facts(spark.createDataFrame(_default_log(spark, sf_dir), TRAIN_LOG))
+
+
+def _default_log(spark: SparkSession, sf_dir: str) -> list[tuple]:
     train, val = _parts(spark, sf_dir)
-    return _log_facts(spark.createDataFrame(models.train_rounds(train, val, seed=SEED)[1]))
+    table = nets.new_shards(spark, {"train": train, "val": val}, models.KEY, models.LABEL, SEED)
+    return nets.fit(table, hidden=6, width=400, rate=0.0001, seed=SEED)[1]
 
 
 @query("train_log", _LOG_SQL)
 def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored log of a run of the default network."""
-    train, val = _parts(spark, sf_dir)
     path = scratch_path(spark, "train-log")
-    models.write_train_log(spark, models.train_rounds(train, val, seed=SEED)[1], path)
+    models.write_train_log(spark, [dict(zip(TRAIN_LOG.names, r)) for r in _default_log(spark, sf_dir)], path)
     return _log_facts(spark.read.schema(TRAIN_LOG).parquet(path))
 
 
-GRID_TRIAL = {"width": [4, 8], "hidden": [1, 2], "step": [0.01, 0.05]}
+def _grid_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking of all points of ``FULL_GRID`` at the search's own defaults; the second call finds it done."""
+    train, val = _parts(spark, sf_dir)
+    path = result_path(spark, "grid", sf_dir)
+    return models.grid_search(models.parameter_grid(**models.FULL_GRID), train, val, models.KEY, path, seed=SEED)
 
 
 @query(
     "grid_search",
-    """SELECT CAST(r AS INT) AS place, TRUE AS on_the_grid, TRUE AS no_better_behind FROM range(1, 9) t(r)""",
+    """SELECT CAST(width AS INT) AS width, CAST(hidden AS INT) AS hidden, step, TRUE AS within_epochs, TRUE AS loss_finite,
+              TRUE AS in_order, TRUE AS beats_no_model
+       FROM (SELECT unnest([100, 200, 400, 600, 800]) AS width), (SELECT unnest([2, 3, 4, 6, 8, 10]) AS hidden),
+            (SELECT CAST(unnest([0.0001, 0.0005, 0.001, 0.005, 0.01, 0.05]) AS DOUBLE) AS step)""",
 )
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ranking of a grid over all three axes of ``FULL_GRID``, of small networks and few epochs (see the README)."""
-    train, val = _parts(spark, sf_dir)
-    ranking = models.grid_search(models.parameter_grid(**GRID_TRIAL), train, val, models.KEY, epochs=3, k=2, seed=SEED)
-    ranked = Window.orderBy("validation_loss", "width", "hidden", "step")  # at most ten rows
-    on_grid = F.lit(True)
-    for axis, values in GRID_TRIAL.items():
-        on_grid &= F.col(axis).isin(values)
-    behind = F.coalesce(F.lead("validation_loss").over(ranked) >= F.col("validation_loss"), F.lit(True))
-    return ranking.select(F.row_number().over(ranked).alias("place"), on_grid.alias("on_the_grid"), behind.alias("no_better_behind"))
+    """Each of the 180 points with what must hold of it: its epochs, its loss, its place, and that the best point's loss
+    is below that of an even chance."""
+    ranking = _grid_ranking(spark, sf_dir)
+    order, whole = Window.orderBy("place"), Window.partitionBy()  # 180 rows
+    loss = F.col("validation_loss")
+    return ranking.select(
+        "width", "hidden", "step",
+        F.col("best_epoch").between(1, 200).alias("within_epochs"),
+        ((loss >= 0) & (loss < float("inf"))).alias("loss_finite"),
+        F.coalesce(F.lead(loss).over(order) >= loss, F.lit(True)).alias("in_order"),
+        (F.min(loss).over(whole) < F.log(F.lit(2.0))).alias("beats_no_model"),
+    )
 
 
 @query("grid_search_full")
 def grid_search_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ranking of all points of ``FULL_GRID`` at the search's own defaults."""
-    train, val = _parts(spark, sf_dir)
-    return models.grid_search(models.parameter_grid(**models.FULL_GRID), train, val, models.KEY, seed=SEED)
+    """The ten best points with their losses and best epochs."""
+    return aggregates.top_n(_grid_ranking(spark, sf_dir), ["place"], 10, descending=False).drop("seconds")
 
 
-@query(
-    "model_comparison",
-    """SELECT model, metric, CAST(2 AS BIGINT) AS runs, TRUE AS mean_in_range
-       FROM (SELECT unnest(['Dummy (Most Frequent)', 'Dummy (Random)', 'Logistic Regression', 'Random Forest', 'Neural Network']) AS model),
-            (SELECT unnest(['accuracy', 'roc_auc', 'bce', 'mse']) AS metric)""",
-)
-def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five models at their full size over two of the 25 repeated splits (see the README)."""
+def _comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five models at their full size over the 25 repeated splits; the second call finds them done."""
     table, _, _ = _vectors(spark, sf_dir)
-    means = aggregates.average_metrics(models.compare(table, models.default_models(), runs=2, seed=SEED))
+    return models.compare(table, models.default_models(), result_path(spark, "comparison", sf_dir), runs=25, seed=SEED)
+
+
+_DUMMY_MEANS = f"""WITH {_TRAINING},
+classes AS (SELECT winning_team, count(*) AS n FROM t GROUP BY winning_team),
+shares AS (
+  SELECT winning_team, n, sum(n) OVER () - ceil(CAST(0.15 AS DOUBLE) * sum(n) OVER ()) AS train,
+         n * (sum(n) OVER () - ceil(CAST(0.15 AS DOUBLE) * sum(n) OVER ())) / sum(n) OVER () AS share FROM classes),
+sizes AS (
+  SELECT winning_team, floor(share) + CAST(row_number() OVER (ORDER BY share - floor(share) DESC, winning_team)
+         <= train - sum(floor(share)) OVER () AS INT) AS train_n FROM shares),
+ranked AS (
+  SELECT run, winning_team, md5(({SEED} + run) || '|' || match_id || '|' || time_s) AS d,
+         row_number() OVER (PARTITION BY run, winning_team ORDER BY md5(({SEED} + run) || '|' || match_id || '|' || time_s)) AS r
+  FROM t, range(25) runs(run)),
+test AS (SELECT run, winning_team AS y, right(d, 1) IN ('8', '9', 'a', 'b', 'c', 'd', 'e', 'f') AS up FROM ranked JOIN sizes USING (winning_team) WHERE r > train_n),
+majority AS (SELECT arg_min(winning_team, (-train_n, winning_team)) AS m FROM sizes),
+scored AS (
+  SELECT 'Dummy (Most Frequent)' AS model, run, y, m AS p, CAST(m AS DOUBLE) AS score FROM test, majority
+  UNION ALL SELECT 'Dummy (Random)', run, y, CAST(up AS INT), CAST(0.5 AS DOUBLE) FROM test),
+clipped AS (SELECT *, greatest(least(score, 1 - 1e-15), 1e-15) AS q FROM scored),
+per_run AS (
+  SELECT model, run, avg(CAST(p = y AS INT)) AS accuracy, avg(-(y * ln(q) + (1 - y) * ln(1 - q))) AS bce,
+         avg((score - y) * (score - y)) AS mse, CASE WHEN min(y) < max(y) THEN CAST(0.5 AS DOUBLE) END AS roc_auc FROM clipped GROUP BY model, run),
+tall AS (UNPIVOT per_run ON accuracy, bce, mse, roc_auc INTO NAME metric VALUE value),
+known AS (SELECT model, metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM tall GROUP BY model, metric)
+SELECT model, metric, CAST(25 AS BIGINT) AS finished, TRUE AS mean_in_range, known.mean AS dummy_mean, known.std AS dummy_std
+FROM (SELECT unnest(['Dummy (Most Frequent)', 'Dummy (Random)', 'Logistic Regression', 'Random Forest', 'Neural Network']) AS model),
+     (SELECT unnest(['accuracy', 'roc_auc', 'bce', 'mse']) AS metric) LEFT JOIN known USING (model, metric)"""
+
+
+@query("model_comparison", _DUMMY_MEANS)
+def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per model and metric: finished runs, whether the mean can be one, and the values of the dummies, which need no training."""
+    rows = _comparison(spark, sf_dir)
+    means = rounded(aggregates.average_metrics(rows.select("run", "model", "metric", "value")))
+    finished = rows.groupBy(F.col("model").alias("_model"), F.col("metric").alias("_metric")).agg(F.count_distinct("run").alias("finished"))
     bounded = F.col("metric") != "bce"
     fine = (F.col("mean") >= 0) & F.when(bounded, F.col("mean") <= 1).otherwise(True)
-    return means.select("model", "metric", "runs", fine.alias("mean_in_range"))
+    dummy = F.col("model").isin(*models.DUMMIES)
+    return means.join(finished, (F.col("model") == F.col("_model")) & (F.col("metric") == F.col("_metric"))).select(
+        "model", "metric", "finished", F.coalesce(fine, F.lit(True)).alias("mean_in_range"),
+        F.when(dummy, F.col("mean")).alias("dummy_mean"), F.when(dummy, F.col("std")).alias("dummy_std"),
+    )
 
 
 @query("model_comparison_full")
 def model_comparison_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Means of all five models at their full size over the 25 repeated splits."""
-    table, _, _ = _vectors(spark, sf_dir)
-    return aggregates.average_metrics(models.compare(table, models.default_models(), runs=25, seed=SEED))
+    """Means and deviations of all five models over the 25 repeated splits."""
+    return aggregates.average_metrics(_comparison(spark, sf_dir).select("run", "model", "metric", "value"))
 
 
 @query("model_roundtrip", _TEST_ROWS + "SELECT match_id, time_s, CAST(0 AS DOUBLE) AS difference FROM test")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -22,6 +23,7 @@ def build_session(master: str | None = None, app: str = "matchloom", **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.scheduler.mode": "FAIR",
         **conf,
     }
     if (master or "").startswith("local"):
@@ -47,6 +49,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def result_path(spark: SparkSession, label: str, *of: str) -> str:
+    """A path below the scratch folder that is the same whenever this application asks for it with the same words, so
+    that what was begun there can go on."""
+    name = hashlib.md5("|".join((spark.sparkContext.applicationId, *of)).encode()).hexdigest()
+    return f"{scratch_path(spark, label).rpartition('/')[0]}/{label}-{name}"
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all that lies in the session's scratch folder, once no result is read any more."""
     base = scratch_path(spark, "x").rpartition("/")[0]

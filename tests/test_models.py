@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from matchloom.operators import features, metrics, models, scoring, splits
+from matchloom.operators import features, jobs, metrics, models, nets, scoring, splits
 from matchloom.plans.queries_features import game_states, kept_and_params
 from matchloom.schemas import FLAGS, HEROES, OBJECTIVES
 from matchloom.sources.tables import write_stage
@@ -102,15 +102,122 @@ def test_rounds_continue_from_the_last_weights(spark, planted, tmp_path):
     assert best == pytest.approx(min(r["val_loss"] for r in log), rel=0.02)
 
 
-def test_grid_is_ranked(spark, planted):
-    train, val = models.stratified_parts(planted, 0.25, 1)
-    ranking = models.grid_search(
-        models.parameter_grid(width=[3], hidden=[1, 2], step=[0.05]), train, val, models.KEY, epochs=1, k=2, top=1
-    )
-    assert ranking.count() == 1
-    assert len(models.parameter_grid(**models.FULL_GRID)) == 180
+# networks by mini-batches, concurrent jobs
+
+
+def test_gradient_equals_differences():
+    draw = np.random.default_rng(1)
+    state = nets.start(5, 2, 4, seed=3)
+    weights = [w.astype(np.float64) for w in state.weights]
+    x, y = draw.normal(size=(7, 5)), draw.integers(0, 2, 7).astype(float)
+    _, slopes = nets.gradient(weights, x, y)
+    for w, g in zip(weights, slopes):
+        for place in np.ndindex(w.shape):
+            ends = []
+            for move in (1e-6, -2e-6):
+                w[place] += move
+                ends.append(nets.row_losses(nets.logits(weights, x), y).mean())
+            w[place] += 1e-6
+            assert g[place] == pytest.approx((ends[0] - ends[1]) / 2e-6, abs=1e-5)
+
+
+def test_steps_follow_the_published_rule():
+    state = nets.start(3, 1, 2, seed=1)
+    w, m, v = [a.astype(np.float64) for a in state.weights], [0.0] * 4, [0.0] * 4
+    for t in range(1, 4):
+        slopes = [np.full_like(a, 0.1 * t) for a in state.weights]
+        for k, g in enumerate(slopes):
+            m[k] = 0.9 * m[k] + 0.1 * g
+            v[k] = 0.999 * v[k] + 0.001 * g * g
+            w[k] = w[k] - 0.01 * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
+        nets.step(state, [g.astype(np.float32) for g in slopes], 0.01)
+    for a, b in zip(state.weights, w):
+        assert np.allclose(a, b, atol=1e-5)
+    assert [a.shape for a in nets.start(448, 6, 400, 1).weights][::2] == [(448, 400), *[(400, 400)] * 5, (400, 1)]
     with pytest.raises(ValueError):
-        models.layer_sizes(448, 0, 400)
+        nets.start(448, 0, 400, 1)
+
+
+@pytest.fixture(scope="module")
+def two_parts(planted):
+    placed = splits.split_exact(planted, 0.2, 0.0, 1, models.KEY)
+    return {p: placed.where(F.col("part") == p).drop("part") for p in ("train", "val")}
+
+
+def test_one_task_and_a_job_an_epoch_agree(spark, two_parts):
+    """The path of many shards, run on one shard, gives what one task gives."""
+    table = nets.new_shards(spark, two_parts, models.KEY, models.LABEL, 1)
+    like = nets.start(2, 1, 3, seed=1)
+    found = []
+    for way in (nets._in_one_task, nets._by_epochs):
+        found.append(way(table, like, 0.05, 4, 1, nets.Stopper(2, 0.01), 32))
+    (log, weights, loss), (other_log, other_weights, other_loss) = found
+    assert np.allclose(log, other_log, rtol=1e-5) and loss == pytest.approx(other_loss, rel=1e-5)
+    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(weights, other_weights))
+
+
+def test_many_shards_learn(spark, two_parts):
+    table = nets.new_shards(spark, two_parts, models.KEY, models.LABEL, 1, shard_rows=40)
+    sizes = {p: [r["n"] for r in table.where(F.col("part") == p).collect()] for p in ("train", "val")}
+    assert {p: sum(n) for p, n in sizes.items()} == {p: df.count() for p, df in two_parts.items()}
+    assert min(map(len, sizes.values())) > 1
+    weights, log, loss = nets.fit(table, hidden=1, width=4, rate=0.05, epochs=12, seed=1)
+    assert [r[0] for r in log] == list(range(1, len(log) + 1)) and log[-1][1] < log[0][1] and loss < 0.69
+    scores = nets.scored(two_parts["val"], weights)
+    assert set(scores.columns) == (set(two_parts["val"].columns) | {"score"}) - {"features"}
+    measured = scores.agg(F.avg(metrics.bce(F.col("score"), F.col(models.LABEL)))).first()[0]
+    assert measured == pytest.approx(min(r[3] for r in log), rel=0.02)
+
+
+def test_grid_is_ranked_and_resumed(spark, two_parts, tmp_path):
+    grid = models.parameter_grid(width=[3, 4], hidden=[1, 2], step=[0.05])
+    path = str(tmp_path / "grid")
+    first = models.grid_search(grid[:2], two_parts["train"], two_parts["val"], models.KEY, path, epochs=3).collect()
+    assert [r["place"] for r in first] == [1, 2] and all(1 <= r["best_epoch"] <= 3 for r in first)
+    both = models.grid_search(grid, two_parts["train"], two_parts["val"], models.KEY, path, epochs=3).collect()
+    assert sorted((r["width"], r["hidden"]) for r in both) == [(3, 1), (3, 2), (4, 1), (4, 2)]
+    assert [r["validation_loss"] for r in both] == sorted(r["validation_loss"] for r in both)
+    took = {(r["width"], r["hidden"]): r["seconds"] for r in both}
+    assert all(took[r["width"], r["hidden"]] == r["seconds"] for r in first)  # not trained again
+    assert len(models.parameter_grid(**models.FULL_GRID)) == 180
+
+
+def test_comparison_is_resumed(spark, planted, tmp_path):
+    table = write_stage(planted, str(tmp_path / "rows"))
+    asked = []
+
+    def fit(train, seed):
+        asked.append(seed)
+        return lambda test: models.with_probability(models.fit_logreg(train, max_iter=3).transform(test))
+
+    path = str(tmp_path / "runs")
+    models.compare(table, {"Logistic Regression": fit}, path, runs=1, seed=7)
+    rows = models.compare(table, {"Logistic Regression": fit}, path, runs=3, seed=7).collect()
+    assert sorted(asked) == [7, 8, 9]
+    assert len(rows) == 3 * 3 * 4 and {r["run"] for r in rows} == {0, 1, 2}
+    for run in range(3):  # the split of each run is that of the single split
+        want = splits.majority_dummy(*models.stratified_parts(planted, 0.15, 7 + run), models.LABEL)
+        share = want.agg(F.avg((F.col("prediction") == F.col(models.LABEL)).cast("double"))).first()[0]
+        got = next(r["value"] for r in rows if (r["run"], r["model"], r["metric"]) == (run, models.DUMMIES[0], "accuracy"))
+        assert got == pytest.approx(share)
+
+
+def test_finished_pieces_are_not_done_again(spark, tmp_path):
+    path, done = str(tmp_path / "pieces"), []
+
+    def piece(n, broken=False):
+        def work():
+            if broken:
+                raise RuntimeError("lost")
+            done.append(n)
+            return [(n, spark.range(n).count())]
+
+        return work
+
+    with pytest.raises(RuntimeError, match="lost"):
+        jobs.run_jobs(spark, path, "k long, rows long", ["k"], {(1,): piece(1), (2,): piece(2, broken=True)}, threads=1)
+    rows = jobs.run_jobs(spark, path, "k long, rows long", ["k"], {(n,): piece(n) for n in (1, 2, 3)}, threads=3)
+    assert sorted(map(tuple, rows.collect())) == [(1, 1), (2, 2), (3, 3)] and sorted(done) == [1, 2, 3]
 
 
 def test_model_is_stored_with_its_manifest(spark, planted, tmp_path):

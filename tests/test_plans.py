@@ -186,7 +186,7 @@ def test_samples_carry_what_their_player_row_holds(spark, stored):
     assert "Generate" not in static_plan(series.last_samples(player, keys))
 
 
-def test_full_model_keys_run_the_whole_job(spark, monkeypatch):
+def test_model_keys_run_the_whole_job(spark, monkeypatch):
     import inspect
 
     from matchloom.operators import models
@@ -207,9 +207,11 @@ def test_full_model_keys_run_the_whole_job(spark, monkeypatch):
 
     monkeypatch.setattr(queries_models, "_parts", lambda *a: (None, None))
     monkeypatch.setattr(queries_models, "_vectors", lambda *a: (None, [], {}))
-    record("grid_search", "width int, hidden int, step double, best_epoch int, validation_loss double")
-    record("compare", "run int, model string, metric string, value double")
-    assert QUERIES["grid_search_full"](spark, SQL_DIR).columns == ["width", "hidden", "step", "best_epoch", "validation_loss"]
-    assert seen["grid_search"]["grid"] == models.parameter_grid(**models.FULL_GRID) and seen["grid_search"]["epochs"] == 200
-    assert {"model", "metric", "mean"} <= set(QUERIES["model_comparison_full"](spark, SQL_DIR).columns)
-    assert seen["compare"]["runs"] == 25 and set(seen["compare"]["models"]) == set(models.default_models())
+    record("grid_search", "place int, " + models.POINT)
+    record("compare", models.RUN)
+    for name in ("grid_search", "grid_search_full"):
+        assert {"width", "hidden", "step"} <= set(QUERIES[name](spark, SQL_DIR).columns)
+        assert seen["grid_search"]["grid"] == models.parameter_grid(**models.FULL_GRID) and seen["grid_search"]["epochs"] == 200
+    for name in ("model_comparison", "model_comparison_full"):
+        assert {"model", "metric"} <= set(QUERIES[name](spark, SQL_DIR).columns)
+        assert seen["compare"]["runs"] == 25 and set(seen["compare"]["models"]) == set(models.default_models())
