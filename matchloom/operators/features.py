@@ -146,7 +146,7 @@ def co_locate(player: DataFrame) -> DataFrame:
 def sample_rows(player: DataFrame) -> DataFrame:
     """Samples of filtered players with team and slot number.
 
-    ``player`` comes from ``co_locate``; numbering adds a sort but no shuffle.
+    ``player`` comes from ``co_locate`` or a bucketed table; numbering adds a sort but no shuffle.
     """
     rows = explode_series(player, ["match_id", "account_id", "team", "hero_name"])
     in_team = Window.partitionBy("match_id", "timestamp_s", "team").orderBy("account_id")
@@ -238,15 +238,18 @@ def fit_wide(player: DataFrame, info: DataFrame) -> Params:
     return collect_params(wide.select(F.inline(F.array(*[F.col(f) for f in fitted]))))
 
 
-def feature_matrix(player: DataFrame, info: DataFrame, heroes: list[str], params: Params | None = None) -> DataFrame:
+def feature_matrix(
+    player: DataFrame, info: DataFrame, heroes: list[str], params: Params | None = None, placed: bool = False
+) -> DataFrame:
     """The training table: scaled features of filtered players (with hero names), label last.
 
-    ``match_id`` and the raw time stamp (``time_s``) stay in front so that splits by match remain possible.
+    ``match_id`` and the raw time stamp (``time_s``) stay in front so that splits by match remain possible. With ``placed``
+    the players come from a table in buckets of match ids and stay where they are.
     """
-    placed = co_locate(player)
-    params = params or fit_wide(placed, info)
+    player = player if placed else co_locate(player)
+    params = params or fit_wide(player, info)
     spread = [f"p{n}.{c} AS p{n}_{c}" for n in range(1, PLACES + 1) for c in ("hero_name", *PLAYER_FEATURES)]
-    wide = match_rows(placed, info).selectExpr(*ROW_KEYS, "total_gold", *FLAGS, *spread, "winning_team")
+    wide = match_rows(player, info).selectExpr(*ROW_KEYS, "total_gold", *FLAGS, *spread, "winning_team")
     return known_heroes(wide, heroes).selectExpr(
         "match_id",
         "timestamp AS time_s",
@@ -258,12 +261,12 @@ def feature_matrix(player: DataFrame, info: DataFrame, heroes: list[str], params
     )
 
 
-def feature_vectors(player: DataFrame, info: DataFrame, heroes: list[str], params: Params) -> DataFrame:
+def feature_vectors(player: DataFrame, info: DataFrame, heroes: list[str], params: Params, placed: bool = False) -> DataFrame:
     """The training table as key, dense vector and label, without spelling out the single columns.
 
-    The vectors equal ``to_vector`` of ``feature_matrix``.
+    The vectors equal ``to_vector`` of ``feature_matrix``; ``placed`` as there.
     """
-    rows = match_rows(co_locate(player), info)
+    rows = match_rows(player if placed else co_locate(player), info)
     slots = F.array(*[F.col(f"p{n}") for n in range(1, PLACES + 1)])
     vector = feature_vector(
         F.col("timestamp"), F.col("total_gold"), [F.col(f) for f in FLAGS], slots, heroes, params, "hero_name"

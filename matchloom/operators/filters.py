@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +91,39 @@ def keep_matching(left: DataFrame, right: DataFrame, on: str | list[str]) -> Dat
     return left.join(right, on, "left_semi")
 
 
+BITS_PER_KEY, HASHES, MOST_BITS = 12, 4, 1 << 25
+
+
+def _places(key: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(k)), F.lit(bits)) for k in range(HASHES)]
+
+
+def key_filter(ids: DataFrame, key: str, expected: int) -> Callable[[Column], Column] | None:
+    """A test that every key of ``ids`` passes and hardly any other, or None for too many keys to tell apart.
+
+    A Bloom filter of ``BITS_PER_KEY`` bits a key, at most ``MOST_BITS`` (4 MB), worked out by Spark once per query as a scalar
+    subquery. It stands in a filter of the scan, so other rows never reach a shuffle.
+    """
+    bits = 1 << 10
+    while bits < expected * BITS_PER_KEY and bits < MOST_BITS:
+        bits *= 2
+    if expected * 4 > bits:
+        return None
+    spots = ids.where(F.col(key).isNotNull()).select(F.explode(F.array(*_places(F.col(key), bits))).alias("_spot"))
+    mine = spots.groupBy(F.expr("_spot div 64").alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(_spot % 64 as int)))").alias("_bits"))
+    every = ids.sparkSession.range(bits // 64).join(mine, F.col("id") == F.col("_word"), "left")
+    cells = F.sort_array(F.collect_list(F.struct("id", F.coalesce("_bits", F.lit(0)).alias("bits"))))
+    words = every.agg(F.transform(cells, lambda c: c["bits"]).alias("words")).scalar()
+
+    def test(column: Column) -> Column:
+        held = F.lit(True)
+        for spot in _places(column, bits):
+            held &= F.bit_get(F.get(words, F.floor(spot / 64).cast("int")), (spot % 64).cast("int")) == 1
+        return held
+
+    return test
+
+
 def drop_matching(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``; rows without a key go too."""
     keys = [on] if isinstance(on, str) else list(on)
@@ -165,17 +198,47 @@ def filter_funnel(verdicts: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*steps)))
 
 
-def kept_ids(eligible: DataFrame, player: DataFrame, leniency_s: int = 70) -> DataFrame:
-    """Ids of the eligible matches that are complete and that nobody left early."""
+def observed_funnel(verdicts: DataFrame, seen: Observation) -> DataFrame:
+    """``verdicts``, counted for ``funnel_rows`` while another job reads them to the end."""
+    complete = F.col("complete") & F.col("match_id").isNotNull()
+    steps = {"prefiltered": F.lit(True), "complete": complete, "without_leavers": complete & ~F.col("left_early")}
+    counts = [
+        F.coalesce(F.sum(F.when(keep, F.col(column))), F.lit(0)).cast("bigint").alias(f"{step}|{name}")
+        for step, keep in steps.items()
+        for column, name in (("n_info", "matches"), ("n_players", "player_rows"))
+    ]
+    return verdicts.observe(seen, *counts)
+
+
+def funnel_rows(spark: SparkSession, seen: Observation) -> DataFrame:
+    """The rows of ``filter_funnel`` from what was counted on the way."""
+    counts: dict[str, dict[str, int]] = {}
+    for name, value in seen.get.items():
+        step, _, column = name.partition("|")
+        counts.setdefault(step, {})[column] = value
+    rows = [(step, c["matches"], c["player_rows"]) for step, c in counts.items()]
+    return spark.createDataFrame(rows, "stage string, matches bigint, player_rows bigint")
+
+
+def kept_ids(eligible: DataFrame, player: DataFrame, leniency_s: int = 70, seen: Observation | None = None) -> DataFrame:
+    """Ids of the eligible matches that are complete and that nobody left early; ``seen`` counts the steps on the way."""
     verdicts = match_verdicts(eligible, player, leniency_s)
+    verdicts = verdicts if seen is None else observed_funnel(verdicts, seen)
     return verdicts.where(F.col("complete") & ~F.col("left_early")).select("match_id")
 
 
-def players_of(player: DataFrame, kept: DataFrame) -> DataFrame:
+FILTER_FROM = 1_000_000  # ids; about what Spark broadcasts by itself
+
+
+def players_of(player: DataFrame, kept: DataFrame, expected: int | None = None, filter_from: int = FILTER_FROM) -> DataFrame:
     """Player rows of the kept matches, without the leaving time.
 
-    The player side of the join is a scan, so adaptive execution may split a match id with many rows.
+    The player side of the join is a scan, so adaptive execution may split a match id with many rows. Where
+    ``expected``, the number of kept matches, is beyond a broadcast, a filter of their ids keeps other rows from the shuffle.
     """
+    if expected is not None and expected > filter_from:
+        held = key_filter(kept, "match_id", expected)
+        player = player.where(held(F.col("match_id"))) if held else player
     return keep_matching(player, kept.select("match_id"), "match_id").drop("abandon_match_time_s")
 
 

@@ -211,13 +211,13 @@ def kept_and_params(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     """
     raw = EventMatches(spark, sf_dir)
     info, player = store_matches(raw.info, raw.player, raw.heroes, CHOSEN, scratch_path(spark, "kept"))
-    return info, player, hero_list(spark, sf_dir), features.fit_wide(features.co_locate(player), info)
+    return info, player, hero_list(spark, sf_dir), features.fit_wide(player, info)
 
 
 @query("feature_matrix", feature_sql())
 def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     info, player, heroes, params = kept_and_params(spark, sf_dir)
-    return rounded(features.feature_matrix(player, info, heroes, params))
+    return rounded(features.feature_matrix(player, info, heroes, params, placed=True))
 
 
 @query("assemble_features", feature_sql())
@@ -249,14 +249,14 @@ def _unrolled(vectors: DataFrame) -> DataFrame:
 @query("vectors", _vector_sql())
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     info, player, heroes, params = kept_and_params(spark, sf_dir)
-    matrix = features.feature_matrix(player, info, heroes, params)
+    matrix = features.feature_matrix(player, info, heroes, params, placed=True)
     return _unrolled(features.to_vector(matrix, features.feature_columns(heroes), keep=["match_id", "time_s"]))
 
 
 @query("feature_vectors", _vector_sql())
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     info, player, heroes, params = kept_and_params(spark, sf_dir)
-    return _unrolled(features.feature_vectors(player, info, heroes, params))
+    return _unrolled(features.feature_vectors(player, info, heroes, params, placed=True))
 
 
 # game states

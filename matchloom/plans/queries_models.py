@@ -221,7 +221,7 @@ def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], dict]:
     """The vector table, written once: training passes over it many times."""
     info, player, heroes, params = kept_and_params(spark, sf_dir)
-    table = feature_vectors(player, info, heroes, params)
+    table = feature_vectors(player, info, heroes, params, placed=True)
     return write_stage(table, scratch_path(spark, "vectors")), heroes, params
 
 

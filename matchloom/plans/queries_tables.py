@@ -101,6 +101,44 @@ def match_json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.parse_match_json(match_documents(spark, sf_dir), "doc")
 
 
+def damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The match documents, five of six damaged by a rule from the match."""
+    docs, kind = match_documents(spark, sf_dir), F.col("match_id") % 6
+    return docs.withColumn(
+        "doc",
+        F.when(kind == 1, F.expr("substring(doc, 1, length(doc) - 5)"))
+        .when(kind == 2, F.regexp_replace("doc", '"players"', '"people"'))
+        .when(kind == 3, F.regexp_replace("doc", '"time_stamp_s":"', '"time_stamp_s":"t'))
+        .when(kind == 4, F.lit(None))
+        .when(kind == 5, F.lit("{}"))
+        .otherwise(F.col("doc")),
+    )
+
+
+@query(
+    "match_json_checked",
+    views.EVENTS
+    + """SELECT match_id, CAST(CASE WHEN team = 'Team1' THEN 1 ELSE 0 END AS INT) AS team, t AS time_stamp_s,
+       nw AS net_worth FROM cum WHERE match_id % 6 = 0""",
+)
+def match_json_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples of the sound documents among damaged ones."""
+    return tables.check_match_json(damaged_documents(spark, sf_dir), "doc").samples
+
+
+@query(
+    "match_json_rejected",
+    views.EVENTS
+    + """SELECT match_id, CASE match_id % 6 WHEN 1 THEN 'not of the known form' WHEN 2 THEN 'no players'
+              WHEN 3 THEN 'a time stamp that is no whole number' WHEN 4 THEN 'no document' ELSE 'no match_info' END AS reasons
+       FROM (SELECT DISTINCT match_id FROM raw_player) WHERE match_id % 6 <> 0""",
+)
+def match_json_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged documents with the reasons against them."""
+    rejected = tables.check_match_json(damaged_documents(spark, sf_dir), "doc").rejected
+    return rejected.select("match_id", F.array_join("reasons", ", ").alias("reasons"))
+
+
 @query(
     "stage_roundtrip",
     views.FILTERED + "SELECT match_id, account_id, team, hero_name, net_worth, ability_points, player_level FROM named_player",
@@ -109,6 +147,19 @@ def stage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.write_stage(stage_tables(spark, sf_dir).player_general, scratch_path(spark, "stage"))
 
 
+@query(
+    "stage_bucketed",
+    views.FILTERED
+    + """SELECT i.match_id, winning_team, CAST(count(*) AS BIGINT) AS players, CAST(sum(net_worth) AS BIGINT) AS worth
+       FROM kept_info i JOIN named_player p ON p.match_id = i.match_id GROUP BY i.match_id, winning_team""",
+)
+def stage_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Worth and players of each kept match, joined and grouped where the buckets lie."""
+    info, player = filtered(spark, sf_dir)
+    both = info.select("match_id", "winning_team").join(player.select("match_id", "net_worth"), "match_id")
+    return both.groupBy("match_id", "winning_team").agg(F.count("*").alias("players"), F.sum("net_worth").alias("worth"))
+
+
 @query(
     "params_roundtrip",
     """SELECT 'o_totalprice' AS feature, round(avg(o_totalprice), 6) AS mean, round(stddev_pop(o_totalprice), 6) AS std
@@ -129,6 +180,17 @@ def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ts_as_number(tables.point_lookup(spark, f"{sf_dir}/events.parquet", 5, "user_id"))
 
 
+@query(
+    "point_lookup_sorted",
+    "SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props FROM events WHERE user_id = 5",
+)
+def point_lookup_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a copy written for look-ups: one row group is read."""
+    path = scratch_path(spark, "by-user")
+    tables.write_sorted(read_table(spark, sf_dir, "events"), path, "user_id")
+    return _ts_as_number(tables.point_lookup(spark, path, 5, "user_id"))
+
+
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing of one folder and one file per web page, written as HTML from the page's columns."""
     pages = read_table(spark, sf_dir, "pages")

@@ -391,3 +391,29 @@ def test_describe_covers_all_types(spark):
     assert got["t"]["max"] - got["t"]["min"] == 2 * 86400 and got["t"]["std"] is None and got["d"]["count"] == 1
     assert (got["n"]["count"], got["n"]["mean"], got["n"]["q50"]) == (2, 2.0, 2.0)
     assert describe_all(df.select("b")).count() == 1
+
+
+def test_broken_documents_come_out_with_their_reasons(spark, tmp_path):
+    sound = '{"match_info":{"players":[{"team":0,"stats":[{"time_stamp_s":"60","net_worth":5}]},{"team":1,"stats":[]}]}}'
+    lines = [
+        (sound, []),
+        ('{"match_info":{"players":[', ["not of the known form"]),
+        ('{"match_info":{"players":[{"team":"x","stats":[]}]}}', ["not of the known form"]),
+        ("[1, 2]", ["not of the known form"]),
+        ("{}", ["no match_info"]),
+        ('{"match_info":{}}', ["no players"]),
+        ('{"match_info":{"players":[{"stats":[{"net_worth":1}]},{"team":1}]}}', ["a player without team", "a player without stats", "a time stamp that is no whole number"]),
+        ('{"match_info":{"players":[{"team":0,"stats":[{"time_stamp_s":"1.5x"}]}]}}', ["a time stamp that is no whole number", "a sample without net worth"]),
+        ("", ["no document"]),
+        (None, ["no document"]),
+        ('{"match_info":{"players":[]}}', []),
+    ]
+    docs = spark.createDataFrame([(k, line, "r") for k, (line, _) in enumerate(lines)], "k int, doc string, reason string")
+    samples, rejected = tables.check_match_json(docs, "doc")
+    assert [tuple(r) for r in samples.collect()] == [(0, "r", 0, 60, 5)]
+    assert {r["k"]: (r["doc"], r["reasons"]) for r in rejected.collect()} == {k: line for k, line in enumerate(lines) if line[1]}
+    with pytest.raises(Exception, match="a broken document: no match_info"):
+        tables.parse_match_json(docs.where("k in (0, 4)"), "doc").collect()
+    (tmp_path / "m.json").write_text("\n".join((sound, "{broken", sound)))
+    with pytest.raises(Exception, match="a broken document: not of the known form"):
+        tables.scan_match_json(spark, str(tmp_path)).collect()

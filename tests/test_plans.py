@@ -2,8 +2,10 @@
 
 import re
 from datetime import datetime, timezone
+from pathlib import Path
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +18,9 @@ from matchloom.plans.prepare import Selection, prepare
 from matchloom.plans.queries_features import feature_sql, kept_and_params
 from matchloom.plans.queries_tables import CHOSEN, filtered, samples
 from matchloom.schemas import FILTER_ONLY, MATCH_INFO, MATCH_PLAYER
-from matchloom.sources.tables import load_params, scan_numbered, write_stage
+from matchloom.operators.normalize import PLAYER_FEATURES
+from matchloom.sources import tables
+from matchloom.sources.tables import load_params, read_bucketed, scan_numbered, write_bucketed, write_stage
 from matchloom.sources.testdata import EventMatches
 from tools.compare import compare, connect
 
@@ -72,6 +76,89 @@ def test_unnested_rows_are_not_shuffled(spark, stored):
     assert all("match_id" in line and "timestamp" not in line for line in shuffled) and len(shuffled) <= 2
 
 
+def test_bucketed_tables_need_no_shuffle_by_match(spark, stored, tmp_path):
+    """Stage tables in buckets of match ids: training table, fit, leads and profiles join and group where the rows lie."""
+    from matchloom.operators import aggregates, analytics
+    from matchloom.plans.prepare import store_matches
+
+    raw = (spark.read.parquet(f"{stored}/{t}.parquet") for t in ("match_info_45", "match_player_46", "heroes"))
+    info, player = store_matches(*raw, CHOSEN, str(tmp_path / "out"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [
+            features.match_rows(player, info),
+            features.feature_vectors(player, info, ["x"], {f: (0.0, 1.0) for f in ("timestamp", "total_gold", *PLAYER_FEATURES)}, placed=True),
+            analytics.winner_gold(player, info),
+            filters.keep_matching(player, info, "match_id"),
+            aggregates.group_stats(player, ["match_id"], worth=F.sum("net_worth")),
+        ]
+        for df in plans:
+            assert "Exchange" not in static_plan(df).replace("BroadcastExchange", ""), static_plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    again = read_bucketed(spark, str(tmp_path / "out" / "kept_player"), player.schema, "match_id", 4)
+    assert again.count() == player.count() == spark.read.parquet(str(tmp_path / "out" / "kept_player")).count()
+
+
+def test_another_session_finds_the_buckets(spark, tmp_path):
+    rows, path = spark.range(100).withColumn("stats.x", F.col("id") * 2), str(tmp_path / "b")
+    made = write_bucketed(rows, path, "id", 3)
+    spark.sql(f"DROP TABLE {tables._table_name(path)}")
+    found = read_bucketed(spark, path, made.schema, "id", 3)
+    assert found.agg(F.sum("`stats.x`")).first()[0] == 9900
+    assert "Exchange" not in static_plan(found.groupBy("id").count())
+    assert write_bucketed(rows.limit(5), path, "id", 3).count() == 5
+
+
+def test_key_filter_stands_below_the_shuffle(spark, tmp_path):
+    """All kept rows pass and few others do, before any exchange."""
+    ids = write_stage(spark.range(0, 1_000_000, 97).select(F.col("id").alias("match_id")), str(tmp_path / "ids"))
+    rows = spark.range(1_000_000).select(F.col("id").alias("match_id"), F.lit(0).alias("abandon_match_time_s"))
+    player = write_stage(rows.unionByName(spark.createDataFrame([(None, 1)], "match_id long, abandon_match_time_s int")), str(tmp_path / "p"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = filters.players_of(player, ids, ids.count(), filter_from=100)
+        plan = static_plan(kept)
+        assert "bit_get" in plan[plan.index("Exchange hashpartitioning(match_id") :]
+        assert kept.count() == ids.count()
+        assert "bit_get" not in static_plan(filters.players_of(player, ids, ids.count()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    held = filters.key_filter(ids, "match_id", ids.count())
+    passed = player.where(held(F.col("match_id"))).count()
+    assert ids.count() <= passed < ids.count() + 20_000  # of 990 000 others
+    assert filters.key_filter(ids, "match_id", 1 << 30) is None
+    none = filters.key_filter(ids.limit(0), "match_id", 0)
+    assert player.where(none(F.col("match_id"))).count() == 0
+
+
+def test_lookup_reads_one_row_group(spark, tmp_path):
+    rows = spark.range(400_000).select((F.col("id") * 7919 % 20_000).alias("match_id"), F.md5(F.col("id").cast("string")).alias("x"))
+    path = str(tmp_path / "sorted")
+    tables.write_sorted(rows, path, "match_id", group_bytes=1 << 20)
+    found = tables.point_lookup(spark, path, 4242)
+    assert found.count() == 20
+    scan = found.select("x")
+    scan.collect()
+    leaves = scan._jdf.queryExecution().executedPlan()
+    leaves = leaves.finalPhysicalPlan() if "Adaptive" in leaves.nodeName() else leaves
+    read = leaves.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+    files = [pq.ParquetFile(f) for f in Path(path).glob("*.parquet")]
+    groups = [f.metadata.row_group(g) for f in files for g in range(f.metadata.num_row_groups)]
+    assert len(groups) >= 8 and 20 <= read <= max(g.num_rows for g in groups) < 100_000
+    bounds = [(c.statistics.min, c.statistics.max) for c in (g.column(0) for g in groups)]
+    assert sum(low <= 4242 <= high for low, high in bounds) == 1
+
+
+def test_funnel_is_counted_on_the_way(spark, stored, tmp_path):
+    info, player = (spark.read.parquet(f"{stored}/{t}.parquet") for t in ("match_info_45", "match_player_46"))
+    eligible = filters.filter_matches_eligible(info, CHOSEN.start, CHOSEN.end, CHOSEN.min_badge, CHOSEN.max_disparity)
+    want = sorted(map(tuple, filters.filter_funnel(filters.match_verdicts(eligible, player)).collect()))
+    out = str(tmp_path / "out")
+    prepare(spark, stored, f"{stored}/heroes.parquet", out, range(45, 48), CHOSEN)
+    assert sorted(map(tuple, spark.read.parquet(f"{out}/filter_funnel").collect())) == want
+
+
 def test_slots_are_cut_before_the_shuffle(spark, sf_dir):
     plan = static_plan(features.slot_numbers(samples(EventMatches(spark, sf_dir)), 6))
     assert plan.count("WindowGroupLimit") == 2
