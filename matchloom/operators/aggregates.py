@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions.columns import interval_label, whole_div
-from matchloom.operators.ordered import value_weights, weighted_quantiles
-from matchloom.operators.skew import spread_join
+from matchloom.operators.joins import small_dim
+from matchloom.operators.ordered import range_quantiles, stored_ranges, value_weights
 from matchloom.schemas import TEAMS
+from matchloom.session import held
 
 
 def _known(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -146,6 +147,31 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
+def histograms(df: DataFrame, by: str, column: str, bins: dict[str, int]) -> DataFrame:
+    """``histogram`` for each group that ``bins`` names with its number of bins, as (by, bin, low, high, count).
+
+    ``df`` is a stored table: one pass finds all bounds, which are written (a row a group), one more counts.
+    """
+    number = F.element_at(F.create_map(*[F.lit(x) for pair in bins.items() for x in pair]), F.col(by))
+    known = df.where(F.col(column).isNotNull() & F.col(by).isin(list(bins))).select(by, F.col(column).alias("_v"))
+    low, high = F.min("_v").cast("double"), F.max("_v").cast("double")
+    bounds = known.groupBy(by).agg(low.alias("_low"), high.alias("_high"), number.alias("_bins"))
+    flat = F.col("_low") == F.col("_high")  # equal bounds get one unit around the value
+    width = F.when(flat, F.lit(1.0)).otherwise(F.col("_high") - F.col("_low")) / F.col("_bins")
+    frame = bounds.select(by, F.when(flat, F.col("_low") - 0.5).otherwise(F.col("_low")).alias("_low"), width.alias("_width"), "_bins")
+    frame = small_dim(held(frame, "bounds"))
+    place = F.least(F.floor((F.col("_v") - F.col("_low")) / F.col("_width")), F.col("_bins") - 1)
+    counted = known.join(frame, by).groupBy(by, place.cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    edges = frame.select(by, "_low", "_width", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("_bins") - 1).cast("bigint"))).alias("bin"))
+    return edges.join(counted, [by, "bin"], "left").select(
+        by,
+        "bin",
+        (F.col("_low") + F.col("bin") * F.col("_width")).alias("low"),
+        (F.col("_low") + (F.col("bin") + 1) * F.col("_width")).alias("high"),
+        F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
+    )
+
+
 def fixed_histogram(df: DataFrame, column: str, width: int, drop_top_edge: bool = True) -> DataFrame:
     """Half-open bins of fixed width from 0 up to the maximum, empty bins kept.
 
@@ -174,12 +200,12 @@ def fixed_histogram(df: DataFrame, column: str, width: int, drop_top_edge: bool
 
 def box_stats(df: DataFrame, column: str, by: str) -> DataFrame:
     """Quartiles and whiskers (outermost values within 1.5 interquartile ranges) per group."""
-    counts = value_weights(df, [by], column)
-    quartiles = weighted_quantiles(counts, [by], {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    counts = stored_ranges(value_weights(df, [by], column), by, "_value")
+    quartiles = held(range_quantiles(counts, [by], {"q1": 0.25, "median": 0.5, "q3": 0.75}), "quartiles")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     near = F.col("_value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        spread_join(counts, quartiles, [by])
+        counts.join(small_dim(quartiles), by)
         .groupBy(by, "q1", "median", "q3")
         .agg(
             F.sum("_count").alias("n"),

@@ -24,7 +24,7 @@ from matchloom.operators.aggregates import (
     box_stats,
     distinct_count,
     group_stats,
-    histogram,
+    histograms,
     masked_stats,
     sort,
     summary,
@@ -37,6 +37,7 @@ from matchloom.operators.aggregates import (
 from matchloom.operators.filters import filter_in, filter_not, filter_range
 from matchloom.operators.joins import attach_team, attach_winner
 from matchloom.schemas import TEAMS
+from matchloom.session import held
 
 def _diff() -> Column:
     return F.col("Team0") - F.col("Team1")
@@ -142,10 +143,9 @@ def winner_margin(player: DataFrame, info: DataFrame) -> DataFrame:
 
 def winner_gold_hist(player: DataFrame, info: DataFrame, bins_ahead: int = 50, bins_behind: int = 30) -> DataFrame:
     """Histograms of the winner's margin, apart for winners ahead and winners behind."""
-    margins = winner_gold(player, info)
-    ahead = histogram(margins.where(F.col("winner_gold_diff") >= 0), "winner_gold_diff", bins_ahead)
-    behind = histogram(margins.where(F.col("winner_gold_diff") < 0), "winner_gold_diff", bins_behind)
-    return ahead.select(F.lit("ahead").alias("side"), "*").unionByName(behind.select(F.lit("behind").alias("side"), "*"))
+    side = F.when(F.col("winner_gold_diff") >= 0, "ahead").when(F.col("winner_gold_diff") < 0, "behind")
+    margins = held(winner_gold(player, info).select(side.alias("side"), "winner_gold_diff"), "margins")
+    return histograms(margins, "side", "winner_gold_diff", {"ahead": bins_ahead, "behind": bins_behind})
 
 
 def gold_scatter(player: DataFrame, info: DataFrame) -> DataFrame:

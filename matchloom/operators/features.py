@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from matchloom.functions.arrays import name_sql, quoted
 from matchloom.operators.encode import known_category, one_hot_sql
 from matchloom.operators.normalize import PLAYER_FEATURES, Params, collect_params, zscore, zscore_sql
-from matchloom.operators.ordered import bucket_spans, with_range_bucket
+from matchloom.operators.ordered import bucket_spans, stored_ranges
 from matchloom.operators.series import explode_series, fallen_flags, lost_at_in_row
 from matchloom.schemas import FLAGS, OBJECTIVE_LISTS, TEAM_SIZE
 
@@ -23,13 +23,13 @@ def slot_numbers(df: DataFrame, slots: int | None = None) -> DataFrame:
     """Number the players of a team at one match and time by account id.
 
     With ``slots`` only the first numbers are kept, and Spark drops the rest before the shuffle.
-    Without it every row is numbered: account ranges are numbered apart and shifted by the size of the
-    ranges before them, so a very large group is not one task.
+    Without it every row is numbered: the rows are written by ranges of group and account, numbered within a range, and
+    shifted by what the same group has in the ranges before, so a very large group is not one task.
     """
     if slots is not None:
         one_team = Window.partitionBy(*SLOT_KEYS).orderBy("account_id")
         return df.withColumn("player_num", F.row_number().over(one_team)).where(F.col("player_num") <= slots)
-    bucketed = with_range_bucket(df, "account_id")
+    bucketed = stored_ranges(df, *SLOT_KEYS, "account_id")
     keys = [*SLOT_KEYS, "_bucket"]
     spans = bucket_spans(bucketed, SLOT_KEYS, F.lit(1)).select(*keys, "_start")
     same = [bucketed[k].eqNullSafe(spans[k]) for k in keys]

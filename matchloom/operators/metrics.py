@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.operators.ordered import bucket_spans, with_range_bucket
+from matchloom.operators.ordered import bucket_spans, stored_ranges
 
 CLIP = 1e-15
 
@@ -51,8 +51,8 @@ def batch_mean_loss(df: DataFrame, score: str, label: str, batch_id: str) -> Dat
 def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Area under the ROC curve, exact, tied scores counted half; NULL with a single class.
 
-    Rows are reduced to one per distinct score; the negatives below a score come from bucket totals
-    plus a running sum inside the bucket.
+    Rows are reduced to one per distinct score and written by range; the negatives below a score come from the totals of
+    the ranges plus a running sum inside its range.
     """
     positive = F.col(label).cast("double") == 1.0
     per_score = (
@@ -60,7 +60,7 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
         .groupBy(F.col(score).alias("_score"))
         .agg(F.count_if(positive).alias("_pos"), F.count_if(~positive).alias("_neg"))
     )
-    bucketed = with_range_bucket(per_score, "_score", ("_pos", "_neg"))
+    bucketed = stored_ranges(per_score, "_score")
     spans = bucket_spans(bucketed, [], F.col("_neg")).select("_bucket", "_start")
     upto = Window.partitionBy("_bucket").orderBy("_score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     below = F.col("_start") + F.sum("_neg").over(upto) - F.col("_neg")

@@ -1,8 +1,8 @@
 """Ranks, running sums and exact quantiles over whole tables without a single-task window.
 
-Rows are first reduced to distinct values, then cut into ordered buckets. Bucket totals give the
-offsets (a table of at most ``BUCKETS`` rows per group), and only rows within one bucket are ordered
-against each other.
+Rows are first reduced to distinct values, then dealt out by range, numbered by range and written once. The totals
+of the ranges give the offsets (a row a range and group), and only rows within one range are ordered against each
+other. Ranges follow the size of the data: Spark samples their bounds and merges small ones.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+from matchloom.session import held
+
 DIGEST_DIGITS = 4
 
 
@@ -19,27 +20,12 @@ def digest(seed: int, keys: list[str]) -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed).cast("string"), *[F.col(k).cast("string") for k in keys]))
 
 
-def with_range_bucket(df: DataFrame, column: str, also_read: tuple[str, ...] = (), buckets: int = BUCKETS) -> DataFrame:
-    """Add ``_bucket``: the position of ``column`` among approximate quantiles of the table.
+def stored_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` dealt out by ranges of ``order``, written, with ``_bucket``, the number of a row's range.
 
-    Any cut points give right results downstream; the quantiles only keep the buckets even.
-    ``buckets`` is a power of two. Where ``df`` is an aggregate, ``also_read`` names its other columns:
-    the pass for the cut points then equals the main pass, and Spark runs the shuffle below once.
+    Equal rows are in one range, and a lower range holds lower rows.
     """
-    points = [i / buckets for i in range(1, buckets)]
-    found = F.struct(
-        F.percentile_approx(column, points, 4 * buckets).alias("cuts"), *[F.max(c).alias(c) for c in also_read]
-    )
-    cuts = df.agg(found.alias("found")).scalar()["cuts"]
-    steps = [buckets >> n for n in range(1, buckets.bit_length())]
-    # binary search: go right by a step where the cut there is still below the value
-    position = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(F.get(F.col("_cuts"), at + step - 1) < F.col(column), at + step).otherwise(at),
-    )
-    # never NULL, so that joins on the bucket add no filter that would work it out for every row below
-    return df.withColumn("_cuts", cuts).withColumn("_bucket", F.coalesce(position, F.lit(0))).drop("_cuts")
+    return held(df.repartitionByRange(*order).withColumn("_bucket", F.spark_partition_id()), "ranges")
 
 
 def bucket_spans(bucketed: DataFrame, by: list[str], weight: Column) -> DataFrame:
@@ -72,7 +58,11 @@ def exact_quantiles(df: DataFrame, by: list[str], column: str, probs: dict[str,
 
 def weighted_quantiles(counts: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
     """``exact_quantiles`` of a table from ``value_weights``."""
-    bucketed = with_range_bucket(counts, "_value", ("_count",))
+    return range_quantiles(stored_ranges(counts, *by, "_value"), by, probs)
+
+
+def range_quantiles(bucketed: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
+    """``weighted_quantiles`` of counts that ``stored_ranges`` has written."""
     wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p")) for n, p in probs.items()])
     position = F.col("_want.p") * (F.col("_total") - 1)
     targets = (

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchloom.functions.arrays import quoted
-from matchloom.operators.ordered import exact_quantiles
+from matchloom.operators.ordered import range_quantiles, stored_ranges
+from matchloom.session import held
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -48,11 +49,17 @@ def describe_all(df: DataFrame) -> DataFrame:
     """One row per column: count; for numbers and times mean, std and quartiles (times in seconds since
     1970, without std); for all other types unique, top and freq.
 
-    Counts and moments are one aggregate over the source. Only values with their counts are reordered, so
-    neither the most frequent value nor the exact quartiles need a column's values in one place.
+    The table is read once for the moments and once for the values of all columns with their counts, which are
+    written by ranges of column and value; quartiles and most frequent values come from these.
     """
     numeric = [f for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, *TIMES))]
     others = [f for f in df.schema.fields if f not in numeric]
+    if not df.schema.fields:
+        raise ValueError("the table has no columns")
+    cells = [F.struct(F.lit(f.name).alias("column"), _as_number(f).alias("_value"), F.lit(None).cast("string").alias("_text")) for f in numeric]
+    cells += [F.struct(F.lit(f.name).alias("column"), F.lit(None).cast("double").alias("_value"), _as_text(f).alias("_text")) for f in others]
+    counts = df.select(F.inline(F.array(*cells))).groupBy("column", "_value", "_text").agg(F.count(F.lit(1)).alias("_count"))
+    counts = stored_ranges(counts, "column", "_value", "_text")
     parts = []
     if numeric:
         rows = [
@@ -68,23 +75,18 @@ def describe_all(df: DataFrame) -> DataFrame:
         ]
         wide = df.agg(*rows)
         moments = wide.select(F.inline(F.array(*[F.col(c) for c in wide.columns])))
-        pairs = F.array(*[F.struct(F.lit(f.name).alias("column"), _as_number(f).alias("value")) for f in numeric])
-        quartiles = exact_quantiles(df.select(F.inline(pairs)), ["column"], "value", QUARTILES)
+        quartiles = held(range_quantiles(counts.where(F.col("_value").isNotNull()).drop("_text"), ["column"], QUARTILES), "quartiles")
         parts.append(moments.join(quartiles, "column", "left"))
     if others:
-        pairs = F.array(*[F.struct(F.lit(f.name).alias("column"), _as_text(f).alias("value")) for f in others])
-        counts = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("value").alias("n"))
-        known = F.col("value").isNotNull()
+        known = F.col("_text").isNotNull()
         parts.append(
-            counts.groupBy("column").agg(
-                F.sum("n").cast("bigint").alias("count"),
-                F.count("value").alias("unique"),
-                F.min_by("value", F.when(known, F.struct(-F.col("n"), "value"))).alias("top"),
-                F.max(F.when(known, F.col("n"))).alias("freq"),
+            counts.where(F.col("column").isin([f.name for f in others])).groupBy("column").agg(
+                F.coalesce(F.sum(F.when(known, F.col("_count"))), F.lit(0)).cast("bigint").alias("count"),
+                F.count("_text").alias("unique"),
+                F.min_by("_text", F.when(known, F.struct(-F.col("_count"), "_text"))).alias("top"),
+                F.max(F.when(known, F.col("_count"))).alias("freq"),
             )
         )
-    if not parts:
-        raise ValueError("the table has no columns")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)

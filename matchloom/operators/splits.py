@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from matchloom.operators.joins import small_dim
 from matchloom.operators.ordered import digest, rank_cuts
+from matchloom.session import held
 
 
 def split_exact(df: DataFrame, val: float, test: float, seed: int, key: list[str], unit: str = "row") -> DataFrame:
@@ -53,8 +54,9 @@ def _attach(df: DataFrame, per_class: DataFrame, label: str) -> DataFrame:
 
 
 def train_sizes(df: DataFrame, label: str, test_size: float) -> DataFrame:
-    """Training rows per class: proportional shares, the largest remainders rounded up."""
-    classes = df.dropna(subset=[label]).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    """Training rows per class: proportional shares, the largest remainders rounded up. The counts of the classes are
+    worked out at once and written; what follows reads a row a class."""
+    classes = held(df.dropna(subset=[label]).groupBy(label).agg(F.count(F.lit(1)).alias("n")), "classes")
     total = classes.agg(F.sum("n")).scalar()
     sized = classes.withColumn("_all", total).withColumn(
         "_train", F.col("_all") - F.ceil(F.lit(float(test_size)) * F.col("_all"))
@@ -70,8 +72,8 @@ def train_sizes(df: DataFrame, label: str, test_size: float) -> DataFrame:
 def split_stratified(df: DataFrame, label: str, test_size: float, seed: int, key: list[str]) -> DataFrame:
     """Add ``part`` (train, test) with the class shares kept; the test part has ceil(test_size * n) rows."""
     units = df.dropna(subset=[label]).select(label, digest(seed, key).alias("_digest"))
-    sizes = train_sizes(df, label, test_size).select(label, "train_n")
-    cuts = rank_cuts(units, [label], {"train": F.col("train_n")}, sizes)
+    sizes = held(train_sizes(df, label, test_size).select(label, "train_n"), "sizes")
+    cuts = held(rank_cuts(units, [label], {"train": F.col("train_n")}, sizes), "cuts")  # a row a class
     placed = _attach(df, cuts.select(label, F.col("bound").alias("_bound")), label)
     in_train = digest(seed, key) <= F.col("_bound")
     return placed.select(*[F.col(f"`{c}`") for c in df.columns], F.when(in_train, F.lit("train")).otherwise(F.lit("test")).alias("part"))

@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -49,6 +49,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def held(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back: what several steps read is worked out once."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def result_path(spark: SparkSession, label: str, *of: str) -> str:
     """A path below the scratch folder that is the same whenever this application asks for it with the same words, so
     that what was begun there can go on."""

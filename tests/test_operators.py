@@ -417,3 +417,38 @@ def test_broken_documents_come_out_with_their_reasons(spark, tmp_path):
     (tmp_path / "m.json").write_text("\n".join((sound, "{broken", sound)))
     with pytest.raises(Exception, match="a broken document: not of the known form"):
         tables.scan_match_json(spark, str(tmp_path)).collect()
+
+
+def test_quantiles_and_numbers_over_many_ranges(spark):
+    """Small ranges, so that groups and equal values meet their borders."""
+    rows = [(k % 3, float((k * 7919) % 101) if k % 5 else float(k % 2)) for k in range(2000)] + [(9, 1.5), (None, 2.0), (1, None)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        got = {r["g"]: (r["q"], r["m"]) for r in ordered.exact_quantiles(df, ["g"], "v", {"q": 0.3, "m": 0.5}).collect()}
+        slots = spark.createDataFrame([(k % 2, 5, "Team0", 1000 - k) for k in range(500)], "match_id int, timestamp_s int, team string, account_id int")
+        numbers = {(r["match_id"], r["account_id"]): r["player_num"] for r in features.slot_numbers(slots).collect()}
+        scores = [(k, (k * 37 % 50) / 50, int(k * 37 % 50 + k % 11 > 28)) for k in range(600)]
+        auc = metrics.roc_auc(spark.createDataFrame(scores, "k int, s double, y int"), "s", "y").first()[0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for g in (0, 1, 2, 9):
+        own = [v for k, v in rows if k == g and v is not None]
+        assert got[g] == pytest.approx((np.quantile(own, 0.3), np.quantile(own, 0.5)))
+    for m in (0, 1):
+        own = sorted(a for k, a in numbers if k == m)
+        assert [numbers[m, a] for a in own] == list(range(1, len(own) + 1))
+    up, down = ([s for _, s, y in scores if y == c] for c in (1, 0))
+    assert auc == pytest.approx(sum((a > b) + 0.5 * (a == b) for a in up for b in down) / (len(up) * len(down)))
+
+
+def test_histograms_of_groups_in_one_pass(spark):
+    rows = [("a", float(v)) for v in (0, 1, 2, 10)] + [("b", 3.0), ("b", 3.0), ("c", 1.0), (None, 1.0), ("a", None)]
+    df = spark.createDataFrame(rows, "side string, v double")
+    got = aggregates.histograms(df, "side", "v", {"a": 5, "b": 2, "z": 3}).collect()
+    for side, bins in (("a", 5), ("b", 2)):
+        single = aggregates.histogram(df.where(F.col("side") == side), "v", bins).collect()
+        assert sorted(tuple(r)[1:] for r in got if r["side"] == side) == sorted(map(tuple, single))
+    assert {r["side"] for r in got} == {"a", "b"}

@@ -302,3 +302,10 @@ def test_model_keys_run_the_whole_job(spark, monkeypatch):
     for name in ("model_comparison", "model_comparison_full"):
         assert {"model", "metric"} <= set(QUERIES[name](spark, SQL_DIR).columns)
         assert seen["compare"]["runs"] == 25 and set(seen["compare"]["models"]) == set(models.default_models())
+
+
+@pytest.mark.parametrize("name", ["profile_table", "gold_diff_box", "winner_gold_hist", "eval_auc", "slot_numbers", "split_stratified"])
+def test_ordered_operators_read_their_rows_once_or_twice(spark, sf_dir, name):
+    """Ranges, counts and bounds are stored; what remains are a few scans."""
+    plan = static_plan(QUERIES[name](spark, sf_dir))
+    assert plan.count("FileScan") <= (6 if name == "profile_table" else 4)  # its source alone has four
