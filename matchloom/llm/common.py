@@ -21,6 +21,7 @@ U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 GRAM = 0xD6E8FEB86659FD93
 SLICE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 
 def byte_class(separators: Callable[[int], bool]) -> np.ndarray:
@@ -100,6 +101,25 @@ def slices(data: np.ndarray, at: np.ndarray, limit: int = SLICE_BYTES) -> Iterat
         first = last
 
 
+def pieces(data: np.ndarray, is_word: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``limit`` bytes that end after a separator, so no word is cut; a longer word has a range of its own."""
+    a = 0
+    while a < len(data):
+        b = min(a + limit, len(data))
+        if b < len(data):
+            gaps = np.flatnonzero(~is_word[data[a:b]])
+            if len(gaps):
+                b = a + int(gaps[-1]) + 1
+            else:
+                while b < len(data):
+                    gaps = np.flatnonzero(~is_word[data[b : b + limit]])
+                    b = b + int(gaps[0]) + 1 if len(gaps) else min(b + limit, len(data))
+                    if len(gaps):
+                        break
+        yield a, b
+        a = b
+
+
 def word_spans(data: np.ndarray, at: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and text numbers of all words; words end where their text ends."""
     inside = is_word[data]

@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchloom.llm.common import GRAM, U64, Hasher, flat, grams, lower_table, mix, plain_words, slices, spaced_words, store, word_spans
+from matchloom.llm.common import GRAM, U64, Hasher, flat, grams, lower_table, mix, pieces, plain_words, slices, spaced_words, store, word_spans
 
 LEXICON_ROWS = 6000
 TRAIN_ROWS = 6000
 BEGINNINGS = (4, 5)  # bytes
+TEXT_BYTES = 256 << 10  # texts read at once; a longer one in pieces
 MIN_SUPPORT = 4
 PRECISION = 0.8
 DOUBT = 1e-3  # chance that a word list holds any word by accident
@@ -56,8 +57,8 @@ ODD_WORDS = 0.25
 class Features:
     """Hashed features and labeller inputs of a slice of texts."""
 
-    def __init__(self) -> None:
-        self.hasher, self.lower, self.plain, self.spaced = Hasher(), lower_table(), plain_words(), spaced_words()
+    def __init__(self, limit: int = TEXT_BYTES) -> None:
+        self.hasher, self.lower, self.plain, self.spaced, self.limit = Hasher(), lower_table(), plain_words(), spaced_words(), limit
         self.symbol = np.isin(np.arange(256), np.frombuffer(b"#*$%&<>", np.uint8))
         byte = np.arange(256)
         self.upper = (byte >= 65) & (byte <= 90)
@@ -67,24 +68,45 @@ class Features:
     def read(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Text of each feature, feature, 0 word / 1 beginning / 2 style; style shares (texts x 5)."""
         n = len(at) - 1
-        per_text = lambda flags: np.diff(np.concatenate(([0], np.cumsum(flags)))[at])
+        if n == 1 and len(data) > self.limit:
+            sums, words, feature, kind = self._long(data)
+            text = np.zeros(len(feature), np.int64)
+            of_word = np.zeros(len(words), np.int64)
+        else:
+            sums, words, of_word = self._tally(data, at)
+            text, feature, kind = self._plain(data, at)
+        five = grams(words, 5)
+        place = np.flatnonzero(of_word[: len(five)] == of_word[4:]) if len(five) else np.zeros(0, np.int64)
+        _, same, times = np.unique(mix(five[place] + of_word[place].astype(U64) * U64(GRAM)), return_inverse=True, return_counts=True)
+        repeated = np.bincount(of_word[place[times[same] > 1]], minlength=n)
+        symbols, capitals, letters, count, bars, odd = sums
+        count, size = np.maximum(count, 1), np.maximum(np.diff(at), 1)
+        shares = np.stack((symbols / size, capitals / np.maximum(letters, 1), repeated / count, bars / count, odd / count), axis=1)
+        of, found, kinds = [text], [feature], [kind]
+        filled = np.flatnonzero(np.diff(at) > 0)
+        for k in range(shares.shape[1]):
+            of.append(filled)
+            classes = np.minimum(shares[filled, k] * STYLE_CLASSES, STYLE_CLASSES - 1).astype(np.int64)
+            found.append(mix((classes + 1000 * (k + 1)).astype(U64)))
+            kinds.append(np.full(len(filled), 2, np.int8))
+        return np.concatenate(of), np.concatenate(found), np.concatenate(kinds), shares
+
+    def _tally(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per text symbols, capitals, letters, words, bars, odd words (6 x texts); hash and text of each word."""
+        n = len(at) - 1
+        running = lambda flags: np.concatenate((np.zeros(1, np.int32), np.cumsum(flags, dtype=np.int32)))
+        per_text = lambda flags: np.diff(running(flags)[at])
         starts, ends, text = word_spans(data, at, self.spaced)
-        prefix = self.hasher.prefix(data)
-        words = np.maximum(np.bincount(text, minlength=n), 1)
-        five = grams(self.hasher.ranges(prefix, starts, ends), 5)
-        place = np.flatnonzero(text[: len(five)] == text[4:]) if len(five) else np.zeros(0, np.int64)
-        _, same, times = np.unique(mix(five[place] + text[place].astype(U64) * U64(GRAM)), return_inverse=True, return_counts=True)
-        repeated = np.bincount(text[place[times[same] > 1]], minlength=n)
-        bars = np.bincount(text[(ends - starts == 1) & (data[starts] == 0x7C)], minlength=n) if len(starts) else np.zeros(n)
-        size = np.maximum(np.diff(at), 1)
-        letters = np.maximum(per_text(self.letter[data]), 1)
-        inside = lambda flags: np.concatenate(([0], np.cumsum(flags)))
-        letter, upper = inside(self.letter[data] | (data >= 0x80)), inside(self.upper[data])
+        hashes = self.hasher.ranges(self.hasher.prefix(data), starts, ends)
+        bar = (ends - starts == 1) & (data[starts] == 0x7C) if len(starts) else np.zeros(0, bool)
+        letter, upper = running(self.letter[data] | (data >= 0x80)), running(self.upper[data])
         end = self.stop[data[ends - 1]] if len(ends) else np.zeros(0, bool)
         odd = (letter[ends] - letter[starts] + end < ends - starts) | (upper[ends] - upper[starts] > 1)
-        odd = np.bincount(text[odd], minlength=n)
-        shares = np.stack((per_text(self.symbol[data]) / size, per_text(self.upper[data]) / letters, repeated / words, bars / words, odd / words), axis=1)
+        by_word = [np.bincount(text[flags], minlength=n) for flags in (np.ones(len(text), bool), bar, odd)]
+        return np.stack((per_text(self.symbol[data]), np.diff(upper[at]), per_text(self.letter[data]), *by_word)), hashes, text
 
+    def _plain(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, hash and kind of each word and word beginning in lower case."""
         small = self.lower[data]
         starts, ends, text = word_spans(small, at, self.plain)
         prefix = self.hasher.prefix(small)
@@ -94,13 +116,22 @@ class Features:
             of.append(text[longer])
             found.append(self.hasher.ranges(prefix, starts[longer], starts[longer] + size) ^ U64(size))
             kind.append(np.ones(len(longer), np.int8))
-        filled = np.flatnonzero(np.diff(at) > 0)
-        for k in range(shares.shape[1]):
-            of.append(filled)
-            classes = np.minimum(shares[filled, k] * STYLE_CLASSES, STYLE_CLASSES - 1).astype(np.int64)
-            found.append(mix((classes + 1000 * (k + 1)).astype(U64)))
-            kind.append(np.full(len(filled), 2, np.int8))
-        return np.concatenate(of), np.concatenate(found), np.concatenate(kind), shares
+        return np.concatenate(of), np.concatenate(found), np.concatenate(kind)
+
+    def _long(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same of one long text, in pieces cut between words: sums, word hashes, different features, their kinds."""
+        sums, words = np.zeros((6, 1), np.int64), [np.zeros(0, U64)]
+        features = {0: np.zeros(0, U64), 1: np.zeros(0, U64)}
+        for a, b in pieces(data, self.spaced, self.limit):
+            one = np.array([0, b - a])
+            part, hashes, _ = self._tally(data[a:b], one)
+            sums += part
+            words.append(hashes)
+            _, found, kind = self._plain(data[a:b], one)
+            for k, old in features.items():
+                features[k] = np.union1d(old, found[kind == k])
+        kind = np.repeat(np.array([0, 1], np.int8), [len(features[0]), len(features[1])])
+        return sums, np.concatenate(words), np.concatenate((features[0], features[1])), kind
 
     def of_word(self, word: str) -> int:
         data = np.frombuffer(word.encode(), np.uint8)
@@ -148,7 +179,7 @@ def lexicons(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[np.ndarray,
         reader = Features()
         for batch in batches:
             toxic = np.array(batch.column("_toxic").to_pylist(), dtype=np.int64)
-            for first, last, data, at in slices(*flat(batch.column("text"))):
+            for first, last, data, at in slices(*flat(batch.column("text")), limit=TEXT_BYTES):
                 text, feature, kind, _ = reader.read(data, at)
                 word = kind < 2
                 _, once = np.unique(mix(feature[word] + text[word].astype(U64) * U64(GRAM)), return_index=True)
@@ -184,7 +215,7 @@ def votes(docs: DataFrame, words: np.ndarray, beginnings: np.ndarray, keep: tupl
         lists = [Lookup(x, np.ones(len(x))) for x in (insults, words, beginnings)]
         for batch in batches:
             out = np.full((len(names), batch.num_rows), -1, dtype=np.int8)
-            for first, last, data, at in slices(*flat(batch.column("text"))):
+            for first, last, data, at in slices(*flat(batch.column("text")), limit=TEXT_BYTES):
                 text, feature, _, shares = reader.read(data, at)
                 own = out[:, first:last]
                 own[0] = (shares[:, :4] >= STRICT).any(axis=1)
@@ -285,7 +316,7 @@ def train(docs: DataFrame, labels: DataFrame, lexicon_rows: int = LEXICON_ROWS,
         reader = Features()
         for batch in batches:
             found = []
-            for first, last, data, at in slices(*flat(batch.column("text"))):
+            for first, last, data, at in slices(*flat(batch.column("text")), limit=TEXT_BYTES):
                 text, feature, _, _ = reader.read(data, at)
                 _, once = np.unique(mix(feature + text.astype(U64) * U64(GRAM)), return_index=True)
                 once = once[np.argsort(text[once], kind="stable")]
@@ -328,7 +359,7 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
         scorers = {a: (Lookup(f, w), base) for a, (f, w, base) in shared.value.items()}
         for batch in batches:
             chance = {a: np.zeros(batch.num_rows) for a in ("poor", "toxic")}
-            for first, last, data, at in slices(*flat(batch.column("text"))):
+            for first, last, data, at in slices(*flat(batch.column("text")), limit=TEXT_BYTES):
                 text, feature, _, _ = reader.read(data, at)
                 for aspect, (lookup, base) in scorers.items():
                     margin = lookup.sums(text, feature, len(at) - 1) + base

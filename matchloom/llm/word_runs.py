@@ -31,10 +31,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchloom.llm.common import U64, Hasher, flat, slices, spaced_words, store, word_spans
+from matchloom.llm.common import PIECE_BYTES, U64, Hasher, flat, pieces, slices, spaced_words, store, word_spans
 
 TILE_WORDS = 1 << 16
-PIECE_BYTES = 1 << 20
 REPEATS = 4
 LEAST_WORDS = 6
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,25 +43,6 @@ SPACE = 0x20
 # Words
 
 
-def pieces(data: np.ndarray, is_word: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of about ``limit`` bytes that end after a separator, so no word is cut; a longer word has a range of its own."""
-    a = 0
-    while a < len(data):
-        b = min(a + limit, len(data))
-        if b < len(data):
-            gaps = np.flatnonzero(~is_word[data[a:b]])
-            if len(gaps):
-                b = a + int(gaps[-1]) + 1
-            else:
-                while b < len(data):
-                    gaps = np.flatnonzero(~is_word[data[b : b + limit]])
-                    b = b + int(gaps[0]) + 1 if len(gaps) else min(b + limit, len(data))
-                    if len(gaps):
-                        break
-        yield a, b
-        a = b
-
-
 class Reader:
     """Hashes of the words of texts."""
 

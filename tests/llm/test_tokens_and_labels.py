@@ -188,3 +188,22 @@ def test_queries_cover_their_tables(spark):
     for name, query in __spark_entry__.queries().items():
         if name in ("op1_token_counts", "op6_main_text", "op10_quality_rules"):
             assert query(spark, SMALL).count() == (n_pages if name.startswith("op6_") else n_docs)
+
+
+def test_long_texts_are_read_in_pieces_alike():
+    """Features of a text cut between words equal those of the whole, whatever the size of a piece."""
+    text = ("One two IDIOT, | three a1b2 éü  four five six\n" * 40 + "#$% CAPS caps repeated words here repeated words here " * 30).encode()
+    data, at = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    want = weak_labels.Features(limit=1 << 30).read(data, at)
+    for limit in (50, 333, 2000):
+        got = weak_labels.Features(limit=limit).read(data, at)
+        assert np.array_equal(got[3], want[3])
+        for k in (0, 1, 2):
+            assert np.array_equal(np.unique(got[1][got[2] == k]), np.unique(want[1][want[2] == k]))
+
+
+def test_a_very_long_text_is_judged(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame([(1, "calm words of a garden " * 2_800_000), (2, "idiot")], "doc_id long, text string")  # 64 MB
+    got = {r["doc_id"]: r["kept"] for r in weak_labels.judge(docs, labels).collect()}
+    assert set(got) == {1, 2}
