@@ -150,24 +150,27 @@ def op1_token_counts(spark, sf_dir):
 
 OP4_SQL = r"""
 WITH d AS (
-  SELECT doc_id, row_number() OVER () AS r, coalesce(doc_id % 2, 0) AS f,
+  SELECT doc_id, row_number() OVER () AS r,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-p AS (SELECT r, f, w, unnest(generate_series(1, len(w))) AS i FROM d),
+p AS (SELECT r, w, unnest(generate_series(1, len(w))) AS i FROM d),
 g AS (
-  SELECT r, f, i, w[i] AS a1, CASE WHEN i >= 2 THEN w[i - 1] || ' ' || w[i] END AS a2,
+  SELECT r, i, w[i] AS a1, CASE WHEN i >= 2 THEN w[i - 1] || ' ' || w[i] END AS a2,
          CASE WHEN i >= 3 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END AS a3,
          CASE WHEN i >= 2 THEN w[i - 1] END AS b1, CASE WHEN i >= 3 THEN w[i - 2] || ' ' || w[i - 1] END AS b2 FROM p),
-c1 AS (SELECT 1 - f AS f, a1 AS g, count(*) AS c FROM g GROUP BY ALL),
-c2 AS (SELECT 1 - f AS f, a2 AS g, count(*) AS c FROM g WHERE a2 IS NOT NULL GROUP BY ALL),
-c3 AS (SELECT 1 - f AS f, a3 AS g, count(*) AS c FROM g WHERE a3 IS NOT NULL GROUP BY ALL),
-n AS (SELECT k AS f, coalesce((SELECT count(*) FROM p WHERE f = 1 - k), 0) AS c FROM (VALUES (0), (1)) v(k)),
+o1 AS (SELECT r, a1 AS g, count(*) AS c FROM g GROUP BY ALL),
+o2 AS (SELECT r, a2 AS g, count(*) AS c FROM g WHERE a2 IS NOT NULL GROUP BY ALL),
+o3 AS (SELECT r, a3 AS g, count(*) AS c FROM g WHERE a3 IS NOT NULL GROUP BY ALL),
+c1 AS (SELECT r, g, sum(c) OVER (PARTITION BY g) - c AS c FROM o1),
+c2 AS (SELECT r, g, sum(c) OVER (PARTITION BY g) - c AS c FROM o2),
+c3 AS (SELECT r, g, sum(c) OVER (PARTITION BY g) - c AS c FROM o3),
+n AS (SELECT r, sum(len(w)) OVER () - len(w) AS c FROM d),
 s AS (
   SELECT g.r, least(i - 1, 2) AS ctx, x3.c AS t3, y2.c AS u2, x2.c AS t2, y1.c AS u1, x1.c AS t1, n.c AS total
-  FROM g JOIN n ON n.f = g.f
-  LEFT JOIN c1 x1 ON x1.f = g.f AND x1.g = a1 LEFT JOIN c1 y1 ON y1.f = g.f AND y1.g = b1
-  LEFT JOIN c2 x2 ON x2.f = g.f AND x2.g = a2 LEFT JOIN c2 y2 ON y2.f = g.f AND y2.g = b2
-  LEFT JOIN c3 x3 ON x3.f = g.f AND x3.g = a3),
+  FROM g JOIN n ON n.r = g.r
+  LEFT JOIN c1 x1 ON x1.r = g.r AND x1.g = a1 LEFT JOIN c1 y1 ON y1.r = g.r AND y1.g = b1
+  LEFT JOIN c2 x2 ON x2.r = g.r AND x2.g = a2 LEFT JOIN c2 y2 ON y2.r = g.r AND y2.g = b2
+  LEFT JOIN c3 x3 ON x3.r = g.r AND x3.g = a3),
 v AS (
   SELECT r, CASE WHEN t3 > 0 THEN 3 WHEN t2 > 0 THEN 2 WHEN t1 > 0 THEN 1 ELSE 0 END = ctx + 1 AS is_full,
          CASE WHEN t3 > 0 THEN ln(t3) - ln(u2) WHEN t2 > 0 THEN ln(t2) - ln(u1) + (ctx - 1) * ln(0.4)
@@ -181,98 +184,11 @@ FROM d LEFT JOIN t USING (r)
 
 @query("op4_backoff_scores", OP4_SQL)
 def op4_backoff_scores(spark, sf_dir):
-    """Each document's score under the n-gram counts of the other fold."""
-    scores = lm_score.score(table(spark, sf_dir, "documents"))
-    return scores.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log")})
-
-
-@query("backoff_scores_leave_one_out")
-def backoff_scores_leave_one_out(spark, sf_dir):
     """Each document's score under the n-gram counts of all other documents."""
     scores = lm_score.score(table(spark, sf_dir, "documents"), leave_one_out=True)
     return scores.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log")})
 
 
-_URL_ORDERS = ",\n".join(
-    f"""
-c{k} AS (SELECT m, y, (g // 39) % {39**k} AS ctx, g % 39 AS s, sum(n) AS n FROM spread GROUP BY ALL),
-t{k} AS (SELECT m, y, ctx, sum(n) AS total, count(*) AS kinds FROM c{k} GROUP BY ALL),
-"""
-    + (
-        """p0 AS (
-  SELECT e.m, e.y, 0 AS ctx, e.s, (coalesce(c.n, 0) + 1) / CAST(coalesce(t.total, 0) + 39 AS DOUBLE) AS p
-  FROM every e LEFT JOIN c0 c ON c.m = e.m AND c.y = e.y AND c.s = e.s LEFT JOIN t0 t ON t.m = e.m AND t.y = e.y)"""
-        if k == 0
-        else f"""k{k} AS (SELECT DISTINCT m, ctx FROM t{k} WHERE total >= 8),
-p{k} AS (
-  SELECT e.m, e.y, x.ctx, e.s,
-         CASE WHEN t.total >= 8 THEN (coalesce(c.n, 0) + t.kinds * l.p) / CAST(t.total + t.kinds AS DOUBLE) ELSE l.p END AS p
-  FROM every e JOIN k{k} x ON x.m = e.m
-  JOIN p{k - 1} l ON l.m = e.m AND l.y = e.y AND l.s = e.s AND l.ctx = x.ctx % {39 ** (k - 1)}
-  LEFT JOIN c{k} c ON c.m = e.m AND c.y = e.y AND c.s = e.s AND c.ctx = x.ctx
-  LEFT JOIN t{k} t ON t.m = e.m AND t.y = e.y AND t.ctx = x.ctx)"""
-    )
-    + f""",
-w{k} AS (
-  SELECT a.m, a.ctx, a.s, CAST(least(greatest(floor((ln(a.p) - ln(r.p)) * 1e6 + 0.5), -20000000), 20000000) AS BIGINT) AS w
-  FROM p{k} a JOIN p{k} r ON a.y = 1 AND r.y = 0 AND a.m = r.m AND a.ctx = r.ctx AND a.s = r.s)"""
-    for k in range(4)
-)
-
-OP13_SQL = rf"""
-WITH u AS (
-  SELECT page_id, row_number() OVER () AS r, coalesce(url, '') AS raw, strpos(coalesce(url, ''), '://') AS pos FROM pages),
-v AS (SELECT page_id, r, CASE WHEN pos > 0 THEN substr(raw, pos + 3) ELSE raw END AS x, CASE WHEN pos > 0 THEN substr(raw, pos + 3) ELSE '' END AS rest FROM u),
-h AS (
-  SELECT page_id, r, x, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM v),
-rules AS (SELECT * FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) t(verdict, h, p)),
-fit AS (
-  SELECT r, arg_max(verdict, length(rules.h || p)) AS verdict, arg_max(rules.h || p, length(rules.h || p)) AS rule
-  FROM h JOIN rules ON (host = rules.h OR ends_with(host, '.' || rules.h)) AND starts_with(path, p) GROUP BY r),
-d AS (
-  SELECT h.*, fit.verdict, fit.rule, CAST(verdict = 'allow' AS INT) AS y, strpos('0123456789abcdef', substr(md5(x), 1, 1)) % 2 AS half
-  FROM h LEFT JOIN fit USING (r)),
-q AS (SELECT r, y, half, x, unnest(generate_series(1, length(x) + 1)) AS i FROM d WHERE length(x) > 0),
-z AS (
-  SELECT r, y, half, i,
-         CASE WHEN i > length(x) THEN 0 WHEN c BETWEEN 97 AND 122 THEN c - 96 WHEN c BETWEEN 65 AND 90 THEN c - 64 WHEN c BETWEEN 48 AND 57 THEN 27
-              WHEN strpos('/.-_?=&%:#', substr(x, i, 1)) > 0 THEN 27 + strpos('/.-_?=&%:#', substr(x, i, 1)) ELSE 38 END AS s
-  FROM (SELECT *, unicode(substr(x, i, 1)) AS c FROM q)),
-g AS (
-  SELECT r, y, half, CAST(s + 39 * coalesce(lag(s, 1) OVER o, 0) + 1521 * coalesce(lag(s, 2) OVER o, 0) + 59319 * coalesce(lag(s, 3) OVER o, 0) AS BIGINT) AS g
-  FROM z WINDOW o AS (PARTITION BY r ORDER BY i)),
-spread AS (SELECT m, y, g, count(*) AS n FROM g, (VALUES (0), (1), (2)) t(m) WHERE y IS NOT NULL AND m != half GROUP BY ALL),
-every AS (SELECT m, y, s FROM (VALUES (0), (1), (2)) a(m), (VALUES (0), (1)) b(y), range(39) c(s)),
-{_URL_ORDERS},
-f AS (SELECT r, y, g, CASE WHEN y IS NULL THEN 2 ELSE half END AS m FROM g),
-scored AS (
-  SELECT f.r, f.y, CAST(floor(sum(coalesce(w3.w, w2.w, w1.w, w0.w)) / (count(*) * CAST(1000.0 AS DOUBLE))) AS BIGINT) AS score
-  FROM f LEFT JOIN w3 ON w3.m = f.m AND w3.s = f.g % 39 AND w3.ctx = f.g // 39
-  LEFT JOIN w2 ON w2.m = f.m AND w2.s = f.g % 39 AND w2.ctx = (f.g // 39) % 1521
-  LEFT JOIN w1 ON w1.m = f.m AND w1.s = f.g % 39 AND w1.ctx = (f.g // 39) % 39
-  LEFT JOIN w0 ON w0.m = f.m AND w0.s = f.g % 39
-  GROUP BY f.r, f.y),
-n AS (SELECT score, sum(y) AS a, sum(1 - y) AS b FROM scored WHERE y IS NOT NULL GROUP BY score),
-cut AS (
-  SELECT arg_min(score, (err, abs(score), score)) AS least FROM (
-    SELECT greatest(least(0, score), coalesce(lag(score) OVER (ORDER BY score) + 1, least(0, score))) AS score,
-           coalesce(sum(a) OVER o, 0) / CAST(sum(a) OVER () AS DOUBLE)
-                  + (sum(b) OVER () - coalesce(sum(b) OVER o, 0)) / CAST(sum(b) OVER () AS DOUBLE) AS err,
-           sum(a) OVER () AS a_all, sum(b) OVER () AS b_all
-    FROM n WINDOW o AS (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE a_all > 0 AND b_all > 0)
-SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN score < least THEN 'block' ELSE 'allow' END) AS verdict,
-       CASE WHEN rule IS NULL THEN score END AS score
-FROM d LEFT JOIN scored USING (r) CROSS JOIN cut
-"""
-
-
-@query("op13_url_filter", OP13_SQL)
-def op13_url_filter(spark, sf_dir):
-    """Host, path, rule and verdict of each page's url."""
-    return url_filter.judge(table(spark, sf_dir, "pages"))
-
-
 OP12_SQL = """
 WITH bits AS (
   SELECT list(v ORDER BY i) AS crc FROM (
