@@ -6,10 +6,12 @@ paths each page has; the page is then extracted again by the one with most votes
 and a page whose host has no vote, falls back on its own best container.
 
 Known boilerplate is left out at any place: menus, headers and footers of the site, sidebars, notices, adverts,
-forms, scripts, styles and reader comments, told by tag, role or the words in class and id. Words of layout (sidebar,
-widget, share, ...) also stand in the classes of wrappers: such an element is left out only if it is no article and, with
-all others of the same such words that it does not lie in, holds less than half of the page's unlinked text. White space inside a block
-becomes one space; blocks follow in page order.
+forms, scripts, styles and reader comments, told by tag, role or the words in class and id. A class that is such a word
+(comments, ad) leaves its element out, but no article unless it is a comment. A name of several words counts if it
+names a part of boilerplate (ad-banner, comment-list), not if it only touches on it (has-comments, ad-free). Such parts,
+words of layout (sidebar, widget, share, ...), forms and asides also wrap whole pages: these are left out only if they, with
+all others of the same words that they do not lie in, hold less than half of the page's unlinked text. White space inside a block
+becomes one space; blocks follow in page order. The work grows with the page, not with its depth.
 
 Cases: a null or empty page gives an empty text; a null address is a host of its own; broken markup (open tags,
 stray ends, a page cut inside a tag) is read as far as it goes; repeated pages vote as often as they occur; an
@@ -18,8 +20,10 @@ empty table gives an empty result; other columns are never read.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,7 +44,8 @@ INLINE = frozenset(
     "time tt u var label nobr picture".split()
 )
 CONTAINERS = frozenset("body main article section div td center".split())
-DROPPED = frozenset("nav footer aside form menu dialog select button fieldset head".split())
+DROPPED = frozenset("nav footer dialog select button fieldset head".split())
+OFTEN_WRAPPERS = frozenset("aside form menu".split())  # dropped where they hold the minor part of the text
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr main menu nav ol p pre search section table ul".split()
@@ -59,6 +64,12 @@ NOISE = frozenset(
     "ad ads advert adverts advertisement advertisements advertising adsense adslot sponsor sponsored promo promotion comment comments disqus "
     "respond reply replies nav navbar navigation menu breadcrumb breadcrumbs toolbar pagination pager".split()
 )
+COMMENTS = frozenset("comment comments disqus respond reply replies".split())
+PARTS = frozenset(
+    "area bar banner block body bottom box container content count footer form group header holder inner item items left link links list "
+    "menu outer panel right row section slot thread title top trail unit wrap wrapper".split()
+)
+DENIALS = frozenset("has is no not show with without".split())
 LAYOUT = frozenset(
     "sidebar footer masthead cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login "
     "share sharing social related recommended recommendations widget widgets hidden copyright disclaimer alert".split()
@@ -75,6 +86,22 @@ ATTRIBUTE = re.compile(r"(?i)(?<![\w-])(class|id|role|hidden|aria-hidden|style)(
 WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 
+LONGEST_PATH = 2000  # characters; a longer path goes on from its hash
+
+
+def noise_kind(name: str) -> str:
+    """Whether a class or id is a word for boilerplate itself (own), names a part of boilerplate (part), or neither: a name
+    that only touches on it (has-comments, ad-free, advertising-history) does not speak against its element."""
+    words = [w.lower() for w in WORD.findall(name)]
+    if not words or not NOISE.intersection(words):
+        return ""
+    if len(words) == 1:
+        return "own"
+    if words[0] in DENIALS:
+        return ""
+    return "part" if words[-1] in NOISE or words[-1] in PARTS and any(w in NOISE for w in words[:-1]) else ""
+
+
 class Page:
     """Containers and text pieces of one page."""
 
@@ -90,6 +117,8 @@ class Page:
         self.hinted: list[bool] = [False]
         self.pieces: list[tuple[int, str, bool]] = []  # node, text, inside a link
         self.stack = [0]
+        self.open: Counter[str] = Counter()  # tags of the open nodes
+        self.inside: list[bool] = [False]  # within an article or the main part
         self._read(source)
         while len(self.stack) > 1:
             self._pop()
@@ -97,10 +126,13 @@ class Page:
 
     def _pop(self) -> None:
         node = self.stack.pop()
+        self.open[self.tags[node]] -= 1
         self.pieces.append((self.stack[-1], " ", False))
         self.spans[node][1] = len(self.pieces)
 
     def _close_to(self, kinds, stop) -> None:
+        if not any(self.open[kind] for kind in kinds):
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             tag = self.tags[self.stack[depth]]
             if tag in kinds:
@@ -146,31 +178,43 @@ class Page:
         elif tag in OWN_KIND:
             self._close_to(*OWN_KIND[tag])
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
-        words = {w.lower() for w in WORD.findall(f"{given.get('class', '')} {given.get('id', '')}")}
+        names = f"{given.get('class', '')} {given.get('id', '')}".split()
+        words = {w.lower() for name in names for w in WORD.findall(name)}
+        kinds = {kind for name in names if (kind := noise_kind(name))} if words & NOISE else set()
         parent, node = self.stack[-1], len(self.tags)
-        inside = any(self.tags[k] in ("article", "main") for k in self.stack)
-        out = ""
+        inside, out, minor = self.inside[parent], "", set(words & LAYOUT)
         if tag in DROPPED or tag == "header" and not inside:
             out = "tag"
         elif given.get("role", "").lower() in ROLES or given.get("aria-hidden") == "true" or "hidden" in given:
             out = "tag"
         elif re.search(r"display\s*:\s*none", given.get("style", "")):
             out = "tag"
-        elif tag not in ("main", "h1") and words & NOISE:
+        elif "own" in kinds and (tag not in ("main", "h1", "article") or tag == "article" and words & COMMENTS):
             out = "class"
-        elif tag not in ("main", "h1", "article") and (layout := words & LAYOUT or {"header"} & words and not inside and {"header"}):
-            self.layout[len(self.tags)] = frozenset(layout)
+        if tag in OFTEN_WRAPPERS:
+            minor.add(tag)
+        if "part" in kinds:
+            minor |= words & NOISE
+        if "header" in words and not inside:
+            minor.add("header")
+        if minor and not out and tag not in ("main", "h1", "article"):
+            self.layout[node] = frozenset(minor)
         if tag in ("main", "h1"):
-            for k in self.stack:
+            for k in reversed(self.stack):
+                if self.main[k]:
+                    break
                 self.main[k] = True
         classes = ".".join(sorted(set(re.sub(r"\d+", "#", given.get("class", "")).split())))
         self.pieces.append((parent, " ", False))
         self.tags.append(tag)
-        self.paths.append(f"{self.paths[parent]}>{tag}{'.' + classes if classes else ''}")
+        path = f"{self.paths[parent]}>{tag}{'.' + classes if classes else ''}"
+        self.paths.append(path if len(path) <= LONGEST_PATH else "~" + hashlib.md5(path.encode()).hexdigest())
         self.parents.append(parent)
         self.spans.append([len(self.pieces), 0])
         self.out.append(out)
         self.main.append(False)
+        self.inside.append(inside or tag in ("article", "main"))
+        self.open[tag] += 1
         self.hinted.append(bool(words & HINTS))
         self.stack.append(node)
 
@@ -196,20 +240,19 @@ class Page:
             size[self.parents[k]] += size[k]
         marked = {k: words for k, words in self.layout.items() if not out[k] and not self.main[k]}
 
-        def holders(node: int) -> list[int]:
-            """What holds the node and carries the same words."""
-            found, above = [], self.parents[node]
-            while above >= 0:
-                if marked.get(above) == marked[node]:
-                    found.append(above)
-                above = self.parents[above]
-            return found
-
-        above = {k: holders(k) for k in marked}
-        wrappers = {h for found in above.values() for h in found if 2 * size[h] >= size[0]}
+        above: dict[int, int] = {}  # the next node up that carries the same words
+        open_: dict[frozenset[str], list[int]] = {}
+        for k in sorted(marked):
+            same = open_.setdefault(marked[k], [])
+            while same and self.spans[same[-1]][1] <= self.spans[k][0]:
+                same.pop()
+            if same:
+                above[k] = same[-1]
+            same.append(k)
+        wrappers = {h for h in above.values() if 2 * size[h] >= size[0]}
         together: dict[frozenset[str], int] = {}
         for k, words in marked.items():
-            if k not in wrappers and wrappers.issuperset(above[k]):  # the outermost below any wrapper
+            if k not in wrappers and (k not in above or above[k] in wrappers):  # the outermost below any wrapper
                 together[words] = together.get(words, 0) + size[k]
         return {k for k, words in marked.items() if 2 * size[k] < size[0] and 2 * together.get(words, 0) < size[0]}
 
@@ -217,17 +260,23 @@ class Page:
         """The container with the highest score; the page's body if there is none."""
         score = [0.0] * len(self.tags)
         total, linked = [0] * len(self.tags), [0] * len(self.tags)
+        # The nearest container of each node, itself included, and the one that holds that.
+        near = [k if tag in CONTAINERS else -1 for k, tag in enumerate(self.tags)]
+        for k, parent in enumerate(self.parents):
+            if near[k] < 0 and parent >= 0:
+                near[k] = near[parent]
         for node, text, link in self.pieces:
             if out[node] or not (size := len(text.strip())):
                 continue
-            share, k = 1.0, node
-            while k >= 0:
-                total[k] += size
-                linked[k] += size if link else 0
-                if self.tags[k] in CONTAINERS and share:
-                    score[k] += 0 if link else share * size
-                    share = 0.5 if share == 1.0 else 0.0
-                k = self.parents[k]
+            total[node] += size
+            linked[node] += size if link else 0
+            if not link and (first := near[node]) >= 0:
+                score[first] += size
+                if self.parents[first] >= 0 and (second := near[self.parents[first]]) >= 0:
+                    score[second] += size / 2
+        for k in range(len(total) - 1, 0, -1):  # a node follows its parent
+            total[self.parents[k]] += total[k]
+            linked[self.parents[k]] += linked[k]
         whole = next((k for k, tag in enumerate(self.tags) if tag in ("article", "main") and not out[k] and 2 * (total[k] - linked[k]) > total[0] - linked[0]), None)
         if whole is not None:
             inner = [k for k in range(whole + 1, len(self.tags)) if self.tags[k] == "article" and self.spans[k][1] <= self.spans[whole][1] and not out[k]]

@@ -176,3 +176,42 @@ def test_broken_archives(spark, scratch):
 
 def test_no_pages(spark, pages, scratch):
     assert warc.round_trip(pages.limit(0), scratch("warc")).count() == 0
+
+
+OWN_BODY = "<h2>Heading</h2><p>The first paragraph of the article is long enough.</p><p>The second one ends it here.</p>"
+OWN_TEXT = "Heading The first paragraph of the article is long enough. The second one ends it here."
+
+
+@pytest.mark.parametrize(
+    "open_, close",
+    [
+        ("<article class='post comments-open'>", "</article>"), ("<article class='post sponsored'>", "</article>"),
+        ("<div class='entry has-comments'>", "</div>"), ("<div class='ad-free content'>", "</div>"),
+        ("<div id='page' class='nav-closed'>", "</div>"), ("<form id='aspnet'>", "</form>"), ("<form id='aspnet'><h1>Heading</h1>", "</form>"),
+        ("<aside class='story'>", "</aside>"), ("<div class='nav-wrapper'>", "</div>"),
+    ],
+)
+def test_wrappers_that_touch_on_boilerplate_keep_their_text(open_, close):
+    own = OWN_BODY.replace("<h2>Heading</h2>", "") if "<h1>" in open_ else OWN_BODY
+    assert main_text.extract(f"<html><body>{open_}{own}{close}</body></html>", None) == OWN_TEXT
+
+
+def test_sections_about_adverts_stay_and_adverts_go():
+    page = (
+        "<body><article>" + OWN_BODY + "<section id='advertising-history'><p>Adverts have a history.</p></section>"
+        "<div class='ad'>Buy now</div><div class='ad-banner'>Buy more</div><div class='commentList'><p>first!</p></div>"
+        "<ul class='breadcrumb-trail'><li>Home</li></ul><form class='login'>Name</form><aside>Also read</aside>"
+        "<article class='comment'><p>A reader writes.</p></article><div id='comments'><p>Another reader writes at length.</p></div></article></body>"
+    )
+    assert main_text.extract(page, None) == OWN_TEXT + " Adverts have a history."
+
+
+def test_depth_is_no_square():
+    import time
+
+    for opened in ("<div>", "<div class='sidebar'>", "<div class='a b'><article>", "<li><div class='footer sidebar'>", "<ul><li>"):
+        page = "".join(f"{opened}word{k % 7} " for k in range(50_000)) + "</span></p></form>" * 50_000
+        began = time.monotonic()
+        text = main_text.extract(page, None)
+        main_text.vote(page)
+        assert time.monotonic() - began < 60 and text.count("word") > 0
