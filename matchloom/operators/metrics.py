@@ -48,8 +48,8 @@ def batch_mean_loss(df: DataFrame, score: str, label: str, batch_id: str) -> Dat
     return batches.agg(F.avg("_loss").alias("batch_mean_loss"))
 
 
-def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Area under the ROC curve, exact, tied scores counted half; NULL with a single class.
+def roc_auc(df: DataFrame, score: str, label: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Area under the ROC curve, exact, tied scores counted half, of the table or of each group; NULL with a single class.
 
     Rows are reduced to one per distinct score and written by range; the negatives below a score come from the totals of
     the ranges plus a running sum inside its range.
@@ -57,15 +57,16 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     positive = F.col(label).cast("double") == 1.0
     per_score = (
         df.where(F.col(score).isNotNull())
-        .groupBy(F.col(score).alias("_score"))
+        .groupBy(*by, F.col(score).alias("_score"))
         .agg(F.count_if(positive).alias("_pos"), F.count_if(~positive).alias("_neg"))
     )
-    bucketed = stored_ranges(per_score, "_score")
-    spans = bucket_spans(bucketed, [], F.col("_neg")).select("_bucket", "_start")
-    upto = Window.partitionBy("_bucket").orderBy("_score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bucketed = stored_ranges(per_score, *by, "_score")
+    spans = bucket_spans(bucketed, list(by), F.col("_neg")).select(*by, "_bucket", "_start")
+    upto = Window.partitionBy(*by, "_bucket").orderBy("_score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     below = F.col("_start") + F.sum("_neg").over(upto) - F.col("_neg")
-    ranked = bucketed.join(F.broadcast(spans), "_bucket").withColumn("_below", below.cast("double"))
-    return ranked.agg(
+    spans = spans if by else F.broadcast(spans)  # without groups a row a range
+    ranked = bucketed.join(spans, [*by, "_bucket"]).withColumn("_below", below.cast("double"))
+    return ranked.groupBy(*by).agg(
         F.try_divide(
             F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2)),
             F.sum("_pos").cast("double") * F.sum("_neg").cast("double"),
@@ -73,6 +74,19 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
+def evaluate_groups(df: DataFrame, by: list[str], label: str, prediction: str, score: str) -> DataFrame:
+    """All metrics of each group as rows (by, metric, value), in one pass and one for the areas; ``df`` is a stored table."""
+    single = {
+        "accuracy": F.avg(hit(F.col(prediction), F.col(label))),
+        "bce": F.avg(bce(F.col(score), F.col(label))),
+        "mse": F.avg(squared_error(F.col(score), F.col(label))),
+    }
+    wide = df.groupBy(*by).agg(*[v.alias(m) for m, v in single.items()])
+    tall = wide.unpivot(by, list(single), "metric", "value")
+    areas = roc_auc(df, score, label, tuple(by))
+    return tall.unionByName(areas.select(*by, F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value")))
+
+
 def evaluate(df: DataFrame, name: str, label: str, prediction: str, score: str | None = None) -> DataFrame:
     """Rows (model, metric, value); the probability metrics only where a probability exists."""
     single = {"accuracy": F.avg(hit(F.col(prediction), F.col(label)))}

@@ -14,6 +14,9 @@ from matchloom.operators.ordered import digest, rank_cuts
 from matchloom.session import held
 
 
+FEW_CLASSES = 100
+
+
 def split_exact(df: DataFrame, val: float, test: float, seed: int, key: list[str], unit: str = "row") -> DataFrame:
     """Add ``part`` (train, val, test) with exact sizes int(val * n) and int(test * n).
 
@@ -92,11 +95,19 @@ def repeated_stratified(df: DataFrame, label: str, test_size: float, seeds: list
 
 
 def parts_of(df: DataFrame, bounds: DataFrame, label: str, seed: int, key: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows of one seed, from the bounds of ``repeated_stratified``."""
+    """Training and test rows of one seed, from the stored bounds of ``repeated_stratified`` (a row a class and seed)."""
     own = bounds.where(F.col("seed") == seed).select(label, F.col("bound").alias("_bound"))
-    placed = _attach(df.dropna(subset=[label]), own, label).withColumn("_train", digest(seed, key) <= F.col("_bound"))
+    few = own.limit(FEW_CLASSES + 1).collect()
+    if len(few) <= FEW_CLASSES:  # no join needed
+        bound = F.lit(None).cast("string")
+        for row in few:
+            bound = F.when(F.col(label) == row[label], F.lit(row["_bound"])).otherwise(bound)
+        placed = df.dropna(subset=[label]).withColumn("_bound", bound)
+    else:
+        placed = _attach(df.dropna(subset=[label]), own, label)
+    in_train = F.coalesce(digest(seed, key) <= F.col("_bound"), F.lit(False))
     names = [F.col(f"`{c}`") for c in df.columns]
-    return placed.where("_train").select(*names), placed.where(F.coalesce(~F.col("_train"), F.lit(True))).select(*names)
+    return placed.where(in_train).select(*names), placed.where(~in_train).select(*names)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

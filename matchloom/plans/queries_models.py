@@ -371,15 +371,15 @@ per_run AS (
 tall AS (UNPIVOT per_run ON accuracy, bce, mse, roc_auc INTO NAME metric VALUE value),
 known AS (SELECT model, metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM tall GROUP BY model, metric)
 SELECT model, metric, CAST(25 AS BIGINT) AS finished, TRUE AS mean_in_range, known.mean AS dummy_mean, known.std AS dummy_std
-FROM (SELECT unnest(['Dummy (Most Frequent)', 'Dummy (Random)', 'Logistic Regression', 'Random Forest', 'Neural Network']) AS model),
-     (SELECT unnest(['accuracy', 'roc_auc', 'bce', 'mse']) AS metric) LEFT JOIN known USING (model, metric)"""
+FROM (SELECT * FROM (SELECT unnest(['Dummy (Most Frequent)', 'Dummy (Random)', 'Logistic Regression', 'Random Forest', 'Neural Network']) AS model),
+                    (SELECT unnest(['accuracy', 'roc_auc', 'bce', 'mse']) AS metric)) every LEFT JOIN known USING (model, metric)"""
 
 
 @query("model_comparison", _DUMMY_MEANS)
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per model and metric: finished runs, whether the mean can be one, and the values of the dummies, which need no training."""
     rows = _comparison(spark, sf_dir)
-    means = rounded(aggregates.average_metrics(rows.select("run", "model", "metric", "value")))
+    means = rounded(aggregates.average_metrics(rows))
     finished = rows.groupBy(F.col("model").alias("_model"), F.col("metric").alias("_metric")).agg(F.count_distinct("run").alias("finished"))
     bounded = F.col("metric") != "bce"
     fine = (F.col("mean") >= 0) & F.when(bounded, F.col("mean") <= 1).otherwise(True)
@@ -393,7 +393,7 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("model_comparison_full")
 def model_comparison_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Means and deviations of all five models over the 25 repeated splits."""
-    return aggregates.average_metrics(_comparison(spark, sf_dir).select("run", "model", "metric", "value"))
+    return aggregates.average_metrics(_comparison(spark, sf_dir))
 
 
 @query("model_roundtrip", _TEST_ROWS + "SELECT match_id, time_s, CAST(0 AS DOUBLE) AS difference FROM test")
