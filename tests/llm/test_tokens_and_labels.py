@@ -167,7 +167,7 @@ def test_every_query_is_registered():
     assert names["pipeline"] is corpus_pipeline.run
 
 
-@pytest.mark.parametrize("name", ["op2_warc_archives", "op3_decontaminate", "op4_backoff_scores", "op5_mix_sources"])
+@pytest.mark.parametrize("name", ["op2_warc_archives", "op3_decontaminate", "op4_backoff_scores", "op5_mix_sources", "op12_conversation_trie", "op13_url_filter"])
 def test_sql_says_the_same(spark, name):
     import glob
     import os
