@@ -102,6 +102,39 @@ def test_rounds_continue_from_the_last_weights(spark, planted, tmp_path):
     assert best == pytest.approx(min(r["val_loss"] for r in log), rel=0.02)
 
 
+def test_rounds_go_on_after_the_last_stored_one(spark, planted, tmp_path, monkeypatch):
+    placed = splits.split_exact(planted, 0.2, 0.0, 1, models.KEY)
+    train, val = (placed.where(F.col("part") == p).drop("part") for p in ("train", "val"))
+    how = {"hidden": 1, "width": 3, "k": 2, "patience": 2, "min_gain": 0.0}
+    whole_model, whole = models.train_rounds(train, val, epochs=4, path=str(tmp_path / "whole"), **how)
+    models.train_rounds(train, val, epochs=2, path=str(tmp_path / "cut"), **how)
+    judged, real = [], models.losses_and_accuracies
+
+    def counted(*args, **more):
+        judged.append(1)
+        return real(*args, **more)
+
+    monkeypatch.setattr(models, "losses_and_accuracies", counted)
+    model, log = models.train_rounds(train, val, epochs=4, path=str(tmp_path / "cut"), **how)
+    assert len(judged) == 2  # rounds 3 and 4, one evaluation each
+    assert [r["epoch"] for r in log] == [r["epoch"] for r in whole]
+    for a, b in zip(log, whole):
+        assert all(a[c] == pytest.approx(b[c], rel=1e-6) for c in ("train_loss", "train_acc", "val_loss", "val_acc"))
+    assert np.allclose(model.weights.toArray(), whole_model.weights.toArray(), rtol=1e-5)
+    again, same = models.train_rounds(train, val, epochs=2, path=str(tmp_path / "cut"), **how)
+    assert len(judged) == 2 and [r["epoch"] for r in same] == [1, 2]  # all found, nothing trained
+    assert models.loss_and_accuracy(again, val)[0] == pytest.approx(min(r["val_loss"] for r in same), rel=1e-6)
+
+
+def test_parts_are_judged_in_one_pass(spark, planted):
+    placed = splits.split_exact(planted, 0.2, 0.0, 1, models.KEY)
+    model = models.fit_logreg(planted, max_iter=3)
+    found = models.losses_and_accuracies(model, placed)
+    for part in ("train", "val"):
+        assert found[part] == pytest.approx(models.loss_and_accuracy(model, placed.where(F.col("part") == part)))
+    assert models.loss_and_accuracy(model, placed.where("false")) == (None, None)
+
+
 # networks by mini-batches, concurrent jobs
 
 
@@ -169,6 +202,29 @@ def test_many_shards_learn(spark, two_parts):
     assert measured == pytest.approx(min(r[3] for r in log), rel=0.02)
 
 
+@pytest.mark.parametrize("patience", [50, 1])
+def test_epochs_go_on_after_the_last_stored_one(spark, two_parts, tmp_path, monkeypatch, patience):
+    """A run cut after two epochs and begun again gives what an unbroken one gives, also where it stops early."""
+    table = nets.new_shards(spark, two_parts, models.KEY, models.LABEL, 1, shard_rows=100)
+    how = {"hidden": 1, "width": 4, "rate": 0.05, "seed": 1, "patience": patience, "min_gain": 0.05}
+    want_weights, want_log, want_loss = nets.fit(table, epochs=6, path=str(tmp_path / "whole"), **how)
+    nets.fit(table, epochs=2, path=str(tmp_path / "cut"), **how)
+    trained, real = [], nets._epoch_job
+
+    def counted(table, like, shared, rate, seed, k, batch, train):
+        trained.extend([k] if train else [])
+        return real(table, like, shared, rate, seed, k, batch, train)
+
+    monkeypatch.setattr(nets, "_epoch_job", counted)
+    weights, log, loss = nets.fit(table, epochs=6, path=str(tmp_path / "cut"), **how)
+    assert min(trained) == 3
+    assert np.allclose(log, want_log, rtol=1e-4) and loss == pytest.approx(want_loss, rel=1e-4)
+    assert all(np.allclose(a, b, atol=1e-4) for a, b in zip(weights, want_weights))
+    trained.clear()
+    nets.fit(table, epochs=6, path=str(tmp_path / "cut"), **how)
+    assert all(k > len(jobs.finished(spark, str(tmp_path / "cut"), nets.EPOCH).collect()) for k in trained)
+
+
 def test_grid_is_ranked_and_resumed(spark, two_parts, tmp_path):
     grid = models.parameter_grid(width=[3, 4], hidden=[1, 2], step=[0.05])
     path = str(tmp_path / "grid")
