@@ -9,7 +9,10 @@ medians and spreads; classical moments) concentration steps keep the ``SHARE`` o
 last estimate, and the start with the smaller determinant wins. A step is one aggregate: documents fall into
 narrow logarithmic classes of their distance, each class sums its moments, and the classes up to the share
 give the next estimate. So a group is never gathered in one task, however large, and nothing is sampled.
-Groups of fewer than ``MIN_GROUP`` documents take the estimate over all documents.
+
+A group's estimate is drawn towards that over all documents, which weighs as much as ``PRIOR`` documents of the group:
+mean and scatter are weighted means of the own and the common ones. So small groups rest mostly on the common estimate,
+large ones on their own, and no size switches from one to the other.
 
 Cases: a null or empty text has no words and fails the base rule; null languages or sources form groups of
 their own; ties fall into one class; repeated rows count as often as they occur; an empty table gives an
@@ -38,7 +41,6 @@ REPEAT_PERCENT = 20
 
 SHARE = 0.75
 STEPS = 6
-MIN_GROUP = 50
 TAIL = 1e-5  # share of clean documents that may lie beyond the cut if the vectors were normal
 CLASSES = 32  # distance classes for each factor e
 
@@ -52,8 +54,10 @@ FEATURES = {
     "root_repeats": ("sqrt(n_repeat_words / n_words)", 0.15),
 }
 P = len(FEATURES)
+LEAST = 0.01  # least variance in any direction, with the smallest deviations above as units
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 POOLED = "*"
+PRIOR = P * (P + 3) // 2  # as many documents as an estimate has numbers (location and scatter)
 
 
 def text_counts(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
@@ -130,8 +134,10 @@ ESTIMATE = "_key string, _start int, _n long, _mean array<double>, _inverse arra
 
 
 def _estimate(key: str, start: int, n: int, mean: np.ndarray, scatter: np.ndarray) -> tuple:
-    floors = np.array([floor for _, floor in FEATURES.values()]) ** 2
-    scatter = scatter + np.diag(np.maximum(floors - np.diag(scatter), 0))
+    floors = np.array([floor for _, floor in FEATURES.values()])
+    scatter = scatter + np.diag(np.maximum(floors**2 - np.diag(scatter), 0))
+    values, axes = np.linalg.eigh(scatter / np.outer(floors, floors))  # few documents span too few directions
+    scatter = (axes * np.maximum(values, LEAST)) @ axes.T * np.outer(floors, floors)
     return key, start, int(n), mean.tolist(), np.linalg.inv(scatter).ravel().tolist(), float(np.linalg.slogdet(scatter)[1])
 
 
@@ -211,12 +217,32 @@ def _concentrated(vectors: DataFrame, estimates: DataFrame, share: float) -> Dat
     return classes(own).unionByName(classes(pooled)).groupBy("_key", "_start").applyInPandas(step, ESTIMATE)
 
 
+def _drawn(own: DataFrame, pooled: DataFrame, prior: float) -> DataFrame:
+    """_key, _mean, _inverse: each group's estimate drawn towards the common one, a row with both."""
+
+    def blend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            means, inverses = [], []
+            for row in rows.itertuples(index=False):
+                weight = row.n / (row.n + prior)
+                means.append(weight * np.asarray(row.mean) + (1 - weight) * np.asarray(row.all_mean))
+                a, b = (np.linalg.inv(np.reshape(m, (P, P))) for m in (row.inverse, row.all_inverse))
+                inverses.append(np.linalg.inv(weight * a + (1 - weight) * b).ravel())
+            yield pd.DataFrame({"_key": rows["_key"], "_mean": means, "_inverse": inverses})
+
+    both = own.select("_key", "e.*").join(F.broadcast(pooled), F.lit(True)).select(  # one row
+        "_key", F.col("_n").alias("n"), F.col("_mean").alias("mean"), F.col("_inverse").alias("inverse"),
+        F.col("_all_mean").alias("all_mean"), F.col("_all_inverse").alias("all_inverse"),
+    )
+    return both.mapInPandas(blend, "_key string, _mean array<double>, _inverse array<double>")
+
+
 def outliers(
     counts: DataFrame,
     group: tuple[str, ...] = ("lang", "source"),
     share: float = SHARE,
     steps: int = STEPS,
-    min_group: int = MIN_GROUP,
+    prior: float = PRIOR,
     tail: float = TAIL,
 ) -> DataFrame:
     """``counts`` with base_failed, distance (squared, scaled for the share; null without words) and kept.
@@ -233,8 +259,9 @@ def outliers(
     for _ in range(steps):
         estimates = store(_concentrated(vectors, estimates, share), "estimates")
     best = estimates.groupBy("_key").agg(F.min(F.struct("_logdet", "_start", "_n", "_mean", "_inverse")).alias("e"))
-    own = best.where((F.col("_key") != POOLED) & (F.col("e._n") >= min_group)).select("_key", F.col("e._mean").alias("_mean"), F.col("e._inverse").alias("_inverse"))
+    best = store(best, "estimates")
     pooled = best.where(F.col("_key") == POOLED).select(F.col("e._mean").alias("_all_mean"), F.col("e._inverse").alias("_all_inverse"))
+    own = _drawn(best.where(F.col("_key") != POOLED), pooled, prior)
     scale = chi2_cdf(chi2_quantile(share, P), P + 2) / share
     rows = (
         counts.withColumn("_key", key)

@@ -9,7 +9,7 @@ import pytest
 from matchloom.llm import decontaminate, jaccard_join, lm_score, mixing, quality_rules, suffix_dedup
 from matchloom.llm.common import table
 
-from .conftest import BENCH, LOWER, ODD, PLAIN, SMALL, SPACED, whole_table
+from .conftest import BENCH, LOWER, ODD, PLAIN, SMALL, SPACED, TABLES, whole_table
 
 KEY = lambda r: (r[0] is None, r[0] or 0, str(r))
 
@@ -323,6 +323,99 @@ def test_robust_estimate_withstands_a_quarter_of_junk(spark):
     assert not any(k >= 1000 for k in kept) and len(kept) >= 595
 
 
+def plain_outliers(table, share=0.75, steps=6, prior=20, tail=1e-5):
+    """Distances and verdicts by (language, source) from arrays: the same starts and concentration steps without Spark."""
+    names = list(quality_rules.FEATURES)
+    floors = np.array([quality_rules.FEATURES[c][1] for c in names])
+    p = len(names)
+
+    def vector(r):
+        words, chars, symbols, lines, repeats = (r[c] for c in quality_rules.COUNTS)
+        return [np.log(1 + words), np.log(chars / words), np.sqrt(symbols / chars), np.log(1 + lines), np.sqrt(repeats / words)]
+
+    def failed(r):
+        return r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"]
+
+    def floored(scatter):
+        scatter = scatter.copy()
+        scatter[np.diag_indices(p)] = np.maximum(np.diag(scatter), floors**2)
+        values, axes = np.linalg.eigh(scatter / np.outer(floors, floors))
+        return axes @ np.diag(np.maximum(values, quality_rules.LEAST)) @ axes.T * np.outer(floors, floors)
+
+    def distances(x, mean, scatter):
+        return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(scatter), x - mean)
+
+    def determinant(x):
+        middle = lambda v: np.sort(v)[-(-len(v) // 2) - 1]
+        cells = np.floor(x * 64) / 64 + 1 / 128
+        center = np.array([middle(c) for c in cells.T])
+        spread = np.array([1.4826 * middle(np.abs(c - m)) for c, m in zip(cells.T, center)])
+        found = []
+        for mean, scatter in ((center, floored(np.diag(spread**2))), (x.mean(0), floored(np.cov(x.T, bias=True).reshape(p, p)))):
+            for _ in range(steps):
+                cell = np.floor(np.log(distances(x, mean, scatter) + 1e-6) * quality_rules.CLASSES)
+                last = np.sort(cell)[int(np.ceil(share * len(x))) - 1]
+                near = x[cell <= last]
+                mean, scatter = near.mean(0), floored(np.cov(near.T, bias=True).reshape(p, p))
+            found.append((np.linalg.slogdet(scatter)[1], mean, scatter))
+        return min(found, key=lambda f: f[0])[1:]
+
+    fit = [r for r in table if not failed(r)]
+    common = determinant(np.array([vector(r) for r in fit]))
+    scale = quality_rules.chi2_cdf(quality_rules.chi2_quantile(share, p), p + 2) / share
+    cut = quality_rules.chi2_quantile(1 - tail, p)
+    groups, found = {}, {}
+    for r in table:
+        groups.setdefault((r["lang"], r["source"]), []).append(r)
+    for members in groups.values():
+        own = np.array([vector(r) for r in members if not failed(r)]).reshape(-1, p)
+        mean, scatter = common
+        if len(own):
+            w = len(own) / (len(own) + prior)
+            mean, scatter = (w * a + (1 - w) * b for a, b in zip(determinant(own), common))
+        for r in members:
+            d = float(distances(np.array([vector(r)]), mean, scatter)[0] * scale) if r["n_words"] else None
+            found[r["doc_id"]] = (d, not failed(r) and (d or 0.0) <= cut)
+    return found
+
+
+def counted_groups(sizes):
+    """Rows of counts in groups of their own means, a tenth of each far off."""
+    out, rng = [], np.random.default_rng(11)
+    for g, size in enumerate(sizes):
+        for k in range(size):
+            n = int(rng.integers(60 + 40 * g, 500 + 90 * g))
+            chars, symbols = int(n * (4 + g % 3) + rng.integers(0, n)), int(rng.integers(0, 3))
+            if k % 10 == 9:
+                symbols = int(chars * rng.uniform(0.1, 0.5))
+            out.append((len(out), ("en", "de", None)[g % 3], f"s{g}" if g else None, n, chars, symbols, int(rng.integers(0, 4)), int(rng.integers(0, n // 10))))
+    out += [(len(out), "en", "lone", 0, 0, 0, 0, 0), (len(out) + 1, "de", "short", 4, 20, 0, 0, 0)]
+    return out
+
+
+@pytest.mark.parametrize("sizes", [(900, 300, 120, 49, 50, 51, 12, 3, 1), (7, 5, 2, 1)])
+def test_verdicts_equal_a_plain_estimate(spark, sizes):
+    """Groups of all sizes, above and below the weight of the common estimate."""
+    schema = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in quality_rules.COUNTS)
+    df = spark.createDataFrame(counted_groups(sizes), schema)
+    want = plain_outliers([r.asDict() for r in df.collect()])
+    got = {r["doc_id"]: (r["distance"], r["kept"]) for r in quality_rules.outliers(df).collect()}
+    assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
+    for k, (d, _) in want.items():
+        assert (d is None) == (got[k][0] is None) and (d is None or got[k][0] == pytest.approx(d, rel=1e-3, abs=1e-6)), k
+    if len(sizes) > 4:
+        assert not all(v[1] for k, v in want.items() if k % 10 == 9) and sum(v[1] for v in want.values()) > 0.8 * sum(sizes)
+
+
+def test_verdicts_of_given_tables_equal_a_plain_estimate(spark):
+    counts = quality_rules.text_counts(table(spark, TABLES, "documents"))
+    want = plain_outliers([r.asDict() for r in counts.collect()])
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.outliers(counts).collect()}
+    assert got == {k: v[1] for k, v in want.items()}
+    more = {r["doc_id"]: r["kept"] for r in quality_rules.outliers(counts, steps=12).collect()}
+    assert sum(got[k] != more[k] for k in got) <= 0.002 * len(got)  # the steps have settled
+
+
 def test_chi2():
     assert quality_rules.chi2_quantile(0.95, 5) == pytest.approx(11.0705, abs=1e-3)
     assert quality_rules.chi2_cdf(6.6257, 5) == pytest.approx(0.75, abs=1e-4)
