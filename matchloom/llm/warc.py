@@ -107,33 +107,49 @@ def _dictionary(records: list[bytes]):
         return None
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    """One archive per partition, no larger than about ``ARCHIVE_BYTES`` of payload for even partitions."""
+def write_archives(records: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Archives of about ``archive_bytes`` of records (a longer record ends its archive), one task's after another.
 
-    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A task begins a new archive, with a dictionary of its own, where the last one is full; so an archive is bounded
+    whatever the size of the partitions, and nothing is shuffled for it.
+    """
+
+    def archive(rows: Iterator[bytes]) -> Iterator[bytes]:
         import zstandard
 
-        rows = (_record(*r.values()) for batch in batches for r in batch.to_pylist())
         head, size = [], 0
         for record in itertools.islice(rows, SAMPLE_ROWS):
             head.append(record)
             size += len(record)
-            if size >= SAMPLE_BYTES:
+            if size >= min(SAMPLE_BYTES, archive_bytes):
                 break
         if not head:
             return
         dictionary = _dictionary(head)
         if dictionary is not None:
             raw = zstandard.ZstdCompressor().compress(dictionary.as_bytes())
-            yield pa.RecordBatch.from_arrays([pa.array([struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw])], names=["frame"])
+            yield struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw
         packer = zstandard.ZstdCompressor(level=3, dict_data=dictionary)
-        rows = itertools.chain(head, rows)
-        while part := list(itertools.islice(rows, 500)):
-            yield pa.RecordBatch.from_arrays([pa.array([packer.compress(r) for r in part], pa.binary())], names=["frame"])
+        yield from map(packer.compress, head)
+        while size < archive_bytes and (record := next(rows, None)) is not None:
+            size += len(record)
+            yield packer.compress(record)
+
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (_record(*r.values()) for batch in batches for r in batch.to_pylist())
+        for nth in itertools.count():
+            own, place = archive(rows), 0
+            while part := list(itertools.islice(own, 500)):
+                columns = [pa.array([nth] * len(part), pa.int64()), pa.array(range(place, place + len(part)), pa.int64()), pa.array(part, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["archive", "place", "frame"])
+                place += len(part)
+            if place == 0:
+                return
 
     order = ("page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to")
-    framed = records.select(*order).mapInArrow(frames, "frame binary")
-    framed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME).text(path)
+    framed = records.select(*order).mapInArrow(frames, "archive long, place long, frame binary")
+    placed = framed.sortWithinPartitions("archive", "place")  # the order the sink asks for, frames in theirs
+    placed.select(F.col("frame").cast("string").alias("value"), "archive").write.partitionBy("archive").option("lineSep", EMPTY_FRAME).text(path)
 
 
 def _frames(data: bytes) -> Iterator[tuple[int, bytes | None, str | None]]:

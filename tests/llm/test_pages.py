@@ -154,6 +154,20 @@ def test_archives_are_plain_zstandard_with_a_dictionary_in_front(spark, pages, s
     assert first.startswith(b"WARC/1.1\r\n") and first == frames[0][1]
 
 
+def test_archives_are_bounded_by_bytes(spark, pages, scratch):
+    """One task writes several archives, each whole by itself; only a record beyond the bound makes a larger one."""
+    path, bound = scratch("warc"), 5_000
+    warc.write_archives(warc.with_revisits(pages).coalesce(1), path, bound)
+    files = [bytes(r["content"]) for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0").collect()]
+    sizes = [[len(content) for _, content, error in warc._frames(f) if error is None] for f in files]
+    assert len(files) > 2 and sum(map(len, sizes)) == pages.count()
+    assert all(sum(own[:-1]) < bound for own in sizes) and any(sum(own) >= bound for own in sizes)
+    whole = scratch("warc-whole")
+    warc.write_archives(warc.with_revisits(pages), whole)
+    got, want = (warc.read_archives(spark, p).drop("archive", "frame_offset") for p in (path, whole))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_broken_archives(spark, scratch):
     good = warc._record(7, "u", b"abc", 3, hashlib.sha1(b"abc").hexdigest(), "response", None)
     assert warc._parse(good)["payload"] == b"abc"
