@@ -21,6 +21,7 @@ U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 GRAM = 0xD6E8FEB86659FD93
 SLICE_BYTES = 2 << 20
+WORK_BYTES = 256 << 10  # the same where each byte needs many bytes to work with
 PIECE_BYTES = 1 << 20
 
 
@@ -63,7 +64,7 @@ class Hasher:
 
     def _powers(self, n: int) -> None:
         if len(self.up) < n:
-            n = max(n, SLICE_BYTES + 1)
+            n = max(n, min(2 * len(self.up), SLICE_BYTES + 1))
             self.up = np.cumprod(np.concatenate(([U64(1)], np.full(n - 1, self.base, dtype=U64))))
             self.down = np.cumprod(np.concatenate(([U64(1)], np.full(n - 1, self.inverse, dtype=U64))))
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchloom.llm.common import U64, Hasher, flat, grams, lower_table, mix, slices, spaced_words, store, word_spans
+from matchloom.llm.common import U64, WORK_BYTES, Hasher, flat, grams, lower_table, mix, slices, spaced_words, store, word_spans
 
 WORDS = 3
 PERCENT = 90
@@ -90,9 +90,9 @@ def sketch(docs: DataFrame, text: str = "text", words: int = WORDS) -> np.ndarra
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts, any_row = Shingler(words), np.zeros(1 << SKETCH_BITS, dtype=np.int64), False
         for batch in batches:
-            for _, _, data, at in slices(*flat(batch.column("text"))):
+            for _, _, data, at in slices(*flat(batch.column("text")), limit=WORK_BYTES):
                 _, found = shingler.shingles(data, at)
-                counts += np.bincount((found >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
+                np.add.at(counts, (found >> U64(64 - SKETCH_BITS)).astype(np.int64), 1)
                 any_row = True
         for k in range(0, len(counts), SKETCH_CHUNK) if any_row else ():
             part = counts[k : k + SKETCH_CHUNK].tobytes()
@@ -129,7 +129,7 @@ def nodes(docs: DataFrame, text: str = "text", words: int = WORDS, percent: int
         shingler, counts = Shingler(words), shared.value
         for batch in batches:
             sizes, digests, signatures, firsts, offsets = [], [], [], [], [0]
-            for _, _, data, at in slices(*flat(batch.column("text"))):
+            for _, _, data, at in slices(*flat(batch.column("text")), limit=WORK_BYTES):
                 found, edge = shingler.sets(data, at)
                 size = np.diff(edge)
                 sizes.append(size)
@@ -287,7 +287,7 @@ def links(docs: DataFrame, found: DataFrame, text: str, words: int, percent: int
         data, at = flat(group.column("text"))
         node = group.column("node").to_numpy()
         shingler, sets = Shingler(words), [None] * len(node)
-        for first, _, part, offsets in slices(data, at):
+        for first, _, part, offsets in slices(data, at, WORK_BYTES):
             hashes, edge = shingler.sets(part, offsets)
             for k in range(len(offsets) - 1):
                 sets[first + k] = hashes[edge[k] : edge[k + 1]]

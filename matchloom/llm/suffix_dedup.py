@@ -37,12 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchloom.llm.common import MESSAGE, U64, Hasher, as_table, block_count, by_shard, flat, message, pack, slices, text_bytes, unpack
+from matchloom.llm.common import MESSAGE, U64, WORK_BYTES, Hasher, as_table, block_count, by_shard, flat, message, pack, slices, text_bytes, unpack
 
 LENGTH = 100
 LEADER = 50
 BLOCK_BYTES = 8 << 20
 HOT = 50_000
+CONTEXT_ROWS = 4096  # leaders whose places are worked out at once
 PAD = 0xFF  # occurs in no UTF-8 text
 NO_ID = np.iinfo(np.int64).max
 
@@ -61,7 +62,7 @@ class Block:
     def _find(self) -> None:
         place, gram, before, after = [], [], [], []
         hasher, base, many = Hasher(), 0, self.length - self.leader + 1
-        for _, _, data, at in slices(self.data, self.at):
+        for _, _, data, at in slices(self.data, self.at, WORK_BYTES):
             if len(data) >= self.length:
                 got = self._leaders(data, at, hasher, many)
                 for to, part in zip((place, gram, before, after), got):
@@ -106,14 +107,16 @@ class Block:
     def context(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes to the left (backwards) and to the right of the leaders, padded where the document ends."""
         span = self.length - self.leader
-        place, doc = self.place[which], self.doc[which]
         step = np.arange(span)
-        left, right = place[:, None] - 1 - step, place[:, None] + self.leader + step
-        out = []
-        for at, inside in ((left, left >= self.at[doc][:, None]), (right, right < self.at[doc + 1][:, None])):
-            got = self.data[np.clip(at, 0, len(self.data) - 1)]
-            got[~inside] = PAD
-            out.append(got)
+        out = np.empty((2, len(which), span), dtype=np.uint8)
+        for k in range(0, len(which), CONTEXT_ROWS):
+            some = which[k : k + CONTEXT_ROWS]
+            place, doc = self.place[some], self.doc[some]
+            left, right = place[:, None] - 1 - step, place[:, None] + self.leader + step
+            for to, at, inside in zip(out, (left, right), (left >= self.at[doc][:, None], right < self.at[doc + 1][:, None])):
+                got = self.data[np.clip(at, 0, len(self.data) - 1)]
+                got[~inside] = PAD
+                to[k : k + CONTEXT_ROWS] = got
         return out[0], out[1]
 
     def open(self, which: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ toxicity, whose accuracy nothing can tell, and little is rejected; an empty tabl
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -204,17 +204,20 @@ def lexicons(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[np.ndarray,
     return pick(0), pick(1)
 
 
-def votes(docs: DataFrame, words: np.ndarray, beginnings: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns of ``keep`` and the vote (1 bad, 0 good, null none) of each labeller that reads the text."""
+def votes(docs: DataFrame, words: np.ndarray, beginnings: np.ndarray, keep: tuple[str, ...] = ("doc_id",), features: bool = False) -> DataFrame:
+    """The columns of ``keep`` and the vote (1 bad, 0 good, null none) of each labeller that reads the text; if asked for,
+    the different features of the text from the same reading."""
     names = [f"poor_{x}" for x in POOR[:-1]] + [f"toxic_{x}" for x in TOXIC[:-1]]
     schema = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(x, T.ByteType()) for x in names)])
+    if features:
+        schema.add("features", T.BinaryType())
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Features()
         insults = np.array([reader.of_word(w) for w in INSULTS], dtype=U64)
         lists = [Lookup(x, np.ones(len(x))) for x in (insults, words, beginnings)]
         for batch in batches:
-            out = np.full((len(names), batch.num_rows), -1, dtype=np.int8)
+            out, found = np.full((len(names), batch.num_rows), -1, dtype=np.int8), []
             for first, last, data, at in slices(*flat(batch.column("text")), limit=TEXT_BYTES):
                 text, feature, _, shares = reader.read(data, at)
                 own = out[:, first:last]
@@ -225,7 +228,13 @@ def votes(docs: DataFrame, words: np.ndarray, beginnings: np.ndarray, keep: tupl
                 for k, lookup in enumerate(lists):
                     if len(lookup.features):
                         own[len(POOR) - 1 + k] = lookup.sums(text, feature, len(at) - 1) > 0
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x, mask=x < 0) for x in out)], names=[*keep, *names])
+                if features:
+                    _, once = np.unique(mix(feature + text.astype(U64) * U64(GRAM)), return_index=True)
+                    once = once[np.argsort(text[once], kind="stable")]
+                    edge = np.searchsorted(text[once], np.arange(last - first + 1))
+                    found += [feature[once[a:b]].tobytes() for a, b in zip(edge, edge[1:])]
+            columns = [*(batch.column(c) for c in keep), *(pa.array(x, mask=x < 0) for x in out), *([pa.array(found, pa.binary())] if features else [])]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(vote, schema)
 
@@ -312,19 +321,6 @@ def train(docs: DataFrame, labels: DataFrame, lexicon_rows: int = LEXICON_ROWS,
     total = int(counts.sum())
     sample = docs.select("doc_id", "text").where(chosen(train_rows, total, "doc_id", "text")).groupBy("doc_id", "text").agg(F.count("*").alias("times"))
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Features()
-        for batch in batches:
-            found = []
-            for first, last, data, at in slices(*flat(batch.column("text")), limit=TEXT_BYTES):
-                text, feature, _, _ = reader.read(data, at)
-                _, once = np.unique(mix(feature + text.astype(U64) * U64(GRAM)), return_index=True)
-                once = once[np.argsort(text[once], kind="stable")]
-                edge = np.searchsorted(text[once], np.arange(last - first + 1))
-                found += [feature[once[a:b]].tobytes() for a, b in zip(edge, edge[1:])]
-            rest = [batch.column(c) for c in ("times", *names)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), *rest], names=["features", "times", *names])
-
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, times = [], []
         goals: dict[str, list[float]] = {a: [] for a in aspects}
@@ -341,17 +337,16 @@ def train(docs: DataFrame, labels: DataFrame, lexicon_rows: int = LEXICON_ROWS,
             found, weight, base = fit_scorer(text, feature, np.array(goal), np.concatenate(times))
             yield pa.RecordBatch.from_arrays([pa.array([aspect]), pa.array([found.tobytes()], pa.binary()), pa.array([weight.tobytes()], pa.binary()), pa.array([base])], names=["aspect", "features", "weights", "base"])
 
-    rows = with_labels(votes(sample, words, beginnings, keep=("doc_id", "text", "times"))).select("text", "times", *names)
-    kinds = "features binary, times long, " + ", ".join(f"{c} byte" for c in names)
+    # One reading of each text, and no step in Python feeds another in the same task: each would hold a worker process.
+    rows = with_labels(votes(sample, words, beginnings, keep=("doc_id", "times"), features=True)).select("features", "times", *names)
     # One task: a bounded sample, see the module's text.
-    for r in rows.mapInArrow(parse, kinds).repartition(1).mapInArrow(learn, "aspect string, features binary, weights binary, base double").collect():
+    for r in rows.repartition(1).mapInArrow(learn, "aspect string, features binary, weights binary, base double").collect():
         model["scorers"][r["aspect"]] = (np.frombuffer(r["features"], U64), np.frombuffer(r["weights"], np.float64), r["base"])
     return model
 
 
-def scored(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` with p_poor, p_toxic (chances to be bad) and kept."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("p_poor", T.DoubleType()), T.StructField("p_toxic", T.DoubleType()), T.StructField("kept", T.BooleanType())])
+def judged(docs: DataFrame, model: dict, schema: T.StructType, give: Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch]) -> DataFrame:
+    """What ``give`` makes of each batch of ``docs``, its chances to be poor and to be toxic, and whether it is kept."""
     shared = docs.sparkSession.sparkContext.broadcast(model["scorers"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,12 +359,21 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
                 for aspect, (lookup, base) in scorers.items():
                     margin = lookup.sums(text, feature, len(at) - 1) + base
                     chance[aspect][first:last] = 1 / (1 + np.exp(-np.clip(margin, -60, 60)))
-            kept = (chance["poor"] < 0.5) & (chance["toxic"] < 0.5)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chance["poor"]), pa.array(chance["toxic"]), pa.array(kept)], schema=pa.schema([*batch.schema, ("p_poor", pa.float64()), ("p_toxic", pa.float64()), ("kept", pa.bool_())]))
+            yield give(batch, chance["poor"], chance["toxic"], (chance["poor"] < 0.5) & (chance["toxic"] < 0.5))
 
     return docs.mapInArrow(score, schema)
 
 
+def scored(docs: DataFrame, model: dict) -> DataFrame:
+    """``docs`` with p_poor, p_toxic (chances to be bad) and kept."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("p_poor", T.DoubleType()), T.StructField("p_toxic", T.DoubleType()), T.StructField("kept", T.BooleanType())])
+
+    def give(batch: pa.RecordBatch, poor: np.ndarray, toxic: np.ndarray, kept: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(poor), pa.array(toxic), pa.array(kept)], schema=pa.schema([*batch.schema, ("p_poor", pa.float64()), ("p_toxic", pa.float64()), ("kept", pa.bool_())]))
+
+    return judged(docs, model, schema, give)
+
+
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (doc_id, p_poor, p_toxic, kept), one per document."""
     return scored(docs.select("doc_id", "text"), train(docs, labels)).drop("text")
@@ -377,5 +381,4 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rejected ones, all columns kept."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    return scored(docs.select("text", row), train(docs, labels)).where("kept").select("_row.*")
+    return judged(docs, train(docs, labels), docs.schema, lambda batch, poor, toxic, kept: batch.filter(pa.array(kept)))

@@ -1,15 +1,17 @@
 """Operators on documents against plain versions, on a table of odd rows and on a given table."""
 
 import hashlib
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from matchloom.llm import decontaminate, jaccard_join, lm_score, mixing, quality_rules, suffix_dedup
+from matchloom.llm import common, decontaminate, jaccard_join, lm_score, mixing, quality_rules, suffix_dedup
 from matchloom.llm.common import table
 
-from .conftest import BENCH, LOWER, ODD, PLAIN, SMALL, SPACED, TABLES, whole_table
+from .conftest import BENCH, LONG, LOWER, ODD, PLAIN, SMALL, SPACED, TABLES, prose, whole_table
 
 KEY = lambda r: (r[0] is None, r[0] or 0, str(r))
 
@@ -223,6 +225,39 @@ def test_repeats_of_a_table_and_short_strings(spark):
     assert rows(suffix_dedup.removed(few, length=6, leader=3)) == plain_repeats([tuple(r) for r in few.collect()], 6)
 
 
+def test_a_block_works_in_small_steps():
+    text = [prose(k, 2000) for k in range(60)]
+    rows = pa.table({"_id": pa.array(range(len(text)), pa.int64()), "_digest": pa.array(range(len(text)), pa.int64()), "text": text})
+    size = sum(map(len, text))
+    tracemalloc.start()
+    try:
+        block = suffix_dedup.Block(rows, 100, 50)
+        assert tracemalloc.get_traced_memory()[1] < 60 * size
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        which = np.arange(len(block.place))
+        left, right = block.context(which)
+        assert tracemalloc.get_traced_memory()[1] - before < left.nbytes + right.nbytes + (10 << 20)
+    finally:
+        tracemalloc.stop()
+    for k in (0, 1, 4095, 4096, 4097, len(which) - 1):
+        place, (a, b) = block.place[k], block.at[block.doc[k] : block.doc[k] + 2]
+        whole = block.data[max(a, place - 50) : place][::-1], block.data[place + 50 : min(b, place + 100)]
+        for got, want in zip((left[k], right[k]), whole):
+            assert got.tolist() == want.tolist() + [suffix_dedup.PAD] * (50 - len(want))
+
+
+def test_hashes_of_short_texts_need_short_tables():
+    hasher, data = common.Hasher(), np.frombuffer(LONG.encode(), np.uint8)
+    hasher.prefix(data[:100])
+    assert len(hasher.up) < 1000
+    starts, ends = np.array([0, 7, 5000]), np.array([len(data), 90, 70_000])
+    grown = hasher.ranges(hasher.prefix(data), starts, ends)
+    for k, (a, b) in enumerate(zip(starts, ends)):
+        alone = common.Hasher()
+        assert alone.ranges(alone.prefix(data[a:b]), np.array([0]), np.array([b - a]))[0] == grown[k]
+
+
 def test_without_repeats_keeps_columns(odd, no_docs):
     got = suffix_dedup.without_repeats(odd)
     assert got.columns == odd.columns

@@ -117,6 +117,18 @@ def test_repeated_rows_train_as_one_row_of_their_number(spark, monkeypatch):
     assert weak_labels.judge(docs, labels).count() == len(rows) and sizes == [21]
 
 
+def test_classifier_holds_one_worker_a_task_and_each_row_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, prose(k, 20), "en") for k in range(30)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    kind, plans, columns = type(docs), [], []
+    monkeypatch.setattr(kind, "repartition", lambda self, n, f=kind.repartition: (plans.append(self._jdf.queryExecution().executedPlan().toString()), f(self, n))[1])
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, f=kind.mapInArrow: (columns.append(self.dtypes), f(self, *a))[1])
+    got = weak_labels.kept_documents(docs, labels)
+    assert [p.count("MapInArrow") for p in plans] == [1]
+    assert columns[-1] == docs.dtypes and got.schema == docs.schema
+    assert sorted(got.collect()) == sorted(docs.collect())
+
+
 def test_classifier_on_odd_rows(spark, odd, no_docs):
     def plain(seed, n):  # words of letters only
         return " ".join(w.rstrip("0123456789") + WORDS[int("".join(filter(str.isdigit, w))) % 20] for w in prose(seed, n).split())
