@@ -12,7 +12,7 @@ Documents with equal shingle sets are one node (a 64-bit digest of the set). The
 A pair inside one component already found is not tested again, so large groups of near copies cost about one
 test per document. Both kinds of tile emit a spanning forest, never all pairs; a tile list beyond ``TILE_ROWS`` is
 dealt in blocks and every pair of blocks is a tile, so no list is gathered whole and none is cut. Components of the
-forests come from alternating star contractions on written tables.
+forests come from contraction in chunks of bounded size and, between chunks, alternating stars on written tables.
 
 Cases: a null or empty text has an empty set and links with nothing; fewer words than a shingle count as one shingle;
 ties and repeated rows are nodes of equal sets; a null id takes part and gets the smallest id of its component (null if
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchloom.llm.common import U64, WORK_BYTES, Hasher, flat, grams, lower_table, mix, slices, spaced_words, store, word_spans
+from matchloom.llm.common import U64, WORK_BYTES, Hasher, block_count, flat, grams, lower_table, mix, slices, spaced_words, store, word_spans
 
 WORDS = 3
 PERCENT = 90
@@ -40,6 +40,8 @@ EXACT_BITS = 8192  # where the sets themselves are at hand
 TILE_ROWS = 4096
 TASK_ROWS = 512  # texts of clusters in a task
 NEAR = 64  # neighbours tested first
+CHUNK_ROWS = 1 << 20  # edges that a task contracts
+MERGE_ROWS = 1 << 17  # edges read between two contractions
 
 
 class Shingler:
@@ -238,12 +240,50 @@ def candidates(found: DataFrame, percent: int = PERCENT, tile_rows: int = TILE_R
                 own = own[np.lexsort((node[own], size[own]))]
                 yield own[forest(size[own], bits[own], percent)]
 
-    return per_tile(rows, "token", tile_rows, tile_rows, spans).distinct()
+    return per_tile(rows, "token", tile_rows, tile_rows, spans)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Rows (node, component): the smallest node each node of an edge is connected with. Alternating stars: each
-    step is two joins on written tables; their number grows with the logarithm of the longest path."""
+def contract(edges: DataFrame, tasks: int, chunk_rows: int) -> DataFrame:
+    """Edges (a, b) with the same components: in each of ``tasks`` those read so far are replaced by one from each of
+    their nodes to the least of its component there. Beyond ``chunk_rows`` such edges a task hands them on and starts anew.
+    """
+
+    def least(pairs: np.ndarray) -> np.ndarray:
+        nodes, at = np.unique(pairs, return_inverse=True)
+        a, b = at.reshape(2, -1)
+        root = np.arange(len(nodes))
+        while True:
+            low, new = np.minimum(root[a], root[b]), root.copy()
+            np.minimum.at(new, root[a], low)
+            np.minimum.at(new, root[b], low)
+            while (new[new] != new).any():
+                new = new[new]
+            if (new == root).all():
+                break
+            root = new
+        own = np.flatnonzero(root != np.arange(len(nodes)))
+        return np.stack((nodes[own], nodes[root[own]]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = lambda pairs: pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+        held, waiting, n = np.zeros((2, 0), np.int64), [], 0
+        for batch in batches:
+            waiting.append(np.stack((batch.column("a").to_numpy(), batch.column("b").to_numpy())))
+            n += batch.num_rows
+            if n >= min(MERGE_ROWS, chunk_rows):
+                held, waiting, n = least(np.concatenate((held, *waiting), axis=1)), [], 0
+                if held.shape[1] >= chunk_rows:
+                    yield out(held)
+                    held = held[:, :0]
+        yield out(least(np.concatenate((held, *waiting), axis=1)))
+
+    return edges.coalesce(tasks).mapInArrow(run, "a long, b long")
+
+
+def components(edges: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Rows (node, component): the smallest node each node of an edge is connected with. Edges are contracted in
+    chunks; what the chunks leave open goes through alternating stars, each step two joins on written tables, and is
+    contracted again. The number of steps grows with the logarithm of the longest path between chunks."""
 
     def star(pairs: DataFrame, small: bool) -> DataFrame:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -253,19 +293,22 @@ def components(edges: DataFrame) -> DataFrame:
         joined = both.join(least, "a")
         out = joined.where("b <> m" if small else "b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         if small:
-            out = out.unionByName(least.select("a", F.col("m").alias("b")))
-        return out.where("a <> b").distinct()
-
-    def state(pairs: DataFrame) -> tuple:
-        return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
-
-    now = store(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "stars")
-    seen = state(now)
-    while True:
-        now = store(star(star(now, False), True), "stars")
-        if (after := state(now)) == seen:
-            break
-        seen = after
+            out = out.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+        return out.where("a <> b")
+
+    def state(pairs: DataFrame) -> tuple[int, int]:
+        """Edges, and nodes that are not yet either a component or in one edge to it."""
+        ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up"))))
+        per_node = pairs.select(ends.alias("end")).select("end.*").groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("low"))
+        return tuple(per_node.agg(F.coalesce(F.sum("ups"), F.lit(0)), F.expr("count_if(ups > 1 or ups = 1 and low = 0)")).first())
+
+    now = store(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+    n, left = now.count(), 1
+    while left:
+        now = store(contract(now, block_count(n, chunk_rows), chunk_rows), "stars")
+        n, left = state(now)
+        if left:
+            now = store(star(star(now, False), True), "stars")
     roots = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.withColumn("component", F.col("node")))
 

@@ -305,6 +305,28 @@ def test_jaccard_groups_of_many_near_copies(spark):
         assert rows(got) == plain_groups(docs, 3, 90)
 
 
+@pytest.mark.parametrize("chunk_rows, most", [(jaccard_join.CHUNK_ROWS, 20), (7, 60)])
+def test_components_in_few_jobs(spark, chunk_rows, most):
+    chain = np.random.default_rng(5).permutation(400)  # paths of 100 nodes, then stars that share no node with them
+    pairs = [(int(chain[k]), int(chain[k + 1])) for k in range(399) if k % 100 != 99]
+    pairs += [(1000 + k, 1000 + 50 * (k // 50)) for k in range(200)] + pairs[:30] + [(b, a) for a, b in pairs[:30]] + [(-5, -9), (-9, -9)]
+    want = {}
+    for k in range(4):
+        part = chain[100 * k : 100 * k + 100].tolist()
+        want |= dict.fromkeys(part, min(part))
+    want |= {1000 + k: 1000 + 50 * (k // 50) for k in range(200)} | {-5: -9, -9: -9}
+    edges = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    context, group = spark.sparkContext, f"components-{chunk_rows}"
+    context.setJobGroup(group, group)
+    try:
+        got = rows(jaccard_join.components(edges, chunk_rows))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert got == sorted(want.items(), key=KEY)
+    assert 0 < len(context.statusTracker().getJobIdsForGroup(group)) <= most  # the driver keeps plans and figures of each
+    assert jaccard_join.components(edges.limit(0), chunk_rows).count() == 0
+
+
 def test_jaccard_one_of_each(odd, no_docs):
     got = jaccard_join.one_of_each(odd)
     assert got.columns == odd.columns
