@@ -5,11 +5,12 @@ import json
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.serializers import CloudPickleSerializer
 from pyspark.sql import functions as F
 
 from matchloom.operators import features, jobs, metrics, models, nets, scoring, splits
 from matchloom.plans.queries_features import game_states, kept_and_params
-from matchloom.schemas import FLAGS, HEROES, OBJECTIVES
+from matchloom.schemas import FLAGS, HEROES, OBJECTIVES, TRAIN_LOG
 from matchloom.sources.tables import write_stage
 from matchloom.streaming import states as state_stream
 
@@ -202,6 +203,29 @@ def test_many_shards_learn(spark, two_parts):
     assert measured == pytest.approx(min(r[3] for r in log), rel=0.02)
 
 
+def test_the_log_of_many_shards_is_stored(spark, two_parts, tmp_path):
+    """Sums of many shards come as plain numbers, which a table takes; of the networks only the last and the best stay."""
+    table = nets.new_shards(spark, two_parts, models.KEY, models.LABEL, 1, shard_rows=100)
+    path = tmp_path / "epochs"
+    weights, log, _ = nets.fit(table, hidden=1, width=4, rate=0.05, epochs=4, seed=1, path=str(path), keep=False)
+    models.write_train_log(spark, [dict(zip(TRAIN_LOG.names, r)) for r in log], str(tmp_path / "log"))
+    assert weights is None and [tuple(r) for r in spark.read.parquet(str(tmp_path / "log")).orderBy("epoch").collect()] == log
+    assert 1 <= len([p for p in (tmp_path / "epochs-networks").iterdir() if not p.name.startswith(".")]) <= 2
+
+
+def test_networks_are_drawn_in_the_tasks(spark, two_parts, monkeypatch):
+    """What is sent with a task does not grow with the network, and no weights return that nobody asked for."""
+    sent, real = [], CloudPickleSerializer.dumps
+    monkeypatch.setattr(CloudPickleSerializer, "dumps", lambda self, x: sent.append(len(out := real(self, x))) or out)
+    for shard_rows in (1000, 100):
+        table = nets.new_shards(spark, two_parts, models.KEY, models.LABEL, 1, shard_rows=shard_rows)
+        assert nets.fit(table, hidden=2, width=300, rate=0.01, epochs=1, seed=1, keep=False)[0] is None
+    assert sent and max(sent) < 100_000
+    drawn = nets.Untrained(2, 2, 300, 1)
+    assert drawn.shapes() == [w.shape for w in drawn.begun().weights]
+    assert all(np.array_equal(a, b) for a, b in zip(drawn.begun().weights, nets.start(2, 2, 300, 1).weights))
+
+
 @pytest.mark.parametrize("patience", [50, 1])
 def test_epochs_go_on_after_the_last_stored_one(spark, two_parts, tmp_path, monkeypatch, patience):
     """A run cut after two epochs and begun again gives what an unbroken one gives, also where it stops early."""
