@@ -1,6 +1,7 @@
 """Training, scoring, game states and the stream over them."""
 
 import json
+import threading
 
 import numpy as np
 import pytest
@@ -300,6 +301,44 @@ def test_finished_pieces_are_not_done_again(spark, tmp_path):
     assert sorted(map(tuple, rows.collect())) == [(1, 1), (2, 2), (3, 3)] and sorted(done) == [1, 2, 3]
 
 
+def test_few_heavy_pieces_at_a_time(spark, tmp_path, monkeypatch):
+    """Heavy pieces wait for each other and not for the light ones, and all are done."""
+    monkeypatch.setattr(jobs, "HEAVY_THREADS", 1)
+    now, most, light = [], [], threading.Event()
+
+    def piece(name):
+        def work():
+            if name == "light":
+                light.set()
+            else:
+                now.append(name)
+                most.append(len(now))
+                assert light.wait(60)
+                now.remove(name)
+            return [(name, 1)]
+
+        return work
+
+    pieces = {(n,): piece(n) for n in ("heavy 1", "heavy 2", "heavy 3", "light")}
+    rows = jobs.run_jobs(spark, str(tmp_path / "p"), "name string, n int", ["name"], pieces, 3, heavy=lambda k: k[0] != "light")
+    assert sorted(r["name"] for r in rows.collect()) == sorted(n for n, in pieces) and max(most) == 1
+    one = jobs.run_jobs(spark, str(tmp_path / "q"), "name string, n int", ["name"], {("light",): piece("light"), ("heavy",): piece("heavy")}, 1, heavy=lambda k: k[0] == "heavy")
+    assert one.count() == 2
+
+
+def test_a_small_table_is_trained_on_in_one_task(spark, planted, monkeypatch):
+    """A pass of a fit has no more tasks than its rows need, and a forest keeps the nodes its rows have reached."""
+    seen = []
+    for kind in (models.LogisticRegression, models.RandomForestClassifier):
+        real = kind.fit
+        monkeypatch.setattr(kind, "fit", lambda self, df, real=real: seen.append((self, df.rdd.getNumPartitions())) or real(self, df))
+    spread = spark.createDataFrame(planted.collect(), planted.schema).repartition(8)
+    models.fit_logreg(spread, max_iter=3)
+    models.fit_forest(spread, 1, trees=2, depth=3)
+    assert [n for _, n in seen] == [1, 1] and seen[1][0].getCacheNodeIds()
+    assert models._in_few_tasks(spread, 3 * models.TASK_ROWS).rdd.getNumPartitions() == 3
+
+
 def test_model_is_stored_with_its_manifest(spark, planted, tmp_path):
     model = models.fit_logreg(planted)
     models.save_model(model, str(tmp_path / "m"), {"features": ["x", "z"]})
