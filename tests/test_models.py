@@ -326,8 +326,9 @@ def test_few_heavy_pieces_at_a_time(spark, tmp_path, monkeypatch):
     assert one.count() == 2
 
 
-def test_a_small_table_is_trained_on_in_one_task(spark, planted, monkeypatch):
-    """A pass of a fit has no more tasks than its rows need, and a forest keeps the nodes its rows have reached."""
+def test_passes_of_a_fit_are_small(spark, planted, monkeypatch):
+    """A pass of a regression has no more tasks than its rows need; a forest keeps its partitions, by which Spark draws, and
+    the nodes its rows have reached."""
     seen = []
     for kind in (models.LogisticRegression, models.RandomForestClassifier):
         real = kind.fit
@@ -335,7 +336,7 @@ def test_a_small_table_is_trained_on_in_one_task(spark, planted, monkeypatch):
     spread = spark.createDataFrame(planted.collect(), planted.schema).repartition(8)
     models.fit_logreg(spread, max_iter=3)
     models.fit_forest(spread, 1, trees=2, depth=3)
-    assert [n for _, n in seen] == [1, 1] and seen[1][0].getCacheNodeIds()
+    assert [n for _, n in seen] == [1, spread.rdd.getNumPartitions()] and seen[1][0].getCacheNodeIds()
     assert models._in_few_tasks(spread, 3 * models.TASK_ROWS).rdd.getNumPartitions() == 3
 
 
